@@ -3,7 +3,7 @@ reach with drop-off and conversion rates (A10, W1, W2)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import funnel_stage, pct
@@ -30,26 +30,26 @@ def stage_counts(stages: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def funnel_metrics(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
     """A10: for stages 1-4, reach = users whose highest stage is >= s (W1,
-    a reverse running total), next = reach of s+1, 0 after stage 4 (W2);
+    the reverse running total), next = reach of s+1, 0 after stage 4 (W2);
     drop-off = (reach - next) / reach * 100, conversion = next / reach * 100,
-    2 dp, null when reach is 0. Missing stages count 0; stage 0 is not
-    counted. The stage spine has four rows per group, so the window is tiny.
+    2 dp, null when reach is 0 (D16: typed columns even then). Missing
+    stages count 0; stage 0 is not counted.
+
+    Both running quantities are conditional sums in one aggregate over the
+    (at most five) stage counts, unpivoted with ``stack`` — no window, no
+    join, and a global aggregate still yields the four rows for an empty
+    batch.
     """
     by = by or []
-    # One spine row per stage and group, derived from the counts themselves
-    # (a global aggregate yields one row even for an empty batch).
-    spine = (counts.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-             .select(*by, F.explode(F.array(*[F.lit(s).cast("bigint") for s in STAGES]))
-                     .alias("funnel_stage")))
-    n = counts.select(*by, F.col("highest_funnel_stage").cast("bigint").alias("funnel_stage"),
-                      F.col("user_count").alias("_n"))
-    w = Window.partitionBy(*by).orderBy("funnel_stage")
-    reach = F.sum(F.coalesce(F.col("_n"), F.lit(0))).over(
-        w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    df = (spine.join(n, [*by, "funnel_stage"], "left")
-          .withColumn("user_count", reach.cast("bigint"))
-          .withColumn("_next", F.lead("user_count", 1, 0).over(w)))
-    return df.select(
+    stage = F.col("highest_funnel_stage")
+    reach = [F.coalesce(F.sum(F.when(stage >= s, F.col("user_count"))), F.lit(0))
+             .cast("bigint").alias(f"_r{s}") for s in STAGES]
+    wide = counts.groupBy(*by).agg(*reach)
+    last = STAGES[-1]
+    rows = ", ".join(f"CAST({s} AS BIGINT), _r{s}, " + (f"_r{s + 1}" if s < last else "CAST(0 AS BIGINT)")
+                     for s in STAGES)
+    long = wide.select(*by, F.expr(f"stack({len(STAGES)}, {rows}) AS (funnel_stage, user_count, _next)"))
+    return long.select(
         *by, "funnel_stage", "user_count",
         pct(F.col("user_count") - F.col("_next"), "user_count").alias("dropoff_rate_pct"),
         pct(F.col("_next"), "user_count").alias("conversion_rate_pct"),

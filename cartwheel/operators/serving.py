@@ -43,17 +43,24 @@ def _reaggregate(spend: DataFrame) -> DataFrame:
 def spend_histogram(spend: DataFrame, width: int) -> DataFrame:
     """A12 + J2: session counts per bucket over all windows, on a dense
     spine from the lowest to the highest bucket with zero fill (O2: sorted).
-    The spine length is (max - min) / width + 1 — the size of the result."""
+
+    One aggregate yields the bounds and a bucket -> count map (one entry per
+    non-empty bucket); the spine is exploded from it, so the re-aggregated
+    histogram is computed once and no join is needed. The spine length,
+    (max - min) / width + 1, is the size of the result itself.
+    """
     hist = _reaggregate(spend)
-    spine = (hist.agg(F.min("bucket_start").alias("lo"), F.max("bucket_start").alias("hi"))
-             .where(F.col("lo").isNotNull())
-             .select(F.explode(F.sequence("lo", "hi", F.lit(width))).alias("bucket_start")))
-    return (spine.join(hist.select("bucket_start", "session_count"), "bucket_start", "left")
-            .select(F.col("bucket_start").cast("int").alias("bucket_start"),
-                    (F.col("bucket_start") + F.lit(width)).cast("int").alias("bucket_end"),
-                    bucket_label(F.col("bucket_start"), F.col("bucket_start") + F.lit(width))
-                    .alias("bucket_label"),
-                    F.coalesce(F.col("session_count"), F.lit(0)).cast("long").alias("session_count"))
+    one = hist.agg(F.min("bucket_start").alias("lo"), F.max("bucket_start").alias("hi"),
+                   F.map_from_entries(F.collect_list(F.struct("bucket_start", "session_count")))
+                   .alias("counts"))
+    dense = (one.where(F.col("lo").isNotNull())
+             .select(F.explode(F.sequence("lo", "hi", F.lit(width))).alias("b"), "counts"))
+    return (dense.select(
+                F.col("b").cast("int").alias("bucket_start"),
+                (F.col("b") + F.lit(width)).cast("int").alias("bucket_end"),
+                bucket_label(F.col("b"), F.col("b") + F.lit(width)).alias("bucket_label"),
+                F.coalesce(F.element_at("counts", F.col("b")), F.lit(0)).cast("long")
+                .alias("session_count"))
             .orderBy("bucket_start"))
 
 

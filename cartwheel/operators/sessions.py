@@ -1,17 +1,19 @@
 """Gap-based sessions (T2) and the session aggregates A1-A3.
 
 Streams use Spark's ``session_window`` (state store, watermark). Batch uses an
-equivalent gaps-and-islands plan that never puts one user into one task:
-
-1. Events are cut into (user, time slice) groups; within a slice ``lag`` finds
-   the previous event and marks local session starts.
-2. A per-(user, slice) summary (first, last, last local start) — one row per
-   slice, so its size is bounded by time span / slice width, not by events —
-   is scanned per user in slice order to decide whether each slice's first
-   event starts a session and which session is still open when a slice begins.
-3. The summary joins back on (user, slice) (the event side keeps its
-   partitioning) and each event gets its session start; the session aggregate
-   then runs as an ordinary partial + final hash aggregate.
+equivalent plan in which no user's events ever meet in one task:
+
+1. Time is cut into slices no wider than the gap. Two events of one user in
+   the same slice are less than ``gap`` apart, so a slice never splits a
+   session: each (user, slice) is reduced by an ordinary hash aggregate
+   (first time, last time, partial aggregates) that combines map-side — a
+   hot user or a hot slice is pre-aggregated before the shuffle.
+2. The slice rows of a user, at most (time span / gap) of them whatever the
+   event volume, are ordered by slice: a slice starts a session when it
+   begins more than ``gap`` after the previous slice's last event, and every
+   slice takes the start of the latest such slice at or before it.
+3. The partial aggregates merge per (user, session start); the rows are
+   already partitioned by user, so this needs no further shuffle.
 
 Semantics equal ``session_window``: an event more than ``gap`` after the
 previous one of the same key starts a new session (exactly ``gap`` joins);
@@ -20,6 +22,8 @@ the session ends ``gap`` after its last event; null times are ignored.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,67 +33,87 @@ from cartwheel.params import interval
 _US = 1_000_000
 
 
+@dataclass(frozen=True)
+class SessionAgg:
+    """One session aggregate: ``how`` is sum, count, min, max or set
+    (distinct non-null values, sorted)."""
+
+    name: str
+    expr: Column
+    how: str
+
+    def single(self) -> Column:
+        return {
+            "sum": lambda: F.sum(self.expr),
+            "count": lambda: F.count(self.expr),
+            "min": lambda: F.min(self.expr),
+            "max": lambda: F.max(self.expr),
+            "set": lambda: F.array_sort(F.collect_set(self.expr)),
+        }[self.how]().alias(self.name)
+
+    def partial(self) -> Column:
+        if self.how == "set":
+            return F.collect_set(self.expr).alias(self.name)
+        return self.single()
+
+    def merge(self) -> Column:
+        c = F.col(self.name)
+        return {
+            "sum": lambda: F.sum(c),
+            "count": lambda: F.sum(c),
+            "min": lambda: F.min(c),
+            "max": lambda: F.max(c),
+            "set": lambda: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))),
+        }[self.how]().alias(self.name)
+
+
 def sessionize(df: DataFrame, key: str, time_col: str, gap_s: float,
-               aggs: list[Column], slice_s: float = 3600.0) -> DataFrame:
+               aggs: list[SessionAgg], slice_s: float | None = None) -> DataFrame:
     """Group ``df`` into gap sessions per ``key`` and aggregate each.
 
-    Returns ``key, session_start, session_end, <aggs>``.
+    Returns ``key, session_start, session_end, <aggs>``. ``slice_s`` (batch
+    only) is capped at the gap.
     """
     if df.isStreaming:
-        grouped = (df.groupBy(F.col(key), F.session_window(F.col(time_col), interval(gap_s)))
-                   .agg(*aggs))
-        names = [c for c in grouped.columns if c not in (key, "session_window")]
-        return grouped.select(key, F.col("session_window.start").alias("session_start"),
-                              F.col("session_window.end").alias("session_end"), *names)
+        return (df.groupBy(F.col(key), F.session_window(F.col(time_col), interval(gap_s)))
+                .agg(*[a.single() for a in aggs])
+                .select(key, F.col("session_window.start").alias("session_start"),
+                        F.col("session_window.end").alias("session_end"),
+                        *[a.name for a in aggs]))
+    slice_s = gap_s if slice_s is None else min(slice_s, gap_s)
     return _batch_sessions(df, key, time_col, int(gap_s * _US), int(slice_s * _US), aggs)
 
 
 def _batch_sessions(df: DataFrame, key: str, time_col: str, gap_us: int,
-                    slice_us: int, aggs: list[Column]) -> DataFrame:
+                    slice_us: int, aggs: list[SessionAgg]) -> DataFrame:
     us = F.unix_micros(F.col(time_col))
-    ev = (df.where(F.col(time_col).isNotNull() & F.col(key).isNotNull())
-          .withColumn("_us", us)
-          .withColumn("_slice", F.floor(F.col("_us") / F.lit(slice_us))))
-    in_slice = Window.partitionBy(key, "_slice").orderBy("_us")
-    ev = ev.withColumn("_prev", F.lag("_us").over(in_slice))
-    ev = ev.withColumn("_lstart", F.when(F.col("_us") - F.col("_prev") > F.lit(gap_us), F.col("_us")))
-    ev = ev.withColumn("_run", F.max("_lstart").over(
-        in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-
-    by_slice = Window.partitionBy(key).orderBy("_slice")
-    slices = (ev.groupBy(key, "_slice")
-              .agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"),
-                   F.max("_lstart").alias("_last_local"))
-              .withColumn("_prev_last", F.lag("_last").over(by_slice)))
-    first_starts = F.col("_prev_last").isNull() | (F.col("_first") - F.col("_prev_last") > F.lit(gap_us))
-    slices = (slices
-              .withColumn("_first_starts", first_starts)
-              .withColumn("_open_end", F.coalesce(F.col("_last_local"),
-                                                  F.when(F.col("_first_starts"), F.col("_first"))))
-              .withColumn("_carry", F.last("_open_end", ignorenulls=True).over(
-                  by_slice.rowsBetween(Window.unboundedPreceding, -1)))
-              .select(key, "_slice",
-                      F.when(F.col("_first_starts"), F.col("_first"))
-                      .otherwise(F.col("_carry")).alias("_base")))
-
-    tagged = (ev.join(slices, [key, "_slice"], "inner")
-              .withColumn("_start", F.coalesce(F.col("_run"), F.col("_base"))))
-    out = tagged.groupBy(key, "_start").agg(F.max("_us").alias("_end_us"), *aggs)
-    names = [c for c in out.columns if c not in (key, "_start", "_end_us")]
+    # slice id = slice start in microseconds (integer arithmetic, exact)
+    slice_id = us - F.pmod(us, F.lit(slice_us))
+    slices = (df.where(F.col(time_col).isNotNull() & F.col(key).isNotNull())
+              .groupBy(F.col(key), slice_id.alias("_slice"))
+              .agg(F.min(us).alias("_first"), F.max(us).alias("_last"),
+                   *[a.partial() for a in aggs]))
+    by_user = Window.partitionBy(key).orderBy("_slice")
+    slices = slices.withColumn("_gap", F.col("_first") - F.lag("_last").over(by_user))
+    starts = F.when(F.col("_gap").isNull() | (F.col("_gap") > F.lit(gap_us)), F.col("_first"))
+    tagged = slices.withColumn("_start", F.max(starts).over(
+        by_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    out = tagged.groupBy(key, "_start").agg(F.max("_last").alias("_end"),
+                                            *[a.merge() for a in aggs])
     return out.select(
         key,
         F.timestamp_micros("_start").alias("session_start"),
-        F.timestamp_micros(F.col("_end_us") + F.lit(gap_us)).alias("session_end"),
-        *names,
+        F.timestamp_micros(F.col("_end") + F.lit(gap_us)).alias("session_end"),
+        *[a.name for a in aggs],
     )
 
 
 def session_carts(events: DataFrame, gap_s: float, time_col: str = "time_generated",
-                  slice_s: float = 3600.0) -> DataFrame:
+                  slice_s: float | None = None) -> DataFrame:
     """A1: per user session, the set of added-to-cart products (sorted) and
     whether any event of the session was a purchase."""
-    aggs = [F.array_sort(F.collect_set(cart_product("event_type", "product_id"))).alias("cart_products"),
-            F.max(purchase_flag("event_type")).alias("has_purchased")]
+    aggs = [SessionAgg("cart_products", cart_product("event_type", "product_id"), "set"),
+            SessionAgg("has_purchased", purchase_flag("event_type"), "max")]
     return sessionize(events, "user_id", time_col, gap_s, aggs, slice_s)
 
 
@@ -111,7 +135,7 @@ def cart_messages(abandoned: DataFrame) -> DataFrame:
 
 
 def purchase_sessions(enriched: DataFrame, gap_s: float, time_col: str = "time_generated",
-                      slice_s: float = 3600.0) -> DataFrame:
+                      slice_s: float | None = None) -> DataFrame:
     """A3: per user purchase session, the summed product cost."""
     return sessionize(enriched, "user_id", time_col, gap_s,
-                      [F.sum("cost").alias("total_amount")], slice_s)
+                      [SessionAgg("total_amount", F.col("cost"), "sum")], slice_s)

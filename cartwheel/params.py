@@ -46,8 +46,8 @@ class Params:
     # D19: "filtered" = watermark advanced by purchases only (parity),
     # "all" = every event advances the purchase watermark
     watermark_from: str = "filtered"
-    # batch sessionizer: width of a time slice (parallelism for hot users)
-    slice_width_s: float = 3600
+    # batch sessionizer: time slice width, capped at (and by default) the gap
+    slice_width_s: float | None = None
     # broadcast the product catalogue only below this many rows
     max_broadcast_rows: int = 500_000
 
@@ -70,5 +70,4 @@ HARNESS = Params(
     as_of=datetime(2024, 1, 31, 0, 0, 0),
     cart_retention_s=7 * 24 * 3600,
     funnel_timeout_s=24 * 3600,
-    slice_width_s=24 * 3600,
 )

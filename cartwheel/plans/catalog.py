@@ -75,7 +75,9 @@ class Chain:
                                           slice_s=self.p.slice_width_s)
 
     def user_stage(self) -> DataFrame:
-        return funnel.user_stage(events.dedup_events(self.events()))
+        # max stage and max time are idempotent under duplicate sends, so the
+        # batch funnel needs no dedup shuffle unless dedup is asked for
+        return funnel.user_stage(self.maybe_dedup(self.events()))
 
     # -- gold ---------------------------------------------------------------
     def gold_averages(self) -> DataFrame:
