@@ -62,13 +62,28 @@ def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
 
 
 def enrich_with_products(events: DataFrame, products: DataFrame,
-                         max_broadcast_rows: int = 500_000) -> DataFrame:
+                         max_broadcast_rows: int = 500_000,
+                         guard_col: str | None = None) -> DataFrame:
     """Inner equi-join on ``product_id``; null and unknown ids drop out.
 
     The catalogue is broadcast only when its row count is proven below
     ``max_broadcast_rows``; otherwise the join is left to the planner
     (shuffle join, with AQE splitting a hot product's partition).
+
+    ``guard_col`` (the event-time column) makes the join key null when that
+    column is null. The key then mentions event time, so the null filter
+    Catalyst infers from the join stays above a watermark instead of being
+    pushed below it — rows without a product still advance the watermark
+    (D19 option). Matches are the same as without the guard for every row
+    with an event time.
     """
     products = products.select("product_id", "name", "category", "cost")
     right = F.broadcast(products) if fits_broadcast(products, max_broadcast_rows) else products
-    return events.where(F.col("product_id").isNotNull()).join(right, "product_id", "inner")
+    if guard_col is None:
+        # No explicit null filter: the inner join drops null ids, and a
+        # filter that does not mention event time would sink below a watermark.
+        return events.join(right, "product_id", "inner")
+    keyed = events.withColumn("_join_key", F.when(F.col(guard_col).isNotNull(), F.col("product_id")))
+    right = right.withColumnRenamed("product_id", "_catalogue_id")
+    return (keyed.join(right, F.col("_join_key") == F.col("_catalogue_id"), "inner")
+            .drop("_join_key", "_catalogue_id"))
