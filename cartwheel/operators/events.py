@@ -56,9 +56,11 @@ def dedup_events(events: DataFrame, key: str = "event_id",
 
 
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Size check before a broadcast: True iff ``df`` has at most ``max_rows``
-    rows. Bounded work: each partition stops after ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Size check before a broadcast: True iff ``df`` has at most
+    ``max_rows`` rows. A plain count combines one row per partition (for
+    parquet it is answered from file metadata); a ``limit`` would instead
+    funnel up to ``max_rows`` rows per partition into a single task."""
+    return df.count() <= max_rows
 
 
 def enrich_with_products(events: DataFrame, products: DataFrame,

@@ -60,7 +60,9 @@ class Chain:
         return events.dedup_events(ev) if self.p.dedup else ev
 
     def enriched(self) -> DataFrame:
-        pur = events.purchases(self.maybe_dedup(self.events()))
+        # copies of a purchase are purchases: filter first, so a dedup
+        # shuffles only the purchase stream
+        pur = self.maybe_dedup(events.purchases(self.events()))
         return events.enrich_with_products(pur, self.products(), self.p.max_broadcast_rows)
 
     def carts(self) -> DataFrame:

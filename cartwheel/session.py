@@ -15,6 +15,9 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # streaming session windows: merge sessions inside each input partition
+    # before the shuffle, so a hot user's events are pre-combined map-side
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
