@@ -187,4 +187,29 @@ FROM (SELECT *, CASE WHEN src_type = 'error' THEN 'invalid_json'
                      WHEN src_value < 2 THEN 'missing_field:user_id'
                      WHEN src_value < 3 THEN 'schema_mismatch' END AS r
       FROM ev) x""")
+    # Streamed keys: append-mode output = batch result cut at the final
+    # watermark (max event time seen by the watermark node minus the delay).
+    cart_wm = f"(SELECT max(time_generated) FROM ev) - INTERVAL {int(p.cart_watermark_s)} SECOND"
+    pur_wm = (f"(SELECT max(time_generated) FROM ev WHERE event_type = 'purchase' "
+              f"AND product_id IS NOT NULL) - INTERVAL {int(p.purchase_watermark_s)} SECOND")
+    q["stream_abandoned_carts"] = q["abandoned_carts"] + f"\nWHERE ts <= {cart_wm}"
+    q["stream_purchase_sessions"] = _with(c, ["ev", "pr", "enr", "ps"], f"""SELECT user_id, session_start,
+  session_end, round(total_amount, 2) AS total_amount FROM ps WHERE session_end <= {pur_wm}""")
+    win_s = int(p.gold_window_s)
+    win_us = win_s * 1_000_000
+    q["stream_gold_averages"] = _with(c, ["ev", "pr", "enr", "ps"], f""", s AS (
+  SELECT * FROM ps WHERE session_end <= {pur_wm}),
+g AS (
+  SELECT make_timestamp(CAST(floor(epoch_us(session_start) / {win_us}) * {win_us} AS BIGINT))
+      AS window_start,
+    CAST(trunc(round(sum(total_amount), 6)) AS BIGINT) AS total_amount,
+    CAST(sum(epoch_us(session_end) // 1000000 - epoch_us(session_start) // 1000000) AS BIGINT)
+      AS total_session_duration_seconds,
+    count(*) AS session_count
+  FROM s GROUP BY 1)
+SELECT * FROM g WHERE window_start + INTERVAL {win_s} SECOND
+  <= (SELECT max(session_start) FROM s) - INTERVAL {int(p.gold_watermark_s)} SECOND""")
+    q["stream_product_summary"] = _with(c, ["ev", "pr", "enr"], f"""SELECT *, CAST(0 AS INTEGER) AS batch_id
+FROM ({prod}) p""")
+    q["stream_funnel_user_stage"] = _with(c, ["ev", "us"], "SELECT *, CAST(0 AS INTEGER) AS batch_id FROM us")
     return q

@@ -49,7 +49,12 @@ def _mapped_type(raw: Column) -> Column:
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clickstream events with the declared event schema."""
     prepare(spark)
-    raw = _table(spark, sf_dir, "events")
+    return map_events(_table(spark, sf_dir, "events"))
+
+
+def map_events(raw: DataFrame) -> DataFrame:
+    """Projection of driver event rows onto the event schema (batch or
+    streaming input alike)."""
     product = F.when(~F.col("event_type").isin(*NO_PRODUCT_TYPES),
                      F.get_json_object("props", "$.k").cast("bigint"))
     return raw.select(
@@ -62,6 +67,23 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """A driver table read as a file stream (the directory holds other
+    tables too, so the file name is the glob filter)."""
+    prepare(spark)
+    schema = _table(spark, sf_dir, name).schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.parquet(sf_dir.rstrip("/"))
+
+
+def stream_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table replayed as a clickstream topic (envelope rows)."""
+    return clickstream_envelope(map_events(stream_table(spark, sf_dir, "events")))
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product catalogue from ``part``."""
     prepare(spark)
