@@ -22,7 +22,8 @@ from cartwheel.session import checkpoint_path
 from cartwheel.sources.files import stream_parquet
 from cartwheel.streaming.funnel_state import funnel_state
 from cartwheel.streaming.sinks import (
-    KafkaSink, ParquetSink, Sink, Trigger, fan_out, start_foreach_batch, start_stream, write_batch,
+    ConsoleSink, KafkaSink, ParquetSink, Sink, Trigger, fan_out, start_foreach_batch, start_stream,
+    write_batch,
 )
 
 
@@ -47,11 +48,14 @@ def start_cart_abandonment(spark: SparkSession, envelope: DataFrame, sink: Sink,
 
 
 def purchase_stream(envelope: DataFrame, products: DataFrame, params: Params,
-                    watermark_s: float) -> DataFrame:
-    """Decoded purchases joined with the catalogue, watermarked on event time.
+                    watermark_s: float | None) -> DataFrame:
+    """Decoded purchases joined with the catalogue, watermarked on event time
+    (no watermark when ``watermark_s`` is None).
 
     Filter placement decides which events advance the watermark (D19)."""
-    ev = decode.decode_events(envelope).withWatermark("time_generated", interval(watermark_s))
+    ev = decode.decode_events(envelope)
+    if watermark_s is not None:
+        ev = ev.withWatermark("time_generated", interval(watermark_s))
     pur = events.purchases(ev, watermark_from=params.watermark_from)
     if params.dedup:
         pur = pur.dropDuplicatesWithinWatermark(["event_id"])
@@ -78,8 +82,11 @@ def start_product_summary(spark: SparkSession, envelope: DataFrame, products: Da
                           trigger: Trigger = Trigger()) -> StreamingQuery:
     """Per micro-batch product and category summaries, fanned out from
     one persisted batch to ``<root>/batch_id=N`` (retry-safe, D11). Totals
-    over all batches are a batch query on the product level (D9)."""
-    enr = purchase_stream(envelope, products, params, params.product_watermark_s)
+    over all batches are a batch query on the product level (D9). No
+    stateful operator follows, so the watermark is only set when dedup needs
+    it (D10)."""
+    wm = params.product_watermark_s if params.dedup else None
+    enr = purchase_stream(envelope, products, params, wm)
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
@@ -128,10 +135,12 @@ def start_funnel(spark: SparkSession, envelope: DataFrame, metrics_root: str,
 def start_user_gold(spark: SparkSession, silver_path: str, averages: ParquetSink,
                     spend: ParquetSink, checkpoint_root: str | None = None,
                     params: Params = REFERENCE, trigger: Trigger = Trigger("1 minute"),
-                    max_files_per_trigger: int | None = None) -> list[StreamingQuery]:
+                    max_files_per_trigger: int | None = None,
+                    debug_console: bool = False) -> list[StreamingQuery]:
     """P5: silver sessions (file stream) -> window totals and spend
     distribution, each to a parquet file sink in append mode (T8: the silver
-    directory is read through its commit log)."""
+    directory is read through its commit log). ``debug_console`` adds the
+    same totals to the console in complete mode (T9; keeps its own state)."""
     silver = stream_parquet(spark, schemas.PURCHASE_SESSION, silver_path, max_files_per_trigger)
     silver = silver.withWatermark("session_start", interval(params.gold_watermark_s))
     root = _ckpt(spark, checkpoint_root, "user_gold")
@@ -139,7 +148,12 @@ def start_user_gold(spark: SparkSession, silver_path: str, averages: ParquetSink
                       f"{root}/averages", trigger, name="gold_averages")
     q2 = start_stream(gold.gold_spend_distribution(silver, params.gold_window_s, params.bucket_width),
                       spend, f"{root}/spend_distribution", trigger, name="gold_spend_distribution")
-    return [q1, q2]
+    queries = [q1, q2]
+    if debug_console:
+        queries.append(start_stream(gold.gold_averages(silver, params.gold_window_s), ConsoleSink(),
+                                    f"{root}/averages_console", trigger, mode="complete",
+                                    name="gold_averages_console"))
+    return queries
 
 
 def start_dead_letters(spark: SparkSession, envelope: DataFrame, dlq: Sink,
