@@ -69,8 +69,10 @@ def enrich_with_products(events: DataFrame, products: DataFrame,
     """Inner equi-join on ``product_id``; null and unknown ids drop out.
 
     The catalogue is broadcast only when its row count is proven below
-    ``max_broadcast_rows``; otherwise the join is left to the planner
-    (shuffle join, with AQE splitting a hot product's partition).
+    ``max_broadcast_rows``. Otherwise the join is a sort-merge join by hint —
+    a compressed file can look small to the planner's size estimate while
+    holding too many rows to broadcast — and AQE's skew handling splits the
+    partition of a hot product.
 
     ``guard_col`` (the event-time column) makes the join key null when that
     column is null. The key then mentions event time, so the null filter
@@ -80,7 +82,10 @@ def enrich_with_products(events: DataFrame, products: DataFrame,
     with an event time.
     """
     products = products.select("product_id", "name", "category", "cost")
-    right = F.broadcast(products) if fits_broadcast(products, max_broadcast_rows) else products
+    if fits_broadcast(products, max_broadcast_rows):
+        right = F.broadcast(products)
+    else:
+        right = products.hint("merge")
     if guard_col is None:
         # No explicit null filter: the inner join drops null ids, and a
         # filter that does not mention event time would sink below a watermark.
