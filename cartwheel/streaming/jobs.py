@@ -31,12 +31,19 @@ def _ckpt(spark: SparkSession, given: str | None, name: str) -> str:
     return given or checkpoint_path(spark, name)
 
 
+def _premerge_sessions(spark: SparkSession) -> None:
+    """Merge session windows inside each input partition before the
+    shuffle, so a hot user's events reach the state store pre-combined."""
+    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+
+
 def start_cart_abandonment(spark: SparkSession, envelope: DataFrame, sink: Sink,
                            checkpoint: str | None = None, params: Params = REFERENCE,
                            trigger: Trigger = Trigger("5 seconds")) -> StreamingQuery:
     """Sessions per user (gap), carts without a purchase -> topic records
     ``key = user id``, ``value = {user_id, product_ids, ts}``; append mode,
     each session emitted once after the watermark passes its end."""
+    _premerge_sessions(spark)
     ev = (decode.decode_events(envelope)
           .withWatermark("event_time", interval(params.cart_watermark_s)))
     carts = sessions.session_carts(ev, params.session_gap_s, time_col="event_time")
@@ -69,6 +76,7 @@ def start_purchase_sessions(spark: SparkSession, envelope: DataFrame, products:
                             trigger: Trigger = Trigger()) -> StreamingQuery:
     """P2 (silver): purchase sessions ``user_id, session_start, session_end,
     total_amount`` into a parquet file sink (exactly-once, append)."""
+    _premerge_sessions(spark)
     enr = purchase_stream(envelope, products, params, params.purchase_watermark_s)
     ps = sessions.purchase_sessions(enr, params.session_gap_s)
     return start_stream(ps.select(*schemas.PURCHASE_SESSION.fieldNames()), silver,

@@ -1,0 +1,38 @@
+"""Command-line runner."""
+
+from datetime import datetime
+
+from cartwheel import cli, schemas
+from cartwheel.operators import events as E
+from cartwheel.operators import gold, sessions
+from conftest import EVENT_ROWS, PRODUCT_ROWS, at
+from stream_util import write_events
+
+
+def test_purchase_sessions_then_kpis(spark, scratch, fixture_events, fixture_products):
+    src = f"{scratch}/src"
+    write_events(src, [(e, u, t, p, at(s)) for e, u, t, p, s in EVENT_ROWS])
+    with open(f"{scratch}/products.csv", "w") as f:
+        f.write("product_id,name,category,cost\n")
+        f.writelines(f"{a},{b},{c},{d}\n" for a, b, c, d in PRODUCT_ROWS)
+    (q,) = cli.run(["purchase-sessions", "--envelopes", src, "--products", f"{scratch}/products.csv",
+                    "--out", f"{scratch}/silver", "--checkpoint", f"{scratch}/ck", "--once"], spark)
+    q.awaitTermination(120)
+    silver = spark.read.schema(schemas.PURCHASE_SESSION).parquet(f"{scratch}/silver").collect()
+    # final watermark 20 s - 10 s: only the session ending at 7 s is closed
+    assert [(r["user_id"], r["session_end"]) for r in silver] == [(5, at(7))]
+
+    ps = sessions.purchase_sessions(
+        E.enrich_with_products(E.purchases(E.dedup_events(fixture_events)), fixture_products), 5)
+    gold.gold_averages(ps, 120).write.parquet(f"{scratch}/avg")
+    gold.gold_spend_distribution(ps, 120, 20).write.parquet(f"{scratch}/spend")
+    (out,) = cli.run(["kpis", "--averages", f"{scratch}/avg", "--spend", f"{scratch}/spend",
+                      "--as-of", datetime(2026, 1, 1, 1).isoformat()], spark)
+    assert out["average_order_value"] == 41.67 and out["average_session_duration"] == 5.0
+    assert [h["session_count"] for h in out["histogram"]] == [1, 1, 0, 0, 0, 1]
+    assert out["total_sessions"] == 3 and out["active_buckets"] == 3
+
+
+def test_kpis_without_gold_data(spark, scratch):
+    (out,) = cli.run(["kpis", "--averages", f"{scratch}/none", "--spend", f"{scratch}/none2"], spark)
+    assert out["average_order_value"] == 0.0 and out["histogram"] == []
