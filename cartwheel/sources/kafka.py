@@ -30,11 +30,14 @@ def _require(spark: SparkSession) -> None:
 
 def stream_topic(spark: SparkSession, servers: str, topic: str,
                  starting_offsets: str = "latest",
-                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+                 max_offsets_per_trigger: int | None = None,
+                 min_partitions: int | None = None) -> DataFrame:
     """Subscribe to ``topic``; returns the Kafka envelope columns.
 
     ``max_offsets_per_trigger`` bounds each micro-batch, which bounds the
-    rows a hot key can put into one task per batch.
+    rows a hot key can put into one task per batch; ``min_partitions``
+    splits large topic partitions over several tasks, so a topic partition
+    that carries a large share of the traffic is read in parallel.
     """
     _require(spark)
     reader = (spark.readStream.format("kafka")
@@ -43,6 +46,8 @@ def stream_topic(spark: SparkSession, servers: str, topic: str,
               .option("startingOffsets", starting_offsets))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
     return reader.load()
 
 

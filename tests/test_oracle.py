@@ -17,6 +17,10 @@ def norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP"}
+
+
 def multiset(rows):
     return sorted((tuple(norm(x) for x in r) for r in rows), key=repr)
 
@@ -38,6 +42,8 @@ def test_query_matches_oracle(spark, con, key):
     df = entry.queries()[key](spark, SF)
     rel = con.sql(entry.oracle_sql()[key])
     assert sorted(df.columns) == sorted(rel.columns)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
     order = [rel.columns.index(c) for c in df.columns]
     duck = [tuple(r[i] for i in order) for r in rel.fetchall()]
     assert multiset([tuple(r) for r in df.collect()]) == multiset(duck)
