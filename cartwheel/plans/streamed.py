@@ -10,6 +10,8 @@ so their output is the batch result cut at the final watermark.
 
 from __future__ import annotations
 
+import contextlib
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +29,28 @@ NOW = Trigger(available_now=True)
 TIMEOUT_S = 1800
 
 
+@contextlib.contextmanager
+def _state_partitions(spark: SparkSession):
+    """Shuffle/state partitions for a fresh checkpoint = the cluster's
+    default parallelism (the count is fixed for the checkpoint's life); the
+    session's own setting is restored afterwards."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def _sized(fn):
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with _state_partitions(spark):
+            return fn(spark, sf_dir)
+    return run
+
+
 def _run_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/runs/{name}-{uuid.uuid4().hex}"
 
@@ -96,9 +120,9 @@ def stream_funnel_user_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STREAM_QUERIES = {
-    "stream_abandoned_carts": stream_abandoned_carts,
-    "stream_purchase_sessions": stream_purchase_sessions,
-    "stream_gold_averages": stream_gold_averages,
-    "stream_product_summary": stream_product_summary,
-    "stream_funnel_user_stage": stream_funnel_user_stage,
+    "stream_abandoned_carts": _sized(stream_abandoned_carts),
+    "stream_purchase_sessions": _sized(stream_purchase_sessions),
+    "stream_gold_averages": _sized(stream_gold_averages),
+    "stream_product_summary": _sized(stream_product_summary),
+    "stream_funnel_user_stage": _sized(stream_funnel_user_stage),
 }
