@@ -31,5 +31,5 @@ def decode_json_or_raw(text: Column, schema: StructType | str) -> tuple[Column,
     """
     is_object = F.json_object_keys(text).isNotNull()
     parsed = F.when(is_object, F.from_json(text, schema))
-    raw = F.when(~is_object | is_object.isNull(), text)
+    raw = F.when(~is_object, text)
     return parsed, raw

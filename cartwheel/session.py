@@ -52,3 +52,25 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def checkpoint_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), name)
+
+
+def scale_conf(input_bytes: int, executor_cores_total: int,
+               target_partition_bytes: int = 256 * 1024 * 1024,
+               executor_memory_bytes: int = 8 * 1024 ** 3, cores_per_executor: int = 4) -> dict[str, str]:
+    """Spill-aware sizing for a job reading ``input_bytes``.
+
+    Shuffle partitions are chosen so an average partition is about
+    ``target_partition_bytes`` (and never fewer than the cores), with AQE
+    coalescing small ones and splitting skewed ones at runtime; the target is
+    lowered when a task's share of executor memory is smaller. Input splits
+    use the same size.
+    """
+    per_task_memory = executor_memory_bytes // max(1, cores_per_executor)
+    target = max(32 * 1024 * 1024, min(target_partition_bytes, per_task_memory // 2))
+    partitions = max(executor_cores_total, -(-input_bytes // target))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target * 4),
+    }

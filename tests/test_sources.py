@@ -22,3 +22,12 @@ def test_optional_parquet(spark, scratch):
     assert read_optional_parquet(spark, schemas.GOLD_AVERAGES, f"{scratch}/empty") is None
     spark.createDataFrame([(None, 1, 2, 3)], schemas.GOLD_AVERAGES).write.parquet(f"{scratch}/one")
     assert read_optional_parquet(spark, schemas.GOLD_AVERAGES, f"{scratch}/one").count() == 1
+
+
+def test_scale_conf_for_100tb():
+    from cartwheel.session import scale_conf
+    conf = scale_conf(100 * 1024 ** 4, executor_cores_total=4000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600     # 100 TiB / 256 MiB
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
+    small = scale_conf(10 * 1024 ** 2, executor_cores_total=8)
+    assert small["spark.sql.shuffle.partitions"] == "8"
