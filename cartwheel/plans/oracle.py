@@ -209,6 +209,31 @@ g AS (
   FROM s GROUP BY 1)
 SELECT * FROM g WHERE window_start + INTERVAL {win_s} SECOND
   <= (SELECT max(session_start) FROM s) - INTERVAL {int(p.gold_watermark_s)} SECOND""")
+    gold_s = f""", s AS (
+  SELECT * FROM ps WHERE session_end <= {pur_wm})"""
+    closed = (f"window_start + INTERVAL {win_s} SECOND <= (SELECT max(session_start) FROM s) "
+              f"- INTERVAL {int(p.gold_watermark_s)} SECOND")
+    q["stream_gold_spend_distribution"] = _with(c, ["ev", "pr", "enr", "ps"], gold_s + f""",
+g AS (
+  SELECT window_start, bucket_start, CAST(bucket_start + {width} AS INTEGER) AS bucket_end,
+    CAST(bucket_start AS VARCHAR) || '-' || CAST(bucket_start + {width} AS VARCHAR) AS bucket_label,
+    session_count
+  FROM (
+    SELECT make_timestamp(CAST(floor(epoch_us(session_start) / {win_us}) * {win_us} AS BIGINT))
+        AS window_start,
+      CAST(floor(total_amount / {width}) * {width} AS INTEGER) AS bucket_start,
+      count(*) AS session_count
+    FROM s GROUP BY 1, 2) x)
+SELECT * FROM g WHERE {closed}""")
+    q["stream_funnel_metrics"] = q["funnel_metrics"].replace(
+        "SELECT funnel_stage, user_count,", "SELECT CAST(0 AS INTEGER) AS batch_id, funnel_stage, user_count,", 1)
+    q["stream_dead_letters"] = _with(c, ["ev"], """SELECT r AS error_reason, time_generated AS received_at
+FROM (SELECT *, CASE WHEN src_type = 'error' THEN 'invalid_json'
+                     WHEN src_value < 1 THEN 'bad_timestamp'
+                     WHEN src_value < 2 THEN 'missing_field:user_id'
+                     WHEN src_value < 3 THEN 'schema_mismatch' END AS r
+      FROM ev) x
+WHERE r IS NOT NULL""")
     q["stream_product_summary"] = _with(c, ["ev", "pr", "enr"], f"""SELECT *, CAST(0 AS INTEGER) AS batch_id
 FROM ({prod}) p""")
     q["stream_funnel_user_stage"] = _with(c, ["ev", "us"], "SELECT *, CAST(0 AS INTEGER) AS batch_id FROM us")

@@ -90,16 +90,27 @@ def stream_purchase_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(df.withColumn("total_amount", F.round("total_amount", 2)))
 
 
-def stream_gold_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P2 -> P5: silver stream, then gold stream over the silver directory."""
-    run = _run_dir(spark, "gold")
+def _gold(spark: SparkSession, sf_dir: str, name: str) -> str:
+    run = _run_dir(spark, name)
     silver = _silver(spark, sf_dir, run)
     qs = jobs.start_user_gold(spark, silver, ParquetSink(f"{run}/averages"),
                               ParquetSink(f"{run}/spend"), f"{run}/ckpt/gold", HARNESS, NOW)
     _finish(*qs)
+    return run
+
+
+def stream_gold_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 -> P5: silver stream, then gold stream over the silver directory."""
+    run = _gold(spark, sf_dir, "gold")
     return present(spark.read.schema(schemas.GOLD_AVERAGES).parquet(f"{run}/averages"))
 
 
+def stream_gold_spend_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 -> P5, the spend-distribution output."""
+    run = _gold(spark, sf_dir, "gold-spend")
+    return present(spark.read.schema(schemas.GOLD_SPEND).parquet(f"{run}/spend"))
+
+
 def stream_product_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P3 per micro-batch summaries; the table replays as one batch."""
     run = _run_dir(spark, "products")
@@ -119,10 +130,32 @@ def stream_funnel_user_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(spark.read.parquet(f"{run}/stages"))
 
 
+def stream_funnel_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Funnel metrics of the users updated in each micro-batch."""
+    run = _run_dir(spark, "funnel-metrics")
+    q = jobs.start_funnel(spark, harness.stream_clickstream(spark, sf_dir), f"{run}/metrics",
+                          f"{run}/ckpt", HARNESS, NOW, stateful=True)
+    _finish(q)
+    return present(spark.read.parquet(f"{run}/metrics"))
+
+
+def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 as a stream: damaged messages with reason and receive time."""
+    run = _run_dir(spark, "dlq")
+    src = harness.map_source_events(harness.stream_table(spark, sf_dir, "events"))
+    q = jobs.start_dead_letters(spark, harness.faulty_clickstream_envelope(src),
+                                ParquetSink(f"{run}/dlq"), f"{run}/ckpt", NOW)
+    _finish(q)
+    return present(spark.read.parquet(f"{run}/dlq").select("error_reason", "received_at"))
+
+
 STREAM_QUERIES = {
     "stream_abandoned_carts": _sized(stream_abandoned_carts),
     "stream_purchase_sessions": _sized(stream_purchase_sessions),
     "stream_gold_averages": _sized(stream_gold_averages),
+    "stream_gold_spend_distribution": _sized(stream_gold_spend_distribution),
     "stream_product_summary": _sized(stream_product_summary),
     "stream_funnel_user_stage": _sized(stream_funnel_user_stage),
+    "stream_funnel_metrics": _sized(stream_funnel_metrics),
+    "stream_dead_letters": _sized(stream_dead_letters),
 }

@@ -52,19 +52,23 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_events(_table(spark, sf_dir, "events"))
 
 
-def map_events(raw: DataFrame) -> DataFrame:
-    """Projection of driver event rows onto the event schema (batch or
-    streaming input alike)."""
+def _event_columns() -> list[Column]:
     product = F.when(~F.col("event_type").isin(*NO_PRODUCT_TYPES),
                      F.get_json_object("props", "$.k").cast("bigint"))
-    return raw.select(
+    return [
         F.col("event_id").cast("bigint").alias("event_id"),
         F.col("user_id").cast("bigint").alias("user_id"),
         _mapped_type(F.col("event_type")).alias("event_type"),
         product.alias("product_id"),
         F.col("ts").cast("timestamp").alias("time_generated"),
         F.lit(None).cast("timestamp").alias("time_received"),
-    )
+    ]
+
+
+def map_events(raw: DataFrame) -> DataFrame:
+    """Projection of driver event rows onto the event schema (batch or
+    streaming input alike)."""
+    return raw.select(*_event_columns())
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
@@ -123,19 +127,13 @@ def clickstream_envelope(ev: DataFrame) -> DataFrame:
 def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events plus the driver's own type and ``value`` (for fault rules)."""
     prepare(spark)
-    raw = _table(spark, sf_dir, "events")
-    product = F.when(~F.col("event_type").isin(*NO_PRODUCT_TYPES),
-                     F.get_json_object("props", "$.k").cast("bigint"))
-    return raw.select(
-        F.col("event_id").cast("bigint").alias("event_id"),
-        F.col("user_id").cast("bigint").alias("user_id"),
-        _mapped_type(F.col("event_type")).alias("event_type"),
-        product.alias("product_id"),
-        F.col("ts").cast("timestamp").alias("time_generated"),
-        F.lit(None).cast("timestamp").alias("time_received"),
-        F.col("event_type").alias("src_type"),
-        F.col("value").alias("src_value"),
-    )
+    return map_source_events(_table(spark, sf_dir, "events"))
+
+
+def map_source_events(raw: DataFrame) -> DataFrame:
+    """:func:`map_events` plus the driver's ``event_type`` and ``value``."""
+    return raw.select(*_event_columns(), F.col("event_type").alias("src_type"),
+                      F.col("value").alias("src_value"))
 
 
 def faulty_clickstream_envelope(src: DataFrame) -> DataFrame:

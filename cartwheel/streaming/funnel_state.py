@@ -10,6 +10,7 @@ intended 30 minutes, as a parameter; event time, so it also ends under an
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,6 +20,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from cartwheel import schemas
 from cartwheel.functions.columns import STAGE_BY_EVENT_TYPE
 
+# Imported by the Python worker with the state function: silence a pandas
+# deprecation notice raised inside PySpark's own state serializer.
+warnings.filterwarnings("ignore", category=FutureWarning, module="pyspark.sql.pandas.serializers")
+
 
 def make_state_fn(timeout_s: float):
     timeout_ms = int(timeout_s * 1000)
