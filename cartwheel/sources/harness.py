@@ -24,6 +24,14 @@ EVENT_TYPE_MAP = {
 # Event types that carry no product.
 NO_PRODUCT_TYPES = ["view", "signup"]
 
+# Declared schemas of the driver's tables (read without footer inference).
+RAW_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+}
+
 CLICKSTREAM_TOPIC = "clickstream"
 CART_TOPIC = "abandoned_carts"
 TOPIC_PARTITIONS = 3
@@ -36,7 +44,10 @@ def prepare(spark: SparkSession) -> None:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in RAW_SCHEMAS:
+        reader = reader.schema(RAW_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _mapped_type(raw: Column) -> Column:
@@ -76,7 +87,7 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str,
     """A driver table read as a file stream (the directory holds other
     tables too, so the file name is the glob filter)."""
     prepare(spark)
-    schema = _table(spark, sf_dir, name).schema
+    schema = RAW_SCHEMAS.get(name) or _table(spark, sf_dir, name).schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
