@@ -20,14 +20,18 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def funnel_stage(event_type: Column | str = "event_type") -> Column:
+def case_map(column: str, mapping: dict, default: str) -> Column:
+    """``CASE column WHEN k THEN v ... ELSE default END`` as one expression
+    (one parse instead of one JVM call per branch)."""
+    def lit(v):
+        return f"'{v}'" if isinstance(v, str) else str(v)
+    branches = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in mapping.items())
+    return F.expr(f"CASE `{column}` {branches} ELSE {default} END")
+
+
+def funnel_stage(event_type: str = "event_type") -> Column:
     """Stage of one event (int); unknown or null types are stage 0."""
-    et = _c(event_type)
-    expr = None
-    for name, stage in STAGE_BY_EVENT_TYPE.items():
-        expr = (F.when(et == name, F.lit(stage)) if expr is None
-                else expr.when(et == name, F.lit(stage)))
-    return expr.otherwise(F.lit(0)).cast("int")
+    return case_map(event_type, STAGE_BY_EVENT_TYPE, "0").cast("int")
 
 
 def purchase_flag(event_type: Column | str = "event_type") -> Column:

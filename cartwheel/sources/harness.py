@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cartwheel import schemas
 from cartwheel.functions.codec import encode_json
+from cartwheel.functions.columns import case_map
 
 # Driver event type -> storefront event type.
 EVENT_TYPE_MAP = {
@@ -50,11 +51,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _mapped_type(raw: Column) -> Column:
-    expr = None
-    for src, dst in EVENT_TYPE_MAP.items():
-        expr = F.when(raw == src, F.lit(dst)) if expr is None else expr.when(raw == src, F.lit(dst))
-    return expr.otherwise(raw)
+def _mapped_type() -> Column:
+    return case_map("event_type", EVENT_TYPE_MAP, "`event_type`")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +67,7 @@ def _event_columns() -> list[Column]:
     return [
         F.col("event_id").cast("bigint").alias("event_id"),
         F.col("user_id").cast("bigint").alias("user_id"),
-        _mapped_type(F.col("event_type")).alias("event_type"),
+        _mapped_type().alias("event_type"),
         product.alias("product_id"),
         F.col("ts").cast("timestamp").alias("time_generated"),
         F.lit(None).cast("timestamp").alias("time_received"),
