@@ -38,12 +38,15 @@ def build_session(master: str = "local[*]", app: str = "cartwheel",
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints: ``spark.checkpoint.dir`` when the
-    cluster names one; only when it is unset (local tests) a fresh local
-    folder is created and registered."""
+    cluster names one. Only in local mode, when it is unset (tests), a fresh
+    local folder is created and registered; on a cluster a machine-local
+    folder would not survive the loss of an executor, so it is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store)")
         root = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
