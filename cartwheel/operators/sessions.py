@@ -56,14 +56,17 @@ class SessionAgg:
             return F.collect_set(self.expr).alias(self.name)
         return self.single()
 
-    def merge(self) -> Column:
+    def merge(self, first_row: Column) -> Column:
+        """Combine slice partials into the session value. Slice rows are
+        repeated once per item of an exploded set (see ``_batch_sessions``);
+        ``first_row`` marks one copy, so sums and counts are not repeated."""
         c = F.col(self.name)
+        once = F.when(first_row, c)
         return {
-            "sum": lambda: F.sum(c),
-            "count": lambda: F.sum(c),
+            "sum": lambda: F.sum(once),
+            "count": lambda: F.coalesce(F.sum(once), F.lit(0)),
             "min": lambda: F.min(c),
             "max": lambda: F.max(c),
-            "set": lambda: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))),
         }[self.how]().alias(self.name)
 
 
@@ -98,8 +101,20 @@ def _batch_sessions(df: DataFrame, key: str, time_col: str, gap_us: int,
     starts = F.when(F.col("_gap").isNull() | (F.col("_gap") > F.lit(gap_us)), F.col("_first"))
     tagged = slices.withColumn("_start", F.max(starts).over(
         by_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    out = tagged.groupBy(key, "_start").agg(F.max("_last").alias("_end"),
-                                            *[a.merge() for a in aggs])
+    # A set aggregate merges by exploding the slice sets and collecting the
+    # distinct items again: its state is bounded by the distinct items, not
+    # by how many slices the session spans, and it combines map-side.
+    sets = [a for a in aggs if a.how == "set"]
+    if len(sets) > 1:
+        raise ValueError("at most one set aggregate per sessionization")
+    first_row = F.lit(True)
+    merges = []
+    if sets:
+        tagged = tagged.select("*", F.posexplode_outer(sets[0].name).alias("_pos", "_item"))
+        first_row = F.col("_pos").isNull() | (F.col("_pos") == 0)
+        merges.append(F.array_sort(F.collect_set("_item")).alias(sets[0].name))
+    merges += [a.merge(first_row) for a in aggs if a.how != "set"]
+    out = tagged.groupBy(key, "_start").agg(F.max("_last").alias("_end"), *merges)
     return out.select(
         key,
         F.timestamp_micros("_start").alias("session_start"),

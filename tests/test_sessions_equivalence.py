@@ -26,7 +26,7 @@ def brute(events, gap):
     for u, s, v, item in events:
         by_user.setdefault(u, []).append((s, v, item))
     for u, evs in by_user.items():
-        evs.sort()
+        evs.sort(key=lambda e: e[0])
         cur = None
         for s, v, item in evs:
             if cur is None or s - cur["last"] > gap:
