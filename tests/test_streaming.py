@@ -186,3 +186,23 @@ def test_memory_sink_for_debugging(spark, scratch):
     run(jobs.start_cart_abandonment(spark, stream_envelopes(spark, src), MemorySink("carts_dbg"),
                                     f"{scratch}/ckpt", REFERENCE, NOW))
     assert spark.sql("SELECT user_id FROM carts_dbg").collect()[0]["user_id"] == 2
+
+
+def test_product_summary_batches_add_up_to_batch_result(spark, scratch):
+    sf = "/root/testdata/sf0.001"
+    pdf = harness.clickstream_envelope(harness.events(spark, sf)).orderBy("timestamp").toPandas()
+    src = f"{scratch}/src"
+    for part in range(3):
+        chunk = pdf.iloc[part * len(pdf) // 3:(part + 1) * len(pdf) // 3]
+        write_envelopes(src, [(k.decode(), v.decode(), t.to_pydatetime())
+                              for k, v, t in zip(chunk["key"], chunk["value"], chunk["timestamp"])])
+    products = harness.products(spark, sf)
+    q = jobs.start_product_summary(spark, stream_envelopes(spark, src, 1), products,
+                                   f"{scratch}/product", f"{scratch}/category", f"{scratch}/ck",
+                                   HARNESS, NOW)
+    run(q)
+    per_batch = spark.read.parquet(f"{scratch}/product")
+    assert per_batch.select("batch_id").distinct().count() == 3
+    totals = per_batch.groupBy("product_id").agg(F.sum("num_purchases").alias("n"))
+    expect = Chain(spark, sf).enriched().groupBy("product_id").agg(F.count("event_id").alias("n"))
+    assert sorted(totals.collect()) == sorted(expect.collect())
