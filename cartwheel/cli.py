@@ -67,6 +67,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> lis
     ap.add_argument("--out-topic", default="abandoned_carts")
     ap.add_argument("--category-out")
     ap.add_argument("--stages-out")
+    ap.add_argument("--valid-out")
     ap.add_argument("--silver")
     ap.add_argument("--averages")
     ap.add_argument("--spend")
@@ -89,7 +90,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> lis
         sink = KafkaSink(a.kafka, a.out_topic) if a.kafka and not a.out else ParquetSink(a.out)
         return [jobs.start_cart_abandonment(spark, src, sink, a.checkpoint, p, _trigger(a, "5 seconds"))]
     if a.job == "dead-letters":
-        return [jobs.start_dead_letters(spark, src, ParquetSink(a.out), a.checkpoint, _trigger(a, None))]
+        return [jobs.start_dead_letters(spark, src, a.out, a.checkpoint, _trigger(a, None),
+                                        valid_root=a.valid_out)]
     if a.job == "funnel":
         return [jobs.start_funnel(spark, src, a.out, a.checkpoint, p, _trigger(a, None),
                                   stages_root=a.stages_out)]

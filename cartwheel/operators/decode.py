@@ -57,7 +57,10 @@ def route_events(envelope: DataFrame, schema: StructType = schemas.EVENT,
 
 
 def split_routes(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid events, dead letters) from :func:`route_events` output."""
+    """(valid events, dead letters) from :func:`route_events` output.
+
+    When both are materialised, persist ``routed`` first: Catalyst pushes
+    the reason filter below the projection and would repeat the parsing."""
     valid = routed.where(F.col("error_reason").isNull()).drop("raw_value", "error_reason")
     dlq = routed.where(F.col("error_reason").isNotNull()).select(
         "raw_value", "error_reason", "received_at")

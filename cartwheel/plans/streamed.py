@@ -143,8 +143,8 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X1 as a stream: damaged messages with reason and receive time."""
     run = _run_dir(spark, "dlq")
     src = harness.map_source_events(harness.stream_table(spark, sf_dir, "events"))
-    q = jobs.start_dead_letters(spark, harness.faulty_clickstream_envelope(src),
-                                ParquetSink(f"{run}/dlq"), f"{run}/ckpt", NOW)
+    q = jobs.start_dead_letters(spark, harness.faulty_clickstream_envelope(src), f"{run}/dlq",
+                                f"{run}/ckpt", NOW)
     _finish(q)
     return present(spark.read.parquet(f"{run}/dlq").select("error_reason", "received_at"))
 

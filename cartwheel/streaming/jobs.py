@@ -37,6 +37,18 @@ def _premerge_sessions(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
 
 
+def decoded(envelope: DataFrame, job: str) -> DataFrame:
+    """Decode the envelope and observe per-batch counts (``messages``,
+    ``malformed``) in the query progress under ``<job>_decode``.
+
+    The observation is also a plan barrier: a filter on decoded fields stays
+    above it instead of being pushed into the JSON parsing, so each message
+    is parsed once (the pushed filter would parse it again per field)."""
+    return decode.decode_events(envelope).observe(
+        f"{job}_decode", F.count(F.lit(1)).alias("messages"),
+        F.count_if(F.col("event_id").isNull()).alias("malformed"))
+
+
 def start_cart_abandonment(spark: SparkSession, envelope: DataFrame, sink: Sink,
                            checkpoint: str | None = None, params: Params = REFERENCE,
                            trigger: Trigger = Trigger("5 seconds")) -> StreamingQuery:
@@ -44,7 +56,7 @@ def start_cart_abandonment(spark: SparkSession, envelope: DataFrame, sink: Sink,
     ``key = user id``, ``value = {user_id, product_ids, ts}``; append mode,
     each session emitted once after the watermark passes its end."""
     _premerge_sessions(spark)
-    ev = (decode.decode_events(envelope)
+    ev = (decoded(envelope, "cart_abandonment")
           .withWatermark("event_time", interval(params.cart_watermark_s)))
     carts = sessions.session_carts(ev, params.session_gap_s, time_col="event_time")
     out = sessions.cart_messages(sessions.abandoned_carts(carts))
@@ -55,12 +67,12 @@ def start_cart_abandonment(spark: SparkSession, envelope: DataFrame, sink: Sink,
 
 
 def purchase_stream(envelope: DataFrame, products: DataFrame, params: Params,
-                    watermark_s: float | None) -> DataFrame:
+                    watermark_s: float | None, job: str = "purchases") -> DataFrame:
     """Decoded purchases joined with the catalogue, watermarked on event time
     (no watermark when ``watermark_s`` is None).
 
     Filter placement decides which events advance the watermark (D19)."""
-    ev = decode.decode_events(envelope)
+    ev = decoded(envelope, job)
     if watermark_s is not None:
         ev = ev.withWatermark("time_generated", interval(watermark_s))
     pur = events.purchases(ev, watermark_from=params.watermark_from)
@@ -77,7 +89,8 @@ def start_purchase_sessions(spark: SparkSession, envelope: DataFrame, products:
     """P2 (silver): purchase sessions ``user_id, session_start, session_end,
     total_amount`` into a parquet file sink (exactly-once, append)."""
     _premerge_sessions(spark)
-    enr = purchase_stream(envelope, products, params, params.purchase_watermark_s)
+    enr = purchase_stream(envelope, products, params, params.purchase_watermark_s,
+                          "purchase_sessions")
     ps = sessions.purchase_sessions(enr, params.session_gap_s)
     return start_stream(ps.select(*schemas.PURCHASE_SESSION.fieldNames()), silver,
                         _ckpt(spark, checkpoint, "purchase_sessions"), trigger,
@@ -94,7 +107,7 @@ def start_product_summary(spark: SparkSession, envelope: DataFrame, products: Da
     stateful operator follows, so the watermark is only set when dedup needs
     it (D10)."""
     wm = params.product_watermark_s if params.dedup else None
-    enr = purchase_stream(envelope, products, params, wm)
+    enr = purchase_stream(envelope, products, params, wm, "product_summary")
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
@@ -118,7 +131,7 @@ def start_funnel(spark: SparkSession, envelope: DataFrame, metrics_root: str,
 
     ``stateful=True`` keeps per-user state with event-time expiry (T6);
     ``False`` uses a native ``max`` aggregate in update mode (no expiry)."""
-    ev = (decode.decode_events(envelope)
+    ev = (decoded(envelope, "funnel")
           .withWatermark("time_generated", interval(params.funnel_watermark_s))
           .dropDuplicatesWithinWatermark(["event_id"]))
     if stateful:
@@ -164,14 +177,24 @@ def start_user_gold(spark: SparkSession, silver_path: str, averages: ParquetSink
     return queries
 
 
-def start_dead_letters(spark: SparkSession, envelope: DataFrame, dlq: Sink,
-                       checkpoint: str | None = None,
-                       trigger: Trigger = Trigger()) -> StreamingQuery:
-    """Messages that fail decoding or validation, with the original text,
-    the reason and the receive time."""
-    _, dead = decode.split_routes(decode.route_events(envelope))
-    return start_stream(dead, dlq, _ckpt(spark, checkpoint, "dead_letters"), trigger,
-                        name="dead_letters")
+def start_dead_letters(spark: SparkSession, envelope: DataFrame, dlq_root: str,
+                       checkpoint: str | None = None, trigger: Trigger = Trigger(),
+                       valid_root: str | None = None) -> StreamingQuery:
+    """Classify every message once per micro-batch; dead letters
+    (original text, reason, receive time) go to ``dlq_root/batch_id=N`` and,
+    when ``valid_root`` is given, decoded valid events to
+    ``valid_root/batch_id=N``. The routed batch is persisted before the
+    split, so each message is parsed once (a filter on the reason would
+    otherwise be pushed into, and repeat, the parsing)."""
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        outputs = [(lambda r: decode.split_routes(r)[1], dlq_root)]
+        if valid_root:
+            outputs.append((lambda r: decode.split_routes(r)[0], valid_root))
+        fan_out(decode.route_events(batch_df), batch_id, outputs)
+
+    return start_foreach_batch(envelope, write, _ckpt(spark, checkpoint, "dead_letters"), trigger,
+                               name="dead_letters")
 
 
 def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:

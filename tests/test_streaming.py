@@ -104,6 +104,9 @@ def test_two_hop_silver_gold_equals_batch(spark, scratch):
     q = run(jobs.start_purchase_sessions(spark, stream_envelopes(spark, src, 1), products,
                                          ParquetSink(silver), f"{ck}/silver", HARNESS, NOW))
     wm = q.lastProgress["eventTime"]["watermark"]
+    seen = sum(p["observedMetrics"]["purchase_sessions_decode"]["messages"]
+               for p in q.recentProgress if "purchase_sessions_decode" in p.get("observedMetrics", {}))
+    assert seen == ev.count()
     batch = Chain(spark, sf).purchase_sessions()
     closed = batch.where(F.col("session_end") <= F.lit(wm).cast("timestamp"))
     streamed = spark.read.schema(schemas.PURCHASE_SESSION).parquet(silver)
@@ -167,10 +170,12 @@ def test_dead_letters_stream(spark, scratch):
                           ("1", '{"event_id":1,"user_id":1,"event_type":"x","time_generated":"garbage"}', at(1)),
                           ("1", '{"event_id":2,"user_id":1,"event_type":"x",'
                                 '"time_generated":"2026-01-01T00:00:01.000000Z"}', at(1))])
-    run(jobs.start_dead_letters(spark, stream_envelopes(spark, src), ParquetSink(f"{scratch}/dlq"),
-                                f"{scratch}/ckpt", NOW))
+    run(jobs.start_dead_letters(spark, stream_envelopes(spark, src), f"{scratch}/dlq",
+                                f"{scratch}/ckpt", NOW, valid_root=f"{scratch}/valid"))
     dl = spark.read.parquet(f"{scratch}/dlq")
     assert sorted(r["error_reason"] for r in dl.collect()) == ["bad_timestamp", "invalid_json"]
+    ok = spark.read.parquet(f"{scratch}/valid").collect()
+    assert [(r["event_id"], r["batch_id"]) for r in ok] == [(2, 0)]
 
 
 def test_kafka_source_is_gated(spark):
