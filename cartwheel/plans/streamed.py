@@ -159,3 +159,34 @@ STREAM_QUERIES = {
     "stream_funnel_metrics": _sized(stream_funnel_metrics),
     "stream_dead_letters": _sized(stream_dead_letters),
 }
+
+
+def _progress_summary(q) -> dict:
+    progress = [p for p in q.recentProgress if p.get("numInputRows", 0) or p.get("stateOperators")]
+    rows = sum(p.get("numInputRows", 0) for p in progress)
+    secs = sum(p["durationMs"].get("triggerExecution", 0) for p in progress) / 1000.0
+    state = {}
+    for p in progress:
+        for op in p.get("stateOperators", []):
+            name = op.get("operatorName", "state")
+            state[name] = max(state.get(name, 0), op.get("numRowsTotal", 0))
+    return {"rows": rows, "sec": round(secs, 3),
+            "rows_per_sec": round(rows / secs, 1) if secs else None, "state_rows": state}
+
+
+def job_metrics(spark: SparkSession, sf_dir: str) -> dict:
+    """Throughput and state size of the silver (P2) and funnel (P4) jobs over
+    the whole events table, from the queries' progress reports."""
+    out = {}
+    with _state_partitions(spark):
+        run = _run_dir(spark, "metrics")
+        q = jobs.start_purchase_sessions(spark, harness.stream_clickstream(spark, sf_dir),
+                                         harness.products(spark, sf_dir), ParquetSink(f"{run}/silver"),
+                                         f"{run}/ckpt/silver", HARNESS, NOW)
+        _finish(q)
+        out["purchase_sessions"] = _progress_summary(q)
+        q = jobs.start_funnel(spark, harness.stream_clickstream(spark, sf_dir), f"{run}/metrics",
+                              f"{run}/ckpt/funnel", HARNESS, NOW, stateful=True)
+        _finish(q)
+        out["funnel"] = _progress_summary(q)
+    return out
