@@ -21,6 +21,10 @@ def test_purchase_sessions_then_kpis(spark, scratch, fixture_events, fixture_pro
     silver = spark.read.schema(schemas.PURCHASE_SESSION).parquet(f"{scratch}/silver").collect()
     # final watermark 20 s - 10 s: only the session ending at 7 s is closed
     assert [(r["user_id"], r["session_end"]) for r in silver] == [(5, at(7))]
+    for g in cli.run(["user-gold", "--silver", f"{scratch}/silver", "--averages", f"{scratch}/ga",
+                      "--spend", f"{scratch}/gs", "--checkpoint", f"{scratch}/ckg", "--once"], spark):
+        g.awaitTermination(120)
+        assert g.exception() is None
 
     ps = sessions.purchase_sessions(
         E.enrich_with_products(E.purchases(E.dedup_events(fixture_events)), fixture_products), 5)
@@ -36,3 +40,27 @@ def test_purchase_sessions_then_kpis(spark, scratch, fixture_events, fixture_pro
 def test_kpis_without_gold_data(spark, scratch):
     (out,) = cli.run(["kpis", "--averages", f"{scratch}/none", "--spend", f"{scratch}/none2"], spark)
     assert out["average_order_value"] == 0.0 and out["histogram"] == []
+
+
+def test_every_job_runs_from_the_command_line(spark, scratch):
+    src = f"{scratch}/src"
+    write_events(src, [(e, u, t, p, at(s)) for e, u, t, p, s in EVENT_ROWS])
+    with open(f"{scratch}/products.csv", "w") as f:
+        f.write("product_id,name,category,cost\n")
+        f.writelines(f"{a},{b},{c},{d}\n" for a, b, c, d in PRODUCT_ROWS)
+    common = ["--envelopes", src, "--once"]
+    jobs_args = {
+        "cart-abandonment": ["--out", f"{scratch}/carts"],
+        "product-summary": ["--products", f"{scratch}/products.csv", "--out", f"{scratch}/prod",
+                            "--category-out", f"{scratch}/cat"],
+        "funnel": ["--out", f"{scratch}/funnel", "--stages-out", f"{scratch}/stages"],
+        "dead-letters": ["--out", f"{scratch}/dlq", "--valid-out", f"{scratch}/valid"],
+    }
+    for job, extra in jobs_args.items():
+        for q in cli.run([job, *common, *extra, "--checkpoint", f"{scratch}/ck-{job}"], spark):
+            q.awaitTermination(120)
+            assert q.exception() is None, job
+    assert spark.read.parquet(f"{scratch}/carts").count() == 1
+    assert spark.read.parquet(f"{scratch}/prod").count() == 3
+    assert spark.read.parquet(f"{scratch}/stages").count() == 5
+    assert spark.read.parquet(f"{scratch}/valid").count() == len(EVENT_ROWS)
