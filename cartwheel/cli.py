@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel import schemas
 from cartwheel.params import HARNESS, REFERENCE, Params
-from cartwheel.session import build_session
+from cartwheel.session import STREAMING_CONF, build_session
 from cartwheel.sources import read_optional_parquet, read_products_csv, stream_envelopes, stream_topic
 from cartwheel.streaming import jobs
 from cartwheel.streaming.sinks import KafkaSink, ParquetSink, Trigger
@@ -77,7 +77,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> lis
     ap.add_argument("--dedup", action="store_true")
     ap.add_argument("--as-of")
     a = ap.parse_args(argv)
-    spark = spark or build_session(app=f"cartwheel-{a.job}")
+    spark = spark or build_session(app=f"cartwheel-{a.job}",
+                                   extra=None if a.job == "kpis" else STREAMING_CONF)
     p = _params(a)
 
     if a.job == "kpis":

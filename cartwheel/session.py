@@ -23,6 +23,16 @@ BASE_CONF = {
 }
 
 
+# Streaming deployments: state in RocksDB (spills to local disk instead of
+# the JVM heap, so large dedup and session state fits), with changelog
+# checkpointing (each batch uploads only its changes).
+STREAMING_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def build_session(master: str = "local[*]", app: str = "cartwheel",
                   shuffle_partitions: int = 8, extra: dict[str, str] | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)

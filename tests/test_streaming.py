@@ -211,3 +211,23 @@ def test_product_summary_batches_add_up_to_batch_result(spark, scratch):
     totals = per_batch.groupBy("product_id").agg(F.sum("num_purchases").alias("n"))
     expect = Chain(spark, sf).enriched().groupBy("product_id").agg(F.count("event_id").alias("n"))
     assert sorted(totals.collect()) == sorted(expect.collect())
+
+
+def test_rocksdb_state_store_conf_runs(spark, scratch):
+    """The deployment state-store settings work with a stateful job."""
+    from cartwheel.session import STREAMING_CONF
+    old = {k: spark.conf.get(k, None) for k in STREAMING_CONF}
+    for k, v in STREAMING_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        src = f"{scratch}/src"
+        write_events(src, [(e, u, t, p, at(s)) for e, u, t, p, s in EVENT_ROWS])
+        run(jobs.start_funnel(spark, stream_envelopes(spark, src), f"{scratch}/m", f"{scratch}/ck",
+                              REFERENCE, NOW, stages_root=f"{scratch}/stages"))
+        assert spark.read.parquet(f"{scratch}/stages").count() == 5
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
