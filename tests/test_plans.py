@@ -52,3 +52,18 @@ def test_large_catalogue_is_not_broadcast(spark):
     p = plan(E.enrich_with_products(ev, harness.products(spark, SF), max_broadcast_rows=10))
     assert "BroadcastExchange" not in p
     assert "SortMergeJoin" in p
+
+
+def test_streams_parse_each_message_once(spark, scratch, fixture_products):
+    from cartwheel import REFERENCE
+    from cartwheel.sources import stream_envelopes
+    from cartwheel.streaming import jobs
+    from conftest import at
+    from stream_util import write_events
+    write_events(f"{scratch}/src", [(1, 1, "purchase", 3, at(0))])
+    env = stream_envelopes(spark, f"{scratch}/src")
+    for mode in ("filtered", "all"):
+        df = jobs.purchase_stream(env, fixture_products, REFERENCE.with_(watermark_from=mode), 10)
+        p = plan(df)
+        assert p.count("from_json") == 1, mode
+        assert "CollectMetrics" in p
