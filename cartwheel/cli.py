@@ -6,6 +6,7 @@
         --averages s3://bucket/gold/averages --spend s3://bucket/gold/spend
     python -m cartwheel.cli kpis --averages s3://bucket/gold/averages \\
         --spend s3://bucket/gold/spend
+    python -m cartwheel.cli topic-dump --kafka broker:9092 --limit 20
 
 Sources: ``--kafka SERVERS`` (topic ``--topic``, default clickstream) or
 ``--envelopes DIR`` (parquet files with the Kafka envelope schema).
@@ -23,10 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel import schemas
 from cartwheel.params import HARNESS, REFERENCE, Params
-from cartwheel.session import STREAMING_CONF, build_session
+from cartwheel.session import STREAMING_CONF, build_session, checkpoint_path
 from cartwheel.sources import read_optional_parquet, read_products_csv, stream_envelopes, stream_topic
 from cartwheel.streaming import jobs
-from cartwheel.streaming.sinks import KafkaSink, ParquetSink, Trigger
+from cartwheel.streaming.sinks import ConsoleSink, KafkaSink, ParquetSink, Trigger
 
 PRESETS = {"reference": REFERENCE, "harness": HARNESS}
 
@@ -55,7 +56,7 @@ def _params(a: argparse.Namespace) -> Params:
 def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> list:
     ap = argparse.ArgumentParser(prog="cartwheel")
     ap.add_argument("job", choices=["cart-abandonment", "purchase-sessions", "product-summary",
-                                    "funnel", "user-gold", "dead-letters", "kpis"])
+                                    "funnel", "user-gold", "dead-letters", "kpis", "topic-dump"])
     ap.add_argument("--preset", choices=sorted(PRESETS), default="reference")
     ap.add_argument("--kafka")
     ap.add_argument("--topic", default="clickstream")
@@ -76,6 +77,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> lis
     ap.add_argument("--once", action="store_true")
     ap.add_argument("--dedup", action="store_true")
     ap.add_argument("--as-of")
+    ap.add_argument("--console", action="store_true", help="also print results (debug)")
+    ap.add_argument("--limit", type=int, default=20)
     a = ap.parse_args(argv)
     spark = spark or build_session(app=f"cartwheel-{a.job}",
                                    extra=None if a.job == "kpis" else STREAMING_CONF)
@@ -83,13 +86,23 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> lis
 
     if a.job == "kpis":
         return [_kpis(spark, a, p)]
+    if a.job == "topic-dump":
+        return [_topic_dump(spark, a)]
     if a.job == "user-gold":
         return jobs.start_user_gold(spark, a.silver, ParquetSink(a.averages), ParquetSink(a.spend),
-                                    a.checkpoint, p, _trigger(a, "1 minute"), a.max_files_per_trigger)
+                                    a.checkpoint, p, _trigger(a, "1 minute"), a.max_files_per_trigger,
+                                    debug_console=a.console)
     src = _source(spark, a, p)
     if a.job == "cart-abandonment":
         sink = KafkaSink(a.kafka, a.out_topic) if a.kafka and not a.out else ParquetSink(a.out)
-        return [jobs.start_cart_abandonment(spark, src, sink, a.checkpoint, p, _trigger(a, "5 seconds"))]
+        started = [jobs.start_cart_abandonment(spark, src, sink, a.checkpoint, p,
+                                               _trigger(a, "5 seconds"))]
+        if a.console:  # K2: an independent debug query with its own state
+            started.append(jobs.start_cart_abandonment(
+                spark, _source(spark, a, p), ConsoleSink(),
+                f"{a.checkpoint}-console" if a.checkpoint else checkpoint_path(spark, "cart_console"),
+                p, _trigger(a, "5 seconds")))
+        return started
     if a.job == "dead-letters":
         return [jobs.start_dead_letters(spark, src, a.out, a.checkpoint, _trigger(a, None),
                                         valid_root=a.valid_out)]
@@ -124,6 +137,21 @@ def _kpis(spark: SparkSession, a: argparse.Namespace, p: Params) -> dict:
     return out
 
 
+def _topic_dump(spark: SparkSession, a: argparse.Namespace) -> dict:
+    """The first ``--limit`` records of the abandoned-cart topic
+    (Kafka from the earliest offsets, or envelope files), decoded: key text,
+    value as JSON when it is a JSON object, else raw text."""
+    from cartwheel.operators import decode
+    from cartwheel.sources import read_topic
+
+    env = (read_topic(spark, a.kafka, a.out_topic) if a.kafka
+           else spark.read.schema(schemas.ENVELOPE).parquet(a.envelopes))
+    rows = decode.decode_topic(env, schemas.CART_MESSAGE).limit(a.limit).collect()
+    return {"records": [{"key": r["key"], "value": r["value"].asDict() if r["value"] else None,
+                         "raw_value": r["raw_value"], "partition": r["partition"],
+                         "offset": r["offset"]} for r in rows]}
+
+
 def main() -> None:
     started = run(sys.argv[1:])
     if started and isinstance(started[0], dict):

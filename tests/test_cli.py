@@ -64,3 +64,14 @@ def test_every_job_runs_from_the_command_line(spark, scratch):
     assert spark.read.parquet(f"{scratch}/prod").count() == 3
     assert spark.read.parquet(f"{scratch}/stages").count() == 5
     assert spark.read.parquet(f"{scratch}/valid").count() == len(EVENT_ROWS)
+
+
+def test_topic_dump_decodes_records(spark, scratch):
+    from stream_util import write_envelopes
+    write_envelopes(f"{scratch}/topic", [
+        ("2", '{"user_id":2,"product_ids":[4,5],"ts":"2026-01-01T00:00:08.000Z"}', at(8)),
+        (None, "plain text", at(9))])
+    (out,) = cli.run(["topic-dump", "--envelopes", f"{scratch}/topic"], spark)
+    recs = sorted(out["records"], key=lambda r: r["offset"])
+    assert recs[0]["key"] == "2" and recs[0]["value"]["product_ids"] == [4, 5]
+    assert recs[1]["key"] is None and recs[1]["raw_value"] == "plain text"
