@@ -75,3 +75,14 @@ def test_topic_dump_decodes_records(spark, scratch):
     recs = sorted(out["records"], key=lambda r: r["offset"])
     assert recs[0]["key"] == "2" and recs[0]["value"]["product_ids"] == [4, 5]
     assert recs[1]["key"] is None and recs[1]["raw_value"] == "plain text"
+
+
+def test_console_debug_query(spark, scratch):
+    src = f"{scratch}/src"
+    write_events(src, [(e, u, t, p, at(s)) for e, u, t, p, s in EVENT_ROWS])
+    started = cli.run(["cart-abandonment", "--envelopes", src, "--once", "--console",
+                       "--out", f"{scratch}/carts", "--checkpoint", f"{scratch}/ck"], spark)
+    assert len(started) == 2
+    for q in started:
+        q.awaitTermination(120)
+        assert q.exception() is None
