@@ -101,7 +101,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> lis
             started.append(jobs.start_cart_abandonment(
                 spark, _source(spark, a, p), ConsoleSink(),
                 f"{a.checkpoint}-console" if a.checkpoint else checkpoint_path(spark, "cart_console"),
-                p, _trigger(a, "5 seconds")))
+                p, _trigger(a, "5 seconds"), name="cart_abandonment_console"))
         return started
     if a.job == "dead-letters":
         return [jobs.start_dead_letters(spark, src, a.out, a.checkpoint, _trigger(a, None),

@@ -51,19 +51,19 @@ def decoded(envelope: DataFrame, job: str) -> DataFrame:
 
 def start_cart_abandonment(spark: SparkSession, envelope: DataFrame, sink: Sink,
                            checkpoint: str | None = None, params: Params = REFERENCE,
-                           trigger: Trigger = Trigger("5 seconds")) -> StreamingQuery:
+                           trigger: Trigger = Trigger("5 seconds"),
+                           name: str = "cart_abandonment") -> StreamingQuery:
     """Sessions per user (gap), carts without a purchase -> topic records
     ``key = user id``, ``value = {user_id, product_ids, ts}``; append mode,
     each session emitted once after the watermark passes its end."""
     _premerge_sessions(spark)
-    ev = (decoded(envelope, "cart_abandonment")
+    ev = (decoded(envelope, name)
           .withWatermark("event_time", interval(params.cart_watermark_s)))
     carts = sessions.session_carts(ev, params.session_gap_s, time_col="event_time")
     out = sessions.cart_messages(sessions.abandoned_carts(carts))
     if isinstance(sink, KafkaSink):
         out = out.select("key", "value")
-    return start_stream(out, sink, _ckpt(spark, checkpoint, "cart_abandonment"), trigger,
-                        name="cart_abandonment")
+    return start_stream(out, sink, _ckpt(spark, checkpoint, name), trigger, name=name)
 
 
 def purchase_stream(envelope: DataFrame, products: DataFrame, params: Params,
