@@ -86,7 +86,8 @@ def _silver(spark: SparkSession, sf_dir: str, run: str) -> str:
 def stream_purchase_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2 (silver) over the whole events table."""
     silver = _silver(spark, sf_dir, _run_dir(spark, "silver"))
-    df = spark.read.schema(schemas.PURCHASE_SESSION).parquet(silver)
+    df = (spark.read.schema(schemas.PURCHASE_SESSION).parquet(silver)
+          .select(*schemas.PURCHASE_SESSION.fieldNames()))
     return present(df.withColumn("total_amount", F.round("total_amount", 2)))
 
 

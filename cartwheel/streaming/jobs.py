@@ -87,13 +87,18 @@ def start_purchase_sessions(spark: SparkSession, envelope: DataFrame, products:
                             params: Params = REFERENCE,
                             trigger: Trigger = Trigger()) -> StreamingQuery:
     """P2 (silver): purchase sessions ``user_id, session_start, session_end,
-    total_amount`` into a parquet file sink (exactly-once, append)."""
+    total_amount`` into a parquet file sink (exactly-once, append),
+    partitioned by ``session_date`` (UTC date of the start) so batch readers
+    of a large silver table prune by date; readers with the declared schema
+    get ``session_date`` appended as a column."""
     _premerge_sessions(spark)
     enr = purchase_stream(envelope, products, params, params.purchase_watermark_s,
                           "purchase_sessions")
     ps = sessions.purchase_sessions(enr, params.session_gap_s)
-    return start_stream(ps.select(*schemas.PURCHASE_SESSION.fieldNames()), silver,
-                        _ckpt(spark, checkpoint, "purchase_sessions"), trigger,
+    out = ps.select(*schemas.PURCHASE_SESSION.fieldNames(),
+                    F.to_date("session_start").alias("session_date"))
+    sink = silver if silver.partition_by else ParquetSink(silver.path, ("session_date",))
+    return start_stream(out, sink, _ckpt(spark, checkpoint, "purchase_sessions"), trigger,
                         name="purchase_sessions")
 
 

@@ -35,6 +35,7 @@ class Trigger:
 @dataclass(frozen=True)
 class ParquetSink:
     path: str
+    partition_by: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -70,6 +71,8 @@ def start_stream(df: DataFrame, sink: Sink, checkpoint: str | None, trigger: Tri
         w = w.option("checkpointLocation", checkpoint)
     w = trigger.apply(w)
     if isinstance(sink, ParquetSink):
+        if sink.partition_by:
+            w = w.partitionBy(*sink.partition_by)
         return w.format("parquet").option("path", sink.path).start()
     if isinstance(sink, KafkaSink):
         return (w.format("kafka").option("kafka.bootstrap.servers", sink.servers)

@@ -111,6 +111,7 @@ def test_two_hop_silver_gold_equals_batch(spark, scratch):
     closed = batch.where(F.col("session_end") <= F.lit(wm).cast("timestamp"))
     streamed = spark.read.schema(schemas.PURCHASE_SESSION).parquet(silver)
     assert streamed.count() > 0
+    assert any(d.startswith("session_date=") for d in os.listdir(silver))  # date-partitioned
     cols = ["user_id", "session_start", "session_end", F.round("total_amount", 6).alias("t")]
     assert sorted(streamed.select(cols).collect()) == sorted(closed.select(cols).collect())
     # hop 2: gold from the silver directory, read through its commit log
