@@ -68,3 +68,13 @@ def test_hot_user_sessions_match_session_window(spark):
                    F.col("session_window.end").alias("session_end"), "total"))
     assert ours.count() == ref.count() > 100
     assert ours.exceptAll(ref).count() == 0
+
+
+def test_d18_funnel_ignores_null_users_and_malformed_rows(spark):
+    from cartwheel import schemas
+    from cartwheel.operators import funnel
+    rows = [(1, 1, "purchase", 3, T0, None), (2, None, "search", None, T0, None),
+            (None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, schemas.EVENT)
+    us = funnel.user_stage(df).collect()
+    assert [(r["user_id"], r["highest_funnel_stage"]) for r in us] == [(1, 4)]
