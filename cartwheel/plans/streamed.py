@@ -10,7 +10,6 @@ so their output is the batch result cut at the final watermark.
 
 from __future__ import annotations
 
-import contextlib
 import functools
 import uuid
 
@@ -29,25 +28,20 @@ NOW = Trigger(available_now=True)
 TIMEOUT_S = 1800
 
 
-@contextlib.contextmanager
-def _state_partitions(spark: SparkSession):
-    """Shuffle/state partitions for a fresh checkpoint = the cluster's
-    default parallelism (the count is fixed for the checkpoint's life); the
-    session's own setting is restored afterwards."""
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
+def _job_session(spark: SparkSession) -> SparkSession:
+    """A session for one catalogue stream run: it shares the SparkContext but
+    not the SQL settings, so sizing it never touches the caller's session
+    (also under concurrent calls). Shuffle/state partitions = the cluster's
+    default parallelism, fixed for the fresh checkpoint's life."""
+    child = spark.newSession()
+    child.conf.set("spark.sql.shuffle.partitions", str(max(1, spark.sparkContext.defaultParallelism)))
+    return child
 
 
 def _sized(fn):
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        with _state_partitions(spark):
-            return fn(spark, sf_dir)
+        return fn(_job_session(spark), sf_dir)
     return run
 
 
@@ -55,6 +49,11 @@ def _run_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/runs/{name}-{uuid.uuid4().hex}"
 
 
+def _qname(run: str, job: str) -> str:
+    """Unique query name per run, so concurrent catalogue calls never clash."""
+    return f"{job}_{run.rsplit('-', 1)[-1][:12]}"
+
+
 def _finish(*queries) -> None:
     for q in queries:
         q.awaitTermination(TIMEOUT_S)
@@ -69,7 +68,8 @@ def stream_abandoned_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 over the whole events table."""
     run = _run_dir(spark, "carts")
     q = jobs.start_cart_abandonment(spark, harness.stream_clickstream(spark, sf_dir),
-                                    ParquetSink(f"{run}/out"), f"{run}/ckpt", HARNESS, NOW)
+                                    ParquetSink(f"{run}/out"), f"{run}/ckpt", HARNESS, NOW,
+                                    name=_qname(run, "carts"))
     _finish(q)
     return present(spark.read.parquet(f"{run}/out")
                    .select("user_id", "product_ids", "ts", "key", "value"))
@@ -78,7 +78,7 @@ def stream_abandoned_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _silver(spark: SparkSession, sf_dir: str, run: str) -> str:
     q = jobs.start_purchase_sessions(spark, harness.stream_clickstream(spark, sf_dir),
                                      harness.products(spark, sf_dir), ParquetSink(f"{run}/silver"),
-                                     f"{run}/ckpt/silver", HARNESS, NOW)
+                                     f"{run}/ckpt/silver", HARNESS, NOW, name=_qname(run, "silver"))
     _finish(q)
     return f"{run}/silver"
 
@@ -95,7 +95,8 @@ def _gold(spark: SparkSession, sf_dir: str, name: str) -> str:
     run = _run_dir(spark, name)
     silver = _silver(spark, sf_dir, run)
     qs = jobs.start_user_gold(spark, silver, ParquetSink(f"{run}/averages"),
-                              ParquetSink(f"{run}/spend"), f"{run}/ckpt/gold", HARNESS, NOW)
+                              ParquetSink(f"{run}/spend"), f"{run}/ckpt/gold", HARNESS, NOW,
+                              name=_qname(run, "gold"))
     _finish(*qs)
     return run
 
@@ -117,7 +118,8 @@ def stream_product_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run_dir(spark, "products")
     q = jobs.start_product_summary(spark, harness.stream_clickstream(spark, sf_dir),
                                    harness.products(spark, sf_dir), f"{run}/product",
-                                   f"{run}/category", f"{run}/ckpt", HARNESS, NOW)
+                                   f"{run}/category", f"{run}/ckpt", HARNESS, NOW,
+                                   name=_qname(run, "products"))
     _finish(q)
     return present(spark.read.parquet(f"{run}/product"))
 
@@ -126,7 +128,8 @@ def stream_funnel_user_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P4 with keyed state (T6): per-user stage updates of each batch."""
     run = _run_dir(spark, "funnel")
     q = jobs.start_funnel(spark, harness.stream_clickstream(spark, sf_dir), f"{run}/metrics",
-                          f"{run}/ckpt", HARNESS, NOW, stages_root=f"{run}/stages", stateful=True)
+                          f"{run}/ckpt", HARNESS, NOW, stages_root=f"{run}/stages", stateful=True,
+                          name=_qname(run, "funnel"))
     _finish(q)
     return present(spark.read.parquet(f"{run}/stages"))
 
@@ -135,7 +138,7 @@ def stream_funnel_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Funnel metrics of the users updated in each micro-batch."""
     run = _run_dir(spark, "funnel-metrics")
     q = jobs.start_funnel(spark, harness.stream_clickstream(spark, sf_dir), f"{run}/metrics",
-                          f"{run}/ckpt", HARNESS, NOW, stateful=True)
+                          f"{run}/ckpt", HARNESS, NOW, stateful=True, name=_qname(run, "funnel_m"))
     _finish(q)
     return present(spark.read.parquet(f"{run}/metrics"))
 
@@ -145,7 +148,7 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run_dir(spark, "dlq")
     src = harness.map_source_events(harness.stream_table(spark, sf_dir, "events"))
     q = jobs.start_dead_letters(spark, harness.faulty_clickstream_envelope(src), f"{run}/dlq",
-                                f"{run}/ckpt", NOW)
+                                f"{run}/ckpt", NOW, name=_qname(run, "dlq"))
     _finish(q)
     return present(spark.read.parquet(f"{run}/dlq").select("error_reason", "received_at"))
 
@@ -179,15 +182,15 @@ def job_metrics(spark: SparkSession, sf_dir: str) -> dict:
     """Throughput and state size of the silver (P2) and funnel (P4) jobs over
     the whole events table, from the queries' progress reports."""
     out = {}
-    with _state_partitions(spark):
-        run = _run_dir(spark, "metrics")
-        q = jobs.start_purchase_sessions(spark, harness.stream_clickstream(spark, sf_dir),
-                                         harness.products(spark, sf_dir), ParquetSink(f"{run}/silver"),
-                                         f"{run}/ckpt/silver", HARNESS, NOW)
-        _finish(q)
-        out["purchase_sessions"] = _progress_summary(q)
-        q = jobs.start_funnel(spark, harness.stream_clickstream(spark, sf_dir), f"{run}/metrics",
-                              f"{run}/ckpt/funnel", HARNESS, NOW, stateful=True)
-        _finish(q)
-        out["funnel"] = _progress_summary(q)
+    spark = _job_session(spark)
+    run = _run_dir(spark, "metrics")
+    q = jobs.start_purchase_sessions(spark, harness.stream_clickstream(spark, sf_dir),
+                                     harness.products(spark, sf_dir), ParquetSink(f"{run}/silver"),
+                                     f"{run}/ckpt/silver", HARNESS, NOW)
+    _finish(q)
+    out["purchase_sessions"] = _progress_summary(q)
+    q = jobs.start_funnel(spark, harness.stream_clickstream(spark, sf_dir), f"{run}/metrics",
+                          f"{run}/ckpt/funnel", HARNESS, NOW, stateful=True)
+    _finish(q)
+    out["funnel"] = _progress_summary(q)
     return out

@@ -85,34 +85,34 @@ def purchase_stream(envelope: DataFrame, products: DataFrame, params: Params,
 def start_purchase_sessions(spark: SparkSession, envelope: DataFrame, products: DataFrame,
                             silver: ParquetSink, checkpoint: str | None = None,
                             params: Params = REFERENCE,
-                            trigger: Trigger = Trigger()) -> StreamingQuery:
+                            trigger: Trigger = Trigger(),
+                            name: str = "purchase_sessions") -> StreamingQuery:
     """P2 (silver): purchase sessions ``user_id, session_start, session_end,
     total_amount`` into a parquet file sink (exactly-once, append),
     partitioned by ``session_date`` (UTC date of the start) so batch readers
     of a large silver table prune by date; readers with the declared schema
     get ``session_date`` appended as a column."""
     _premerge_sessions(spark)
-    enr = purchase_stream(envelope, products, params, params.purchase_watermark_s,
-                          "purchase_sessions")
+    enr = purchase_stream(envelope, products, params, params.purchase_watermark_s, name)
     ps = sessions.purchase_sessions(enr, params.session_gap_s)
     out = ps.select(*schemas.PURCHASE_SESSION.fieldNames(),
                     F.to_date("session_start").alias("session_date"))
     sink = silver if silver.partition_by else ParquetSink(silver.path, ("session_date",))
-    return start_stream(out, sink, _ckpt(spark, checkpoint, "purchase_sessions"), trigger,
-                        name="purchase_sessions")
+    return start_stream(out, sink, _ckpt(spark, checkpoint, name), trigger, name=name)
 
 
 def start_product_summary(spark: SparkSession, envelope: DataFrame, products: DataFrame,
                           product_root: str, category_root: str,
                           checkpoint: str | None = None, params: Params = REFERENCE,
-                          trigger: Trigger = Trigger()) -> StreamingQuery:
+                          trigger: Trigger = Trigger(),
+                          name: str = "product_summary") -> StreamingQuery:
     """Per micro-batch product and category summaries, fanned out from
     one persisted batch to ``<root>/batch_id=N`` (retry-safe, D11). Totals
     over all batches are a batch query on the product level (D9). No
     stateful operator follows, so the watermark is only set when dedup needs
     it (D10)."""
     wm = params.product_watermark_s if params.dedup else None
-    enr = purchase_stream(envelope, products, params, wm, "product_summary")
+    enr = purchase_stream(envelope, products, params, wm, name)
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
@@ -122,21 +122,20 @@ def start_product_summary(spark: SparkSession, envelope: DataFrame, products: Da
             (lambda b: summaries.category_summary(summaries.product_summary(b)), category_root),
         ])
 
-    return start_foreach_batch(enr, write, _ckpt(spark, checkpoint, "product_summary"), trigger,
-                               name="product_summary")
+    return start_foreach_batch(enr, write, _ckpt(spark, checkpoint, name), trigger, name=name)
 
 
 def start_funnel(spark: SparkSession, envelope: DataFrame, metrics_root: str,
                  checkpoint: str | None = None, params: Params = REFERENCE,
                  trigger: Trigger = Trigger(), stages_root: str | None = None,
-                 stateful: bool = True) -> StreamingQuery:
+                 stateful: bool = True, name: str = "funnel") -> StreamingQuery:
     """Deduplicated events -> highest stage per user -> per micro-batch
     funnel metrics of the users updated in that batch (D3), written to
     ``metrics_root/batch_id=N``; optionally the user updates too.
 
     ``stateful=True`` keeps per-user state with event-time expiry (T6);
     ``False`` uses a native ``max`` aggregate in update mode (no expiry)."""
-    ev = (decoded(envelope, "funnel")
+    ev = (decoded(envelope, name)
           .withWatermark("time_generated", interval(params.funnel_watermark_s))
           .dropDuplicatesWithinWatermark(["event_id"]))
     if stateful:
@@ -154,37 +153,37 @@ def start_funnel(spark: SparkSession, envelope: DataFrame, metrics_root: str,
             outputs.append((lambda b: b, stages_root))
         fan_out(batch_df, batch_id, outputs)
 
-    return start_foreach_batch(users, write, _ckpt(spark, checkpoint, "funnel"), trigger,
-                               mode="update", name="funnel")
+    return start_foreach_batch(users, write, _ckpt(spark, checkpoint, name), trigger,
+                               mode="update", name=name)
 
 
 def start_user_gold(spark: SparkSession, silver_path: str, averages: ParquetSink,
                     spend: ParquetSink, checkpoint_root: str | None = None,
                     params: Params = REFERENCE, trigger: Trigger = Trigger("1 minute"),
                     max_files_per_trigger: int | None = None,
-                    debug_console: bool = False) -> list[StreamingQuery]:
+                    debug_console: bool = False, name: str = "user_gold") -> list[StreamingQuery]:
     """P5: silver sessions (file stream) -> window totals and spend
     distribution, each to a parquet file sink in append mode (T8: the silver
     directory is read through its commit log). ``debug_console`` adds the
     same totals to the console in complete mode (T9; keeps its own state)."""
     silver = stream_parquet(spark, schemas.PURCHASE_SESSION, silver_path, max_files_per_trigger)
     silver = silver.withWatermark("session_start", interval(params.gold_watermark_s))
-    root = _ckpt(spark, checkpoint_root, "user_gold")
+    root = _ckpt(spark, checkpoint_root, name)
     q1 = start_stream(gold.gold_averages(silver, params.gold_window_s), averages,
-                      f"{root}/averages", trigger, name="gold_averages")
+                      f"{root}/averages", trigger, name=f"{name}_averages")
     q2 = start_stream(gold.gold_spend_distribution(silver, params.gold_window_s, params.bucket_width),
-                      spend, f"{root}/spend_distribution", trigger, name="gold_spend_distribution")
+                      spend, f"{root}/spend_distribution", trigger, name=f"{name}_spend_distribution")
     queries = [q1, q2]
     if debug_console:
         queries.append(start_stream(gold.gold_averages(silver, params.gold_window_s), ConsoleSink(),
                                     f"{root}/averages_console", trigger, mode="complete",
-                                    name="gold_averages_console"))
+                                    name=f"{name}_averages_console"))
     return queries
 
 
 def start_dead_letters(spark: SparkSession, envelope: DataFrame, dlq_root: str,
                        checkpoint: str | None = None, trigger: Trigger = Trigger(),
-                       valid_root: str | None = None) -> StreamingQuery:
+                       valid_root: str | None = None, name: str = "dead_letters") -> StreamingQuery:
     """Classify every message once per micro-batch; dead letters
     (original text, reason, receive time) go to ``dlq_root/batch_id=N`` and,
     when ``valid_root`` is given, decoded valid events to
@@ -198,8 +197,7 @@ def start_dead_letters(spark: SparkSession, envelope: DataFrame, dlq_root: str,
             outputs.append((lambda r: decode.split_routes(r)[0], valid_root))
         fan_out(decode.route_events(batch_df), batch_id, outputs)
 
-    return start_foreach_batch(envelope, write, _ckpt(spark, checkpoint, "dead_letters"), trigger,
-                               name="dead_letters")
+    return start_foreach_batch(envelope, write, _ckpt(spark, checkpoint, name), trigger, name=name)
 
 
 def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:

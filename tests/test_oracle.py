@@ -53,3 +53,17 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["average_order_value", "average_session_duration", "session_count"]
     assert df.count() == 1
+
+
+def test_stream_queries_run_concurrently_without_touching_session(spark, con):
+    from concurrent.futures import ThreadPoolExecutor
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    keys = ["stream_purchase_sessions", "stream_product_summary"]
+    with ThreadPoolExecutor(2) as pool:
+        dfs = list(pool.map(lambda k: entry.queries()[k](spark, SF), keys))
+    for key, df in zip(keys, dfs):
+        rel = con.sql(entry.oracle_sql()[key])
+        order = [rel.columns.index(c) for c in df.columns]
+        duck = [tuple(r[i] for i in order) for r in rel.fetchall()]
+        assert multiset([tuple(r) for r in df.collect()]) == multiset(duck), key
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
