@@ -232,3 +232,22 @@ def test_rocksdb_state_store_conf_runs(spark, scratch):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_cart_stream_over_four_files_equals_batch(spark, scratch):
+    sf = "/root/testdata/sf0.001"
+    pdf = harness.clickstream_envelope(harness.events(spark, sf)).orderBy("timestamp").toPandas()
+    src = f"{scratch}/src"
+    for part in range(4):
+        chunk = pdf.iloc[part * len(pdf) // 4:(part + 1) * len(pdf) // 4]
+        write_envelopes(src, [(k.decode(), v.decode(), t.to_pydatetime())
+                              for k, v, t in zip(chunk["key"], chunk["value"], chunk["timestamp"])])
+    out = f"{scratch}/carts"
+    q = run(jobs.start_cart_abandonment(spark, stream_envelopes(spark, src, 1), ParquetSink(out),
+                                        f"{scratch}/ck", HARNESS, NOW))
+    wm = q.lastProgress["eventTime"]["watermark"]
+    batch = sessions.abandoned_carts(Chain(spark, sf).carts()).where(
+        F.col("ts") <= F.lit(wm).cast("timestamp"))
+    got = spark.read.parquet(out).select("user_id", "product_ids", "ts")
+    assert got.count() > 0
+    assert sorted(got.collect()) == sorted(batch.collect())
