@@ -88,17 +88,21 @@ def start_purchase_sessions(spark: SparkSession, envelope: DataFrame, products:
                             trigger: Trigger = Trigger(),
                             name: str = "purchase_sessions") -> StreamingQuery:
     """P2 (silver): purchase sessions ``user_id, session_start, session_end,
-    total_amount`` into a parquet file sink (exactly-once, append),
-    partitioned by ``session_date`` (UTC date of the start) so batch readers
-    of a large silver table prune by date; readers with the declared schema
-    get ``session_date`` appended as a column."""
+    total_amount`` into a parquet file sink (exactly-once, append).
+
+    With ``ParquetSink(path, ("session_date",))`` the table is partitioned by
+    the UTC date of the session start, so batch readers prune by date
+    (readers with the declared schema get ``session_date`` appended). Off by
+    default: a replay whose micro-batch spans many days would write one small
+    file per task and day; :func:`~cartwheel.operators.maintenance.compact`
+    produces a date-partitioned copy instead."""
     _premerge_sessions(spark)
     enr = purchase_stream(envelope, products, params, params.purchase_watermark_s, name)
     ps = sessions.purchase_sessions(enr, params.session_gap_s)
-    out = ps.select(*schemas.PURCHASE_SESSION.fieldNames(),
-                    F.to_date("session_start").alias("session_date"))
-    sink = silver if silver.partition_by else ParquetSink(silver.path, ("session_date",))
-    return start_stream(out, sink, _ckpt(spark, checkpoint, name), trigger, name=name)
+    out = ps.select(*schemas.PURCHASE_SESSION.fieldNames())
+    if "session_date" in silver.partition_by:
+        out = out.withColumn("session_date", F.to_date("session_start"))
+    return start_stream(out, silver, _ckpt(spark, checkpoint, name), trigger, name=name)
 
 
 def start_product_summary(spark: SparkSession, envelope: DataFrame, products: DataFrame,

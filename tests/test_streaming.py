@@ -102,7 +102,8 @@ def test_two_hop_silver_gold_equals_batch(spark, scratch):
     products = harness.products(spark, sf)
     silver, ck = f"{scratch}/silver", f"{scratch}/ckpt"
     q = run(jobs.start_purchase_sessions(spark, stream_envelopes(spark, src, 1), products,
-                                         ParquetSink(silver), f"{ck}/silver", HARNESS, NOW))
+                                         ParquetSink(silver, ("session_date",)), f"{ck}/silver",
+                                         HARNESS, NOW))
     wm = q.lastProgress["eventTime"]["watermark"]
     seen = sum(p["observedMetrics"]["purchase_sessions_decode"]["messages"]
                for p in q.recentProgress if "purchase_sessions_decode" in p.get("observedMetrics", {}))
