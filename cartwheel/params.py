@@ -51,6 +51,23 @@ class Params:
     # broadcast the product catalogue only below this many rows
     max_broadcast_rows: int = 500_000
 
+    def __post_init__(self) -> None:
+        positive = ["session_gap_s", "gold_window_s", "look_back_s", "funnel_timeout_s",
+                    "bucket_width", "max_broadcast_rows"]
+        for name in positive:
+            if getattr(self, name) <= 0:
+                raise ValueError(f"{name} must be positive")
+        for name in ["cart_watermark_s", "purchase_watermark_s", "product_watermark_s",
+                     "funnel_watermark_s", "gold_watermark_s"]:
+            if getattr(self, name) < 0:
+                raise ValueError(f"{name} must not be negative")
+        if self.slice_width_s is not None and self.slice_width_s <= 0:
+            raise ValueError("slice_width_s must be positive")
+        if self.watermark_from not in ("filtered", "all"):
+            raise ValueError("watermark_from is 'filtered' or 'all'")
+        if self.starting_offsets not in ("earliest", "latest") and not self.starting_offsets.startswith("{"):
+            raise ValueError("starting_offsets is 'earliest', 'latest' or a JSON offsets spec")
+
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
 

@@ -31,3 +31,13 @@ def test_scale_conf_for_100tb():
     assert conf["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
     small = scale_conf(10 * 1024 ** 2, executor_cores_total=8)
     assert small["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_params_are_validated():
+    import pytest
+    from cartwheel import REFERENCE
+    with pytest.raises(ValueError):
+        REFERENCE.with_(session_gap_s=0)
+    with pytest.raises(ValueError):
+        REFERENCE.with_(watermark_from="sometimes")
+    assert REFERENCE.with_(starting_offsets="earliest").starting_offsets == "earliest"
