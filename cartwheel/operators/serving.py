@@ -61,7 +61,10 @@ def spend_histogram(spend: DataFrame, width: int) -> DataFrame:
                 bucket_label(F.col("b"), F.col("b") + F.lit(width)).alias("bucket_label"),
                 F.coalesce(F.element_at("counts", F.col("b")), F.lit(0)).cast("long")
                 .alias("session_count"))
-            .orderBy("bucket_start"))
+            # exploded from one aggregate row, so it is one partition already:
+            # a partition-local sort is the total order, with no range shuffle
+            .coalesce(1)
+            .sortWithinPartitions("bucket_start"))
 
 
 def spend_histogram_totals(spend: DataFrame) -> DataFrame:
