@@ -25,7 +25,16 @@ from cartwheel.functions.columns import STAGE_BY_EVENT_TYPE
 warnings.filterwarnings("ignore", category=FutureWarning, module="pyspark.sql.pandas.serializers")
 
 
-def make_state_fn(timeout_s: float):
+def epoch_ms(t, tz: str) -> int:
+    """Epoch milliseconds of a naive pandas timestamp that Arrow delivered as
+    wall-clock time in the session time zone ``tz``."""
+    ts = pd.Timestamp(t)
+    if ts.tzinfo is None:
+        ts = ts.tz_localize(tz)
+    return int(ts.value // 1_000_000)
+
+
+def make_state_fn(timeout_s: float, tz: str = "UTC"):
     timeout_ms = int(timeout_s * 1000)
 
     def advance(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState):
@@ -44,7 +53,7 @@ def make_state_fn(timeout_s: float):
         if latest is None:
             return
         state.update((stage, latest))
-        last_ms = int(pd.Timestamp(latest).value // 1_000_000)
+        last_ms = epoch_ms(latest, tz)
         state.setTimeoutTimestamp(max(last_ms + timeout_ms, state.getCurrentWatermarkMs() + 1))
         if seen:
             yield pd.DataFrame({"user_id": [key[0]], "highest_funnel_stage": [stage],
@@ -55,9 +64,10 @@ def make_state_fn(timeout_s: float):
 
 def funnel_state(events: DataFrame, timeout_s: float) -> DataFrame:
     """Per-user stage updates from a watermarked event stream (update mode)."""
+    tz = events.sparkSession.conf.get("spark.sql.session.timeZone")
     return (events.where(events["user_id"].isNotNull())
             .select("user_id", "event_type", "time_generated")
             .groupBy("user_id")
-            .applyInPandasWithState(make_state_fn(timeout_s), schemas.FUNNEL_UPDATE,
+            .applyInPandasWithState(make_state_fn(timeout_s, tz), schemas.FUNNEL_UPDATE,
                                     schemas.FUNNEL_STATE, "update",
                                     GroupStateTimeout.EventTimeTimeout))

@@ -78,3 +78,11 @@ def test_d18_funnel_ignores_null_users_and_malformed_rows(spark):
     df = spark.createDataFrame(rows, schemas.EVENT)
     us = funnel.user_stage(df).collect()
     assert [(r["user_id"], r["highest_funnel_stage"]) for r in us] == [(1, 4)]
+
+
+def test_state_deadline_respects_session_time_zone():
+    import pandas as pd
+    from cartwheel.streaming.funnel_state import epoch_ms
+    wall = pd.Timestamp("2026-01-01 00:00:00")            # naive, as Arrow delivers it
+    assert epoch_ms(wall, "UTC") == 1767225600000
+    assert epoch_ms(wall, "America/New_York") == 1767225600000 + 5 * 3600 * 1000
