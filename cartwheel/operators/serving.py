@@ -12,8 +12,16 @@ from cartwheel.functions.columns import bucket_label, ratio2
 
 
 def as_of_col(as_of: datetime | None) -> Column:
-    """Reference instant: a fixed timestamp, or ``current_timestamp()``."""
-    return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    """Reference instant: a fixed timestamp, or ``current_timestamp()``.
+
+    A naive ``as_of`` is wall-clock time in the session time zone (an aware
+    one keeps its offset). It is passed as text and cast by Spark, not as a
+    Python datetime literal, whose conversion would depend on the driver
+    machine's own time zone. The cast is constant-folded, so the look-back
+    filter still reaches the scan."""
+    if as_of is None:
+        return F.current_timestamp()
+    return F.lit(as_of.isoformat(sep=" ")).cast("timestamp")
 
 
 def recent(gold: DataFrame, look_back_s: float, as_of: datetime | None = None,

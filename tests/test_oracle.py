@@ -67,3 +67,23 @@ def test_stream_queries_run_concurrently_without_touching_session(spark, con):
         duck = [tuple(r[i] for i in order) for r in rel.fetchall()]
         assert multiset([tuple(r) for r in df.collect()]) == multiset(duck), key
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_lookback_does_not_depend_on_driver_time_zone(spark, con):
+    import os
+    import time
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    time.tzset()
+    try:
+        df = entry.queries()["recent_averages"](spark, SF)
+        rel = con.sql(entry.oracle_sql()["recent_averages"])
+        order = [rel.columns.index(c) for c in df.columns]
+        duck = [tuple(r[i] for i in order) for r in rel.fetchall()]
+        assert multiset([tuple(r) for r in df.collect()]) == multiset(duck)
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        time.tzset()
