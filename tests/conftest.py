@@ -1,7 +1,13 @@
 import os
 import sys
+import time
 from datetime import datetime, timedelta
 
+# Fixture times are naive UTC wall-clock values: pin the test process (and
+# the JVM and Python workers it launches) to UTC.
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
