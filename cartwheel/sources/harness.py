@@ -7,6 +7,8 @@ projection — every row of both tables is used.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,10 +88,13 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str,
     tables too, so the file name is the glob filter)."""
     prepare(spark)
     schema = RAW_SCHEMAS.get(name) or _table(spark, sf_dir, name).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(sf_dir.rstrip("/"))
+    table_path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if os.path.isdir(table_path):  # a directory of part files: stream it as is
+        return reader.parquet(table_path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir.rstrip("/"))
 
 
 def stream_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,3 +41,15 @@ def test_params_are_validated():
     with pytest.raises(ValueError):
         REFERENCE.with_(watermark_from="sometimes")
     assert REFERENCE.with_(starting_offsets="earliest").starting_offsets == "earliest"
+
+
+def test_stream_table_accepts_a_directory_table(spark, scratch):
+    from pyspark.sql import functions as F
+    from cartwheel.sources import harness
+    raw = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    raw.repartition(3).write.parquet(f"{scratch}/events.parquet")
+    s = harness.stream_table(spark, scratch, "events")
+    q = (s.writeStream.format("memory").queryName("ev_dir").trigger(availableNow=True)
+         .option("checkpointLocation", f"{scratch}/ck").start())
+    q.awaitTermination(120)
+    assert spark.sql("SELECT count(*) AS n FROM ev_dir").first()["n"] == raw.count()
