@@ -119,8 +119,6 @@ def start_product_summary(spark: SparkSession, envelope: DataFrame, products: Da
     enr = purchase_stream(envelope, products, params, wm, name)
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
         fan_out(batch_df, batch_id, [
             (summaries.product_summary, product_root),
             (lambda b: summaries.category_summary(summaries.product_summary(b)), category_root),
@@ -150,8 +148,6 @@ def start_funnel(spark: SparkSession, envelope: DataFrame, metrics_root: str,
                       F.max("time_generated").alias("event_time")))
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
         outputs = [(lambda b: funnel.funnel_metrics(funnel.stage_counts(b)), metrics_root)]
         if stages_root:
             outputs.append((lambda b: b, stages_root))

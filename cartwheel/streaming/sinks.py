@@ -106,12 +106,16 @@ def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
 
 
 def fan_out(batch_df: DataFrame, batch_id: int,
-            outputs: list[tuple[Callable[[DataFrame], DataFrame], str]]) -> None:
+            outputs: list[tuple[Callable[[DataFrame], DataFrame], str]],
+            skip_empty: bool = True) -> None:
     """K6: derive several tables from one micro-batch. The batch is
-    persisted once, so the source is not re-read per output; each output is
-    written with :func:`write_batch`."""
+    persisted once, so neither the emptiness test nor any output re-runs the
+    micro-batch plan (its source read, dedup or state update); each output is
+    written with :func:`write_batch`. An empty batch writes nothing."""
     batch_df.persist()
     try:
+        if skip_empty and batch_df.isEmpty():
+            return
         for derive, root in outputs:
             write_batch(derive(batch_df), root, batch_id)
     finally:
