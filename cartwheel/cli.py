@@ -36,7 +36,10 @@ def _source(spark: SparkSession, a: argparse.Namespace, p: Params) -> DataFrame:
     if a.envelopes:
         return stream_envelopes(spark, a.envelopes, a.max_files_per_trigger)
     if a.kafka:
-        return stream_topic(spark, a.kafka, a.topic, p.starting_offsets, a.max_offsets_per_trigger)
+        # The cart job reads the topic from the beginning on first start,
+        # the other jobs from the latest offsets, unless told otherwise
+        first = a.starting_offsets or ("earliest" if a.job == "cart-abandonment" else p.starting_offsets)
+        return stream_topic(spark, a.kafka, a.topic, first, a.max_offsets_per_trigger)
     raise SystemExit("give --kafka SERVERS or --envelopes DIR")
 
 
@@ -60,6 +63,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> lis
     ap.add_argument("--preset", choices=sorted(PRESETS), default="reference")
     ap.add_argument("--kafka")
     ap.add_argument("--topic", default="clickstream")
+    ap.add_argument("--starting-offsets", choices=["earliest", "latest"])
     ap.add_argument("--envelopes")
     ap.add_argument("--max-files-per-trigger", type=int)
     ap.add_argument("--max-offsets-per-trigger", type=int)
