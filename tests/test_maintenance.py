@@ -43,3 +43,18 @@ def test_json_schema_evolution(spark):
     assert [r["channel"] for r in as_v2] == [None, "app"]
     as_v1 = decode.decode_events(env).collect()
     assert [r["event_id"] for r in as_v1] == [1, 1] and "channel" not in as_v1[0].asDict()
+
+
+def test_compaction_splits_a_hot_date_over_tasks(spark, scratch):
+    ev = harness.events(spark, "/root/testdata/sf0.01")
+    hot = ev.withColumn("time_generated", F.when(
+        F.pmod("event_id", F.lit(3)) == 0,
+        F.to_timestamp(F.lit("2024-01-15 12:00:00")) + F.make_dt_interval(secs=F.col("event_id") % 3600)
+    ).otherwise(F.col("time_generated")))
+    hot.repartition(10).write.parquet(f"{scratch}/src")
+    out = maintenance.compact(spark, f"{scratch}/src", f"{scratch}/dst", time_col="time_generated",
+                              partitions=8)
+    assert out.count() == ev.count()
+    day = f"{scratch}/dst/event_date=2024-01-15"
+    files = [f for f in os.listdir(day) if f.endswith(".parquet")]
+    assert len(files) > 1   # the hot date is written by several tasks
