@@ -86,3 +86,17 @@ def test_state_deadline_respects_session_time_zone():
     wall = pd.Timestamp("2026-01-01 00:00:00")            # naive, as Arrow delivers it
     assert epoch_ms(wall, "UTC") == 1767225600000
     assert epoch_ms(wall, "America/New_York") == 1767225600000 + 5 * 3600 * 1000
+
+
+def test_duplicate_send_in_a_later_batch_is_dropped(spark, scratch, fixture_products):
+    src = f"{scratch}/src"
+    write_events(src, [(4, 1, "purchase", 3, at(9))])
+    write_events(src, [(4, 1, "purchase", 3, at(9)), (5, 1, "purchase", 3, at(12))])  # resend + new
+    q = jobs.start_product_summary(spark, stream_envelopes(spark, src, 1), fixture_products,
+                                   f"{scratch}/product", f"{scratch}/category", f"{scratch}/ck",
+                                   REFERENCE.with_(dedup=True), NOW)
+    q.awaitTermination(120)
+    assert q.exception() is None
+    prod = spark.read.parquet(f"{scratch}/product")
+    # two batches; product 3 bought twice in total (event 4 once, event 5 once)
+    assert sorted((r["batch_id"], r["num_purchases"]) for r in prod.collect()) == [(0, 1), (1, 1)]
