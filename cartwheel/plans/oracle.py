@@ -237,4 +237,5 @@ WHERE r IS NOT NULL""")
     q["stream_product_summary"] = _with(c, ["ev", "pr", "enr"], f"""SELECT *, CAST(0 AS INTEGER) AS batch_id
 FROM ({prod}) p""")
     q["stream_funnel_user_stage"] = _with(c, ["ev", "us"], "SELECT *, CAST(0 AS INTEGER) AS batch_id FROM us")
+    q["stream_funnel_user_stage_native"] = q["stream_funnel_user_stage"]
     return q

@@ -134,6 +134,17 @@ def stream_funnel_user_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(spark.read.parquet(f"{run}/stages"))
 
 
+def stream_funnel_user_stage_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 with a native ``max`` aggregate in update mode instead of keyed
+    state (no expiry): the per-user stage updates of each batch."""
+    run = _run_dir(spark, "funnel-native")
+    q = jobs.start_funnel(spark, harness.stream_clickstream(spark, sf_dir), f"{run}/metrics",
+                          f"{run}/ckpt", HARNESS, NOW, stages_root=f"{run}/stages", stateful=False,
+                          name=_qname(run, "funnel_n"))
+    _finish(q)
+    return present(spark.read.parquet(f"{run}/stages"))
+
+
 def stream_funnel_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Funnel metrics of the users updated in each micro-batch."""
     run = _run_dir(spark, "funnel-metrics")
@@ -160,6 +171,7 @@ STREAM_QUERIES = {
     "stream_gold_spend_distribution": _sized(stream_gold_spend_distribution),
     "stream_product_summary": _sized(stream_product_summary),
     "stream_funnel_user_stage": _sized(stream_funnel_user_stage),
+    "stream_funnel_user_stage_native": _sized(stream_funnel_user_stage_native),
     "stream_funnel_metrics": _sized(stream_funnel_metrics),
     "stream_dead_letters": _sized(stream_dead_letters),
 }
