@@ -18,6 +18,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from dataclasses import fields
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,12 +48,34 @@ def _trigger(a: argparse.Namespace, default: str | None) -> Trigger:
     return Trigger(available_now=True) if a.once else Trigger(a.trigger or default)
 
 
+def _convert(field: str, text: str):
+    """Parse ``--set field=text`` by the type of the field's current value."""
+    current = getattr(REFERENCE, field)
+    if text.lower() in ("none", "null"):
+        return None
+    if field == "as_of":
+        return datetime.fromisoformat(text)
+    if isinstance(current, bool):
+        return text.lower() in ("1", "true", "yes")
+    if isinstance(current, int) and not isinstance(current, bool):
+        return int(text)
+    if isinstance(current, float) or current is None:
+        return float(text)
+    return text
+
+
 def _params(a: argparse.Namespace) -> Params:
     p = PRESETS[a.preset]
     if getattr(a, "dedup", False):
         p = p.with_(dedup=True)
     if getattr(a, "as_of", None):
         p = p.with_(as_of=datetime.fromisoformat(a.as_of))
+    names = {f.name for f in fields(Params)}
+    for item in getattr(a, "set", None) or []:
+        key, _, value = item.partition("=")
+        if key not in names:
+            raise SystemExit(f"unknown parameter {key!r}; one of {sorted(names)}")
+        p = p.with_(**{key: _convert(key, value)})
     return p
 
 
@@ -81,6 +104,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> lis
     ap.add_argument("--once", action="store_true")
     ap.add_argument("--dedup", action="store_true")
     ap.add_argument("--as-of")
+    ap.add_argument("--set", action="append", metavar="PARAM=VALUE",
+                    help="override any pipeline parameter, e.g. session_gap_s=300")
     ap.add_argument("--console", action="store_true", help="also print results (debug)")
     ap.add_argument("--limit", type=int, default=20)
     a = ap.parse_args(argv)

@@ -86,3 +86,18 @@ def test_console_debug_query(spark, scratch):
     for q in started:
         q.awaitTermination(120)
         assert q.exception() is None
+
+
+def test_set_overrides_parameters():
+    import argparse
+    import pytest
+    a = argparse.Namespace(preset="reference", dedup=False, as_of=None,
+                           set=["session_gap_s=300", "dedup=true", "bucket_width=50",
+                                "cart_retention_s=none", "watermark_from=all"])
+    p = cli._params(a)
+    assert (p.session_gap_s, p.dedup, p.bucket_width, p.cart_retention_s, p.watermark_from) == (
+        300.0, True, 50, None, "all")
+    with pytest.raises(SystemExit):
+        cli._params(argparse.Namespace(preset="reference", dedup=False, as_of=None, set=["nope=1"]))
+    with pytest.raises(ValueError):
+        cli._params(argparse.Namespace(preset="reference", dedup=False, as_of=None, set=["session_gap_s=0"]))
