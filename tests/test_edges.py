@@ -78,3 +78,16 @@ def test_funnel_per_batch(spark):
     got = sorted((r["batch_id"], r["funnel_stage"], r["user_count"]) for r in m.collect())
     assert got[:4] == [(0, 1, 3), (0, 2, 1), (0, 3, 1), (0, 4, 1)]
     assert got[4:] == [(1, 1, 3), (1, 2, 3), (1, 3, 0), (1, 4, 0)]
+
+
+def test_bad_time_received_is_a_bad_timestamp(spark):
+    env = _env(spark, ['{"event_id":1,"user_id":2,"event_type":"x",'
+                       '"time_generated":"2026-01-01T00:00:00Z","time_received":"soon"}'])
+    (r,) = decode.route_events(env).collect()
+    assert r["error_reason"] == "bad_timestamp" and r["event_id"] == 1
+
+
+def test_tombstone_value_decodes_to_nulls(spark):
+    env = _env(spark, [None], keys=["7"])
+    (r,) = decode.decode_topic(env, schemas.CART_MESSAGE).collect()
+    assert (r["key"], r["value"], r["raw_value"]) == ("7", None, None)
