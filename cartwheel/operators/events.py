@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwheel.functions.columns import purchase_flag
 from cartwheel.params import interval
@@ -55,21 +56,46 @@ def dedup_events(events: DataFrame, key: str = "event_id",
                       for c in events.columns]))
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Size check before a broadcast: True iff ``df`` has at most
-    ``max_rows`` rows. A plain count combines one row per partition (for
-    parquet it is answered from file metadata); a ``limit`` would instead
-    funnel up to ``max_rows`` rows per partition into a single task."""
-    return df.count() <= max_rows
+_FIXED_WIDTH = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4,
+                T.FloatType: 4, T.DateType: 4, T.LongType: 8, T.DoubleType: 8,
+                T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16}
+
+
+def _width(f: T.StructField) -> Column:
+    """Bytes of one value: actual length for text and binary, fixed width
+    for numbers and times, JSON text length for nested values."""
+    c = F.col(f.name)
+    if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0))
+    for kind, width in _FIXED_WIDTH.items():
+        if isinstance(f.dataType, kind):
+            return F.lit(width)
+    return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+
+
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """Size check before a broadcast, in one aggregate job: True iff ``df``
+    has at most ``max_rows`` rows and, when ``max_bytes`` is given, at most
+    that many bytes of data (string and binary columns by their actual
+    length, other columns by their fixed width). The aggregate combines one
+    row per partition; nothing is collected but the two totals."""
+    if max_bytes is None:
+        return df.count() <= max_rows
+    widths = [_width(f) for f in df.schema.fields]
+    row_bytes = sum(widths[1:], widths[0]) if widths else F.lit(0)
+    stats = df.agg(F.count(F.lit(1)).alias("rows"),
+                   F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")).first()
+    return stats["rows"] <= max_rows and stats["bytes"] <= max_bytes
 
 
 def enrich_with_products(events: DataFrame, products: DataFrame,
                          max_broadcast_rows: int = 500_000,
-                         guard_col: str | None = None) -> DataFrame:
+                         guard_col: str | None = None,
+                         max_broadcast_bytes: int = 64 * 1024 * 1024) -> DataFrame:
     """Inner equi-join on ``product_id``; null and unknown ids drop out.
 
-    The catalogue is broadcast only when its row count is proven below
-    ``max_broadcast_rows``. Otherwise the join is a sort-merge join by hint —
+    The catalogue is broadcast only when its row count and its data size are
+    proven below ``max_broadcast_rows`` and ``max_broadcast_bytes``. Otherwise the join is a sort-merge join by hint —
     a compressed file can look small to the planner's size estimate while
     holding too many rows to broadcast — and AQE's skew handling splits the
     partition of a hot product.
@@ -82,7 +108,7 @@ def enrich_with_products(events: DataFrame, products: DataFrame,
     with an event time.
     """
     products = products.select("product_id", "name", "category", "cost")
-    if fits_broadcast(products, max_broadcast_rows):
+    if fits_broadcast(products, max_broadcast_rows, max_broadcast_bytes):
         right = F.broadcast(products)
     else:
         right = products.hint("merge")

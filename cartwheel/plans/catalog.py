@@ -63,7 +63,8 @@ class Chain:
         # copies of a purchase are purchases: filter first, so a dedup
         # shuffles only the purchase stream
         pur = self.maybe_dedup(events.purchases(self.events()))
-        return events.enrich_with_products(pur, self.products(), self.p.max_broadcast_rows)
+        return events.enrich_with_products(pur, self.products(), self.p.max_broadcast_rows,
+                                           max_broadcast_bytes=self.p.max_broadcast_bytes)
 
     def carts(self) -> DataFrame:
         return sessions.session_carts(self.events(), self.p.session_gap_s,

@@ -79,7 +79,8 @@ def purchase_stream(envelope: DataFrame, products: DataFrame, params: Params,
     if params.dedup:
         pur = pur.dropDuplicatesWithinWatermark(["event_id"])
     guard = "time_generated" if params.watermark_from == "all" else None
-    return events.enrich_with_products(pur, products, params.max_broadcast_rows, guard)
+    return events.enrich_with_products(pur, products, params.max_broadcast_rows, guard,
+                                       params.max_broadcast_bytes)
 
 
 def start_purchase_sessions(spark: SparkSession, envelope: DataFrame, products: DataFrame,

@@ -146,3 +146,13 @@ def test_session_end_and_exact_gap(spark):
                               [sessions.SessionAgg("n", F.lit(1), "sum")])
     assert rows(out, "user_id", "session_start", "session_end", "n") == [
         (1, at(0), at(10), 2), (1, at(11), at(16), 1)]
+
+
+def test_broadcast_check_bounds_bytes(fixture_products):
+    # ten products: 8 + 8 bytes fixed per row plus the name and category text
+    text = sum(len(n.encode()) + len(c.encode()) for _, n, c, _ in
+               [(r["product_id"], r["name"], r["category"], r["cost"]) for r in fixture_products.collect()])
+    exact = 10 * 16 + text
+    assert E.fits_broadcast(fixture_products, 10, exact)
+    assert not E.fits_broadcast(fixture_products, 10, exact - 1)
+    assert not E.fits_broadcast(fixture_products, 9, exact)
