@@ -156,3 +156,13 @@ def test_broadcast_check_bounds_bytes(fixture_products):
     assert E.fits_broadcast(fixture_products, 10, exact)
     assert not E.fits_broadcast(fixture_products, 10, exact - 1)
     assert not E.fits_broadcast(fixture_products, 9, exact)
+
+
+def test_lookback_defaults_to_now(spark):
+    from datetime import datetime, timedelta
+    from cartwheel import schemas
+    now = datetime.utcnow()
+    gold_rows = [(now - timedelta(hours=1), 10, 5, 1), (now - timedelta(days=3), 99, 9, 9)]
+    g = spark.createDataFrame(gold_rows, schemas.GOLD_AVERAGES)
+    kept = serving.recent(g, 2 * 3600).collect()          # as_of=None -> current_timestamp()
+    assert [r["total_amount"] for r in kept] == [10]
