@@ -161,7 +161,7 @@ def test_broadcast_check_bounds_bytes(fixture_products):
 def test_lookback_defaults_to_now(spark):
     from datetime import datetime, timedelta
     from cartwheel import schemas
-    now = datetime.utcnow()
+    now = datetime.now()  # the test process runs in UTC (conftest)
     gold_rows = [(now - timedelta(hours=1), 10, 5, 1), (now - timedelta(days=3), 99, 9, 9)]
     g = spark.createDataFrame(gold_rows, schemas.GOLD_AVERAGES)
     kept = serving.recent(g, 2 * 3600).collect()          # as_of=None -> current_timestamp()
