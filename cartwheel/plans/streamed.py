@@ -2,8 +2,9 @@
 
 Each builder replays the ``events`` table as a clickstream with an
 ``availableNow`` trigger, lets the job write its sink under the session's
-checkpoint folder (``spark.checkpoint.dir``; a fresh local folder only when
-that is unset) and returns the committed output as a DataFrame. Append-mode
+checkpoint folder (``spark.checkpoint.dir``; a fresh local folder only in
+local mode when that is unset) and returns the committed output as a
+DataFrame. Append-mode
 jobs emit a session or window only once the watermark has passed its end,
 so their output is the batch result cut at the final watermark.
 """
