@@ -166,3 +166,13 @@ def test_lookback_defaults_to_now(spark):
     g = spark.createDataFrame(gold_rows, schemas.GOLD_AVERAGES)
     kept = serving.recent(g, 2 * 3600).collect()          # as_of=None -> current_timestamp()
     assert [r["total_amount"] for r in kept] == [10]
+
+
+def test_lookback_accepts_an_offset_aware_as_of(spark):
+    from datetime import datetime, timedelta, timezone
+    from cartwheel import schemas
+    g = spark.createDataFrame([(datetime(2026, 1, 1, 0, 30), 10, 5, 1),
+                               (datetime(2025, 12, 31, 20, 0), 99, 9, 9)], schemas.GOLD_AVERAGES)
+    aware = datetime(2026, 1, 1, 2, 0, tzinfo=timezone(timedelta(hours=1)))   # = 01:00 UTC
+    kept = serving.recent(g, 3600, aware).collect()
+    assert [r["total_amount"] for r in kept] == [10]
