@@ -101,3 +101,21 @@ def test_set_overrides_parameters():
         cli._params(argparse.Namespace(preset="reference", dedup=False, as_of=None, set=["nope=1"]))
     with pytest.raises(ValueError):
         cli._params(argparse.Namespace(preset="reference", dedup=False, as_of=None, set=["session_gap_s=0"]))
+
+
+def test_module_entry_point_prints_json(spark, scratch, fixture_events, fixture_products):
+    import json
+    import os
+    import subprocess
+    import sys
+    ps = sessions.purchase_sessions(
+        E.enrich_with_products(E.purchases(E.dedup_events(fixture_events)), fixture_products), 5)
+    gold.gold_averages(ps, 120).write.parquet(f"{scratch}/avg")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=repo, TZ="UTC")
+    out = subprocess.run([sys.executable, "-m", "cartwheel", "kpis", "--averages", f"{scratch}/avg",
+                          "--as-of", "2026-01-01T01:00:00"], capture_output=True, text=True,
+                         env=env, cwd=scratch, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    result = json.loads(out.stdout.strip().splitlines()[-1])
+    assert result["average_order_value"] == 41.67
