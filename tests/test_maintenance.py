@@ -58,3 +58,12 @@ def test_compaction_splits_a_hot_date_over_tasks(spark, scratch):
     day = f"{scratch}/dst/event_date=2024-01-15"
     files = [f for f in os.listdir(day) if f.endswith(".parquet")]
     assert len(files) > 1   # the hot date is written by several tasks
+
+
+def test_compaction_without_date_partitioning(spark, scratch):
+    ev = harness.events(spark, "/root/testdata/sf0.001")
+    ev.repartition(12).write.parquet(f"{scratch}/small")
+    out = maintenance.compact(spark, f"{scratch}/small", f"{scratch}/big", partitions=2)
+    files = [f for f in os.listdir(f"{scratch}/big") if f.endswith(".parquet")]
+    assert len(files) <= 2 and out.count() == ev.count()
+    assert "event_date" not in out.columns
