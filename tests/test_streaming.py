@@ -185,6 +185,9 @@ def test_kafka_source_is_gated(spark):
         pytest.skip("Kafka connector present")
     with pytest.raises(RuntimeError, match="Kafka data source"):
         stream_topic(spark, "localhost:9092", "clickstream")
+    from cartwheel.sources import read_topic
+    with pytest.raises(RuntimeError, match="Kafka data source"):
+        read_topic(spark, "localhost:9092", "abandoned_carts")
 
 
 def test_memory_sink_for_debugging(spark, scratch):
