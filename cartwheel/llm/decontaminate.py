@@ -48,34 +48,36 @@ def benchmark_windows(benchmark: DataFrame, size: int = SIZE) -> DataFrame:
 
 
 def hits(documents: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
-    """(doc_id, text_hash, spans, items): the words [start, end) of confirmed
-    windows and the items they are of, for documents with any."""
-    windows = materialise(benchmark_windows(benchmark, size))
-    shape = windows.agg(F.count("*").alias("n"), F.collect_set("n").alias("sizes")).first()  # at most `size` sizes
-    grams = windows.select("n", "hash").distinct()
-    grams = F.broadcast(grams) if shape["n"] <= BROADCAST_WINDOWS else grams
-    docs = of_columns(documents, "doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
-    w = docs.select("doc_id", "text_hash", norm_words(F.col("text")).alias("w"))
-    # no size, no window: the empty benchmark
-    probes = [w.select("doc_id", "text_hash", F.lit(n).alias("n"), F.posexplode(window_hashes(F.col("w"), n)).alias("at", "hash"))
-              for n in sorted(shape["sizes"])] or [w.where(F.lit(False)).select(
-                  "doc_id", "text_hash", F.lit(0).alias("n"), F.lit(0).alias("at"), F.lit(0).cast("long").alias("hash"))]
-    found = probes[0]
-    for more in probes[1:]:
+    """(of, of_hash, spans, items): for documents with any, by doc_id and hash
+    of the text, the words [start, end) of confirmed windows and their items."""
+    windows = materialise(benchmark_windows(benchmark, size).groupBy("n", "hash", "window").agg(
+        F.collect_set("item_id").alias("items")))
+    shape = windows.agg(F.count("*").alias("rows"), F.collect_set("n").alias("sizes")).first()  # at most `size` sizes
+    w = of_columns(documents, "doc_id", "text").select(
+        F.col("doc_id").alias("of"), F.xxhash64("text").alias("of_hash"), norm_words(F.col("text")).alias("w"))
+    confirmed = []
+    for n in sorted(shape["sizes"]):
+        # the hashes are a column of their own, so that explode, join and slice are one generated loop
+        probe = w.withColumn("hashes", window_hashes(F.col("w"), n))
+        some = windows.where(F.col("n") == n).drop("n")
+        if shape["rows"] <= BROADCAST_WINDOWS:
+            found = probe.select("of", "of_hash", "w", F.posexplode("hashes").alias("at", "hash")).join(
+                F.broadcast(some), "hash").where(F.slice("w", F.col("at") + 1, n) == F.col("window"))
+        else:
+            # too many to send to every task: shuffle the hashes, then the words of the documents that hit
+            at = probe.select("of", "of_hash", F.posexplode("hashes").alias("at", "hash")).join(
+                some.select("hash").distinct(), "hash").withColumnsRenamed({"of": "id", "of_hash": "id_hash"})
+            found = w.join(at, w["of"].eqNullSafe(at["id"]) & (w["of_hash"] == at["id_hash"])).select(
+                "of", "of_hash", "at", F.slice("w", F.col("at") + 1, n).alias("window")).join(some.drop("hash"), "window")
+        confirmed.append(found.select("of", "of_hash", F.struct(F.col("at").alias("start"), (F.col("at") + n).alias("end")).alias("span"), "items"))
+    if not confirmed:  # an empty benchmark
+        confirmed = [w.where(F.lit(False)).select("of", "of_hash", F.struct(F.lit(0).alias("start"), F.lit(0).alias("end")).alias("span"),
+                                                  F.array(F.lit(0).cast("long")).alias("items"))]
+    found = confirmed[0]
+    for more in confirmed[1:]:
         found = found.unionByName(more)
-    found = found.join(grams, ["n", "hash"])
-    at = found.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("at", "n")).alias("places"))  # within one document
-    # the words of documents with possible hits, once more, to confirm
-    d, a = w.alias("d"), at.alias("a")
-    own = d.join(a, F.col("d.doc_id").eqNullSafe(F.col("a.doc_id")) & (F.col("d.text_hash") == F.col("a.text_hash"))).select(
-        "d.doc_id", "d.text_hash", F.explode(F.transform("places", lambda p: F.struct(
-            p["at"].alias("start"), p["n"].alias("n"), F.slice("d.w", p["at"] + 1, p["n"]).alias("window")))).alias("p"))
-    own = own.select("doc_id", "text_hash", "p.*")
-    full = windows.groupBy("window").agg(F.collect_set("item_id").alias("items"))
-    full = F.broadcast(full) if shape["n"] <= BROADCAST_WINDOWS else full
-    return own.join(full, "window").groupBy("doc_id", "text_hash").agg(
-        F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("n")).alias("end")))).alias("spans"),
-        F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    return found.groupBy("of", "of_hash").agg(  # sets within one document
+        F.array_sort(F.collect_set("span")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
 
 
 def union_length(spans: Column) -> Column:
@@ -87,13 +89,12 @@ def union_length(spans: Column) -> Column:
 
 
 def judge(documents: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
-    """Every row's doc_id and text with n_words, n_hit, spans and items."""
-    docs = of_columns(documents, "doc_id", "text")
-    h = hits(documents, benchmark, size).withColumnsRenamed({"doc_id": "of", "text_hash": "of_hash"})
-    return (docs.withColumn("n_words", F.size(norm_words(F.col("text"))).cast("long"))
-            .join(h, docs["doc_id"].eqNullSafe(h["of"]) & (F.xxhash64(docs["text"]) == h["of_hash"]), "left")
-            .select("doc_id", "text", "n_words", F.coalesce(union_length(F.col("spans")), F.lit(0)).alias("n_hit"),
-                    "spans", "items"))
+    """Every row's doc_id with n_words, n_hit, spans and items."""
+    docs = of_columns(documents, "doc_id", "text").select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), F.size(norm_words(F.col("text"))).cast("long").alias("n_words"))
+    h = hits(documents, benchmark, size)
+    return docs.join(h, docs["doc_id"].eqNullSafe(h["of"]) & (docs["text_hash"] == h["of_hash"]), "left").select(
+        "doc_id", "n_words", F.coalesce(union_length(F.col("spans")), F.lit(0)).alias("n_hit"), "spans", "items")
 
 
 def merged(spans: Column) -> Column:
@@ -127,7 +128,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, size: int = SIZE,
     (``remove="documents"``) whole documents with a hit left out."""
     if remove not in ("spans", "documents"):
         raise ValueError(f"remove: {remove!r}")
-    h = hits(documents, benchmark, size).withColumnsRenamed({"doc_id": "of", "text_hash": "of_hash"})
+    h = hits(documents, benchmark, size)
     on = documents["doc_id"].eqNullSafe(h["of"]) & (F.xxhash64(documents["text"]) == h["of_hash"])
     if remove == "documents":
         return documents.join(h, on, "left_anti")

@@ -19,16 +19,17 @@ from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.llm.batches import to_arrow
 from cartwheel.llm.common import materialise, of_columns
 
 CAPACITY = 2048
 VOCABULARY = "byte_bpe_50k.tiktoken"
 SEPARATOR_ID = 0
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = {"doc_id": "long", "piece": "int", "start": "long", "length": "long", "ids_crc32": "long"}
 
 
 def encoder(vocabulary: str):
@@ -57,25 +58,23 @@ def token_pieces(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str
                  with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, and the
     ids themselves if asked for."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = PIECES | ({"ids": "array<long>"} if with_ids else {})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).encode_ordinary
         for batch in batches:
-            out, ids_out = [], []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = array("I", encode(text) if isinstance(text, str) else [])
+            rows: dict[str, list] = {c: [] for c in kinds}
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                ids = array("I", encode(text.as_py()) if text.is_valid else [])
                 ids.append(SEPARATOR_ID)
                 raw = memoryview(ids.tobytes())
                 for k, (a, b) in enumerate(cut(len(ids), capacity)):
-                    out.append((doc_id, k, a, b - a, zlib.crc32(raw[4 * a:4 * b])))
-                    if with_ids:
-                        ids_out.append(ids[a:b].tolist())
-            frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            if with_ids:
-                frame["ids"] = ids_out
-            yield frame
-
-    return of_columns(documents, "doc_id", "text").mapInPandas(run, PIECES + (", ids array<long>" if with_ids else ""))
+                    for c, v in zip(kinds, (doc_id, k, a, b - a, zlib.crc32(raw[4 * a:4 * b]), ids[a:b])):
+                        rows[c].append(v)
+            yield pa.RecordBatch.from_arrays([to_arrow(rows[c], kind) for c, kind in kinds.items()], names=list(kinds))
+
+    schema = ", ".join(f"{c} {kind}" for c, kind in kinds.items())
+    return of_columns(documents, "doc_id", "text").mapInArrow(run, schema)
 
 
 def plan_bins(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:

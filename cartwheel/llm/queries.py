@@ -7,8 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, packing, urls
+from cartwheel.llm import decontaminate, mil, packing, quality_rules, toxicity, urls
 from cartwheel.llm.common import table
+from cartwheel.llm.training import held_out
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = mil.fit(documents, table(spark, sf_dir, "labels"))
+    return mil.score(documents, model, ["doc_id"]).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    links = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(documents, links, ["doc_id"])
+    return scored.withColumn("score", F.col("p_toxic")).withColumn("toxic", F.col("p_toxic") >= toxicity.THRESHOLD)
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +38,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality_rules.judge(documents, quality_rules.fit(documents, table(spark, sf_dir, "labels")))
+
+
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules, listed = urls.default_rules(spark)
     return urls.filter_urls(table(spark, sf_dir, "pages"), rules, listed).select(
@@ -30,7 +50,10 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
+    "op9_quality_rules": op9_quality_rules,
     "op10_urls": op10_urls,
 }
