@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, mil, packing, quality_rules, toxicity, urls
+from cartwheel.llm import decontaminate, licenses, mil, packing, quality_rules, toxicity, urls
 from cartwheel.llm.common import table
 from cartwheel.llm.training import held_out
 
@@ -38,6 +38,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents"), licenses.default_templates(spark)))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return quality_rules.judge(documents, quality_rules.fit(documents, table(spark, sf_dir, "labels")))
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
+    "op7_licenses": op7_licenses,
     "op9_quality_rules": op9_quality_rules,
     "op10_urls": op10_urls,
 }
