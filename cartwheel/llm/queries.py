@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, licenses, mil, packing, quality_rules, toxicity, urls
+from cartwheel.llm import decontaminate, licenses, mil, packing, pii, quality_rules, toxicity, urls
 from cartwheel.llm.common import table
 from cartwheel.llm.training import held_out
 
@@ -38,6 +38,15 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(F.col("of").alias("doc_id"), *[count(kind) for kind in pii.KINDS], F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+                        pii.joined(F.col("spans")).alias("spans"))
+
+
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.scan(table(spark, sf_dir, "documents"), licenses.default_templates(spark)))
 
@@ -58,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
+    "op6_pii": op6_pii,
     "op7_licenses": op7_licenses,
     "op9_quality_rules": op9_quality_rules,
     "op10_urls": op10_urls,
