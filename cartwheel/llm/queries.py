@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, licenses, mil, packing, pii, quality_rules, toxicity, urls
+from cartwheel.llm import decontaminate, licenses, mil, minhash, packing, pii, quality_rules, toxicity, urls
 from cartwheel.llm.common import table
 from cartwheel.llm.training import held_out
 
@@ -19,6 +19,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     links = toxicity.fit(documents, table(spark, sf_dir, "labels"))
@@ -64,6 +68,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_minhash": op2_minhash,
     "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
