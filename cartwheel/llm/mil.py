@@ -152,11 +152,12 @@ def fit(documents: DataFrame, labels: DataFrame, bound: int = MAX_TRAIN) -> Mode
     return learn(x, np.repeat(np.arange(len(bags)), [len(b) for b in bags]), y)
 
 
-def score(documents: DataFrame, model: Model, keep: list[str], threshold: float = THRESHOLD) -> DataFrame:
-    """Columns ``keep`` with score and predicted."""
+def score(documents: DataFrame, model: Model, keep: list[str], threshold: float = THRESHOLD,
+          value: str = "score", flag: str = "predicted") -> DataFrame:
+    """Columns ``keep`` with the score and whether it reaches ``threshold``."""
     def work(encoded: list[bytes]) -> dict:
         x, bag = encode(encoded)
         s = model.score(x, bag, len(encoded))
-        return {"score": s, "predicted": (s >= threshold).astype(np.int32)}
+        return {value: s, flag: (s >= threshold).astype(np.int32)}
 
-    return map_texts(documents, keep, {"score": "double", "predicted": "int"}, work)
+    return map_texts(documents, keep, {value: "double", flag: "int"}, work)

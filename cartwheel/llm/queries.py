@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, licenses, mil, minhash, packing, pii, quality_rules, toxicity, urls
+from cartwheel.llm import decontaminate, extraction, licenses, mil, minhash, packing, pii, quality_rules, toxicity, urls
 from cartwheel.llm.common import table
 from cartwheel.llm.training import held_out
 
@@ -55,6 +55,10 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.scan(table(spark, sf_dir, "documents"), licenses.default_templates(spark)))
 
 
+def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return quality_rules.judge(documents, quality_rules.fit(documents, table(spark, sf_dir, "labels")))
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_pii": op6_pii,
     "op7_licenses": op7_licenses,
+    "op8_extraction": op8_extraction,
     "op9_quality_rules": op9_quality_rules,
     "op10_urls": op10_urls,
 }

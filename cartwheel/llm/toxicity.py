@@ -40,7 +40,7 @@ BITS = 40
 LEAST_TEXTS = 4
 PREFIXES = (4, 5, 6)
 NGRAMS = (5,)
-MAX_TRAIN = 2_500
+MAX_TRAIN = 1_500
 SELECTED = 600
 #: A feature must speak for its category by this many standard errors of its log odds.
 SURENESS = 3.5
@@ -131,9 +131,12 @@ def matrix(doc: np.ndarray, feature: np.ndarray, chosen: np.ndarray, docs: int,
 
 def fit_chain(doc: np.ndarray, feature: np.ndarray, targets: dict[str, np.ndarray], fold: np.ndarray) -> list[Link]:
     """One link per category; ``fold`` (0..FOLDS-1) of each training text."""
-    known, feature, texts = np.unique(feature, return_inverse=True, return_counts=True)
-    often = texts[feature] >= LEAST_TEXTS
-    doc, feature, n = doc[often], feature[often], len(known)
+    known, texts = np.unique(feature, return_counts=True)
+    known = known[texts >= LEAST_TEXTS]
+    n = len(known)
+    at = np.minimum(np.searchsorted(known, feature), max(n - 1, 0)).astype(np.int32)
+    often = known[at] == feature if n else np.zeros(len(feature), bool)
+    doc, feature = doc[often].astype(np.int32), at[often]
     earlier = np.zeros((len(fold), 0), np.float32)
     links = []
     for name, y in targets.items():
@@ -182,9 +185,10 @@ def fit(documents: DataFrame, labels: DataFrame, categories: dict[str, str] | No
 
     kept = ["doc_id", "fold", *[f"y{k}" for k in range(len(categories))]]
     got = map_texts(rows, kept, {"features": "array<long>"}, work).toPandas().sort_values(kept)
-    lists = list(got["features"])
-    doc = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    feature = np.concatenate([np.asarray(x, np.int64) for x in lists]) if lists else np.zeros(0, np.int64)
+    lists = list(got.pop("features"))
+    doc = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists])
+    feature = np.concatenate(lists).astype(np.int64) if lists else np.zeros(0, np.int64)
+    del lists
     return fit_chain(doc, feature, {name: got[f"y{k}"].to_numpy(np.float32) for k, name in enumerate(categories)}, got["fold"].to_numpy())
 
 
