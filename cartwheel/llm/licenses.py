@@ -15,11 +15,13 @@ ignored.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwheel.llm.batches import map_texts
 from cartwheel.llm.common import bind, materialise, of_columns
-from cartwheel.llm.decontaminate import norm_words, window_hashes
+from cartwheel.llm.vectors import IS_NOT_ALNUM, Words, windows
 
 K = 3
 #: Diagonals this close may belong to one span.
@@ -53,12 +55,22 @@ def default_templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "text string, label string, phrase boolean")
 
 
+def rolling(encoded: list[bytes]) -> dict:
+    """n_words and the hashes of all runs of K words of each text."""
+    w = Words(encoded, IS_NOT_ALNUM)
+    at, h = windows(w.hash, w.doc, K)
+    ends = np.searchsorted(w.doc[at], np.arange(1, len(encoded)))
+    return {"n_words": w.n, "hashes": np.split(h.view(np.int64), ends)}
+
+
+FIELDS = {"n_words": "long", "hashes": "array<long>"}
+
+
 def template_places(templates: DataFrame) -> DataFrame:
     """(hash, place, template, grams, label, phrase): one row per K-gram."""
-    t = templates.select(F.xxhash64("text", "label", "phrase").alias("template"), "label", "phrase",
-                         norm_words(F.col("text")).alias("w")).distinct()
-    return t.withColumn("hashes", window_hashes(F.col("w"), K)).select(
-        "template", "label", "phrase", F.size("hashes").alias("grams"), F.posexplode("hashes").alias("place", "hash"))
+    t = of_columns(templates, "text", "label", "phrase").distinct().withColumn("template", F.xxhash64("text", "label", "phrase"))
+    hashed = map_texts(t, ["template", "label", "phrase"], FIELDS, rolling)
+    return hashed.select("template", "label", "phrase", F.size("hashes").alias("grams"), F.posexplode("hashes").alias("place", "hash"))
 
 
 def votes(documents: DataFrame, templates: DataFrame) -> DataFrame:
@@ -66,10 +78,9 @@ def votes(documents: DataFrame, templates: DataFrame) -> DataFrame:
     K-grams of each text that lie on a diagonal of a template."""
     where = materialise(template_places(templates))
     n = where.count()
-    d = of_columns(documents, "doc_id", "text").select(
-        F.col("doc_id").alias("of"), F.xxhash64("text").alias("of_hash"),
-        window_hashes(norm_words(F.col("text")), K).alias("hashes"))
-    hit = d.select("of", "of_hash", F.posexplode("hashes").alias("at", "hash")).join(
+    d = of_columns(documents, "doc_id", "text").select(F.col("doc_id").alias("of"), F.xxhash64("text").alias("of_hash"), "text")
+    hashed = map_texts(d, ["of", "of_hash"], {"hashes": "array<long>"}, rolling)
+    hit = hashed.select("of", "of_hash", F.posexplode("hashes").alias("at", "hash")).join(
         F.broadcast(where) if n <= BROADCAST_PLACES else where, "hash")
     return (hit.groupBy("of", "of_hash", "template", "grams", "label", "phrase", (F.col("at") - F.col("place")).alias("diagonal"))
             .agg(F.array_sort(F.collect_set("place")).alias("places")))  # no more than the template has
@@ -108,8 +119,8 @@ def scan(documents: DataFrame, templates: DataFrame) -> DataFrame:
     start, end, coverage); null spans where there are none."""
     s = spans(documents, templates).groupBy("of", "of_hash").agg(
         F.array_sort(F.collect_set(F.struct("start", "end", "label", "phrase", "coverage"))).alias("spans"))
-    d = of_columns(documents, "doc_id", "text").select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), F.size(norm_words(F.col("text"))).cast("long").alias("n_words"))
+    d = of_columns(documents, "doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
+    d = map_texts(d, ["doc_id", "text_hash"], {"n_words": "long"}, lambda encoded: {"n_words": Words(encoded, IS_NOT_ALNUM).n})
     return d.join(s, d["doc_id"].eqNullSafe(s["of"]) & (d["text_hash"] == s["of_hash"]), "left").select(
         "doc_id", "n_words", "spans")
 

@@ -76,7 +76,7 @@ def sketch(doc: np.ndarray, h: np.ndarray, texts: int) -> np.ndarray:
     for i in range(2 * T):
         if not len(doc):
             break
-        x = mix(h + np.uint64(i) * np.uint64(0xD6E8FEB86659FD93))
+        x = mix(h + np.uint64(i * 0xD6E8FEB86659FD93 % 2**64))
         # earlier rounds are smaller; within a round the hash decides
         value = (x >> np.uint64(9)) | (np.uint64(i) << np.uint64(55))
         place = (x % np.uint64(T)).astype(np.int64) if i < T else np.full(len(x), i - T)

@@ -9,11 +9,20 @@ last returns the packed pieces. An empty table passes through every stage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartwheel.llm import decontaminate, mil, minhash, packing, pii
 from cartwheel.llm.common import materialise, table
 
 
+def counted(docs: DataFrame) -> DataFrame:
+    """``docs`` with n_chars as its changed texts have it."""
+    if "n_chars" not in docs.columns:
+        return docs
+    chars = F.coalesce(F.length("text"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return docs.withColumn("n_chars", chars)
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the classifier rejects."""
     model = mil.fit(docs, table(spark, sf_dir, "labels"))
@@ -27,12 +36,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages cut out of the texts."""
-    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return counted(decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by the name of its kind."""
-    return pii.redact(docs)
+    return counted(pii.redact(docs))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
