@@ -107,7 +107,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> lis
     ap.add_argument("--set", action="append", metavar="PARAM=VALUE",
                     help="override any pipeline parameter, e.g. session_gap_s=300")
     ap.add_argument("--console", action="store_true", help="also print results (debug)")
-    ap.add_argument("--limit", type=int, default=20)
+    ap.add_argument("--limit", type=int, help="topic-dump: print this many records instead of writing all to --out")
     a = ap.parse_args(argv)
     spark = spark or build_session(app=f"cartwheel-{a.job}",
                                    extra=None if a.job == "kpis" else STREAMING_CONF)
@@ -167,15 +167,22 @@ def _kpis(spark: SparkSession, a: argparse.Namespace, p: Params) -> dict:
 
 
 def _topic_dump(spark: SparkSession, a: argparse.Namespace) -> dict:
-    """The first ``--limit`` records of the abandoned-cart topic
-    (Kafka from the earliest offsets, or envelope files), decoded: key text,
-    value as JSON when it is a JSON object, else raw text."""
+    """The records of the abandoned-cart topic (Kafka from the
+    earliest offsets, or envelope files), decoded: key text, value as JSON
+    when it is a JSON object, else raw text. All are written to ``--out`` as
+    Parquet; ``--limit`` prints the first ones instead."""
     from cartwheel.operators import decode
     from cartwheel.sources import read_topic
 
     env = (read_topic(spark, a.kafka, a.out_topic) if a.kafka
            else spark.read.schema(schemas.ENVELOPE).parquet(a.envelopes))
-    rows = decode.decode_topic(env, schemas.CART_MESSAGE).limit(a.limit).collect()
+    decoded = decode.decode_topic(env, schemas.CART_MESSAGE)
+    if a.limit is None:
+        if not a.out:
+            raise SystemExit("topic-dump: give --out or --limit")
+        decoded.write.mode("overwrite").parquet(a.out)
+        return {"out": a.out}
+    rows = decoded.limit(a.limit).collect()
     return {"records": [{"key": r["key"], "value": r["value"].asDict() if r["value"] else None,
                          "raw_value": r["raw_value"], "partition": r["partition"],
                          "offset": r["offset"]} for r in rows]}

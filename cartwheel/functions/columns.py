@@ -56,8 +56,8 @@ def ratio2(num: Column | str, den: Column | str) -> Column:
 
 
 def bucket_start(amount: Column | str, width: int) -> Column:
-    """Lower bound of the spend bucket: floor(amount / width) * width, int."""
-    return (F.floor(_c(amount) / F.lit(width)) * F.lit(width)).cast("int")
+    """Lower bound of the spend bucket: floor(amount / width) * width, bigint."""
+    return F.floor(_c(amount) / F.lit(width)) * F.lit(width)
 
 
 def bucket_label(start: Column | str, end: Column | str) -> Column:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cartwheel.functions.columns import purchase_flag
 from cartwheel.params import interval
@@ -35,7 +34,8 @@ def purchases(events: DataFrame, time_col: str = "time_generated",
 def dedup_events(events: DataFrame, key: str = "event_id",
                  time_col: str = "time_generated",
                  watermark_s: float | None = None) -> DataFrame:
-    """T4: one row per ``event_id``.
+    """T4: one row per ``event_id``. Rows without an id are no copies of one
+    another: all of them stay, and they share no group.
 
     Streams: ``dropDuplicatesWithinWatermark`` (bounded state; needs the
     watermark). Batch: the least copy by (time, other columns) — a
@@ -47,58 +47,26 @@ def dedup_events(events: DataFrame, key: str = "event_id",
         df = events
         if watermark_s is not None:
             df = df.withWatermark(time_col, interval(watermark_s))
-        return df.dropDuplicatesWithinWatermark([key])
+        own = F.coalesce(F.col(key).cast("string"), F.expr("uuid()"))
+        return df.withColumn("_dedup_key", own).dropDuplicatesWithinWatermark(["_dedup_key"]).drop("_dedup_key")
     others = [c for c in events.columns if c != key]
     ordered = [time_col] + [c for c in others if c != time_col] if time_col in others else others
     best = F.min(F.struct(*[F.col(c) for c in ordered])).alias("_best")
-    return (events.groupBy(key).agg(best)
-            .select(*[F.col(key) if c == key else F.col(f"_best.{c}").alias(c)
-                      for c in events.columns]))
-
-
-_FIXED_WIDTH = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4,
-                T.FloatType: 4, T.DateType: 4, T.LongType: 8, T.DoubleType: 8,
-                T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16}
-
-
-def _width(f: T.StructField) -> Column:
-    """Bytes of one value: actual length for text and binary, fixed width
-    for numbers and times, JSON text length for nested values."""
-    c = F.col(f.name)
-    if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(c), F.lit(0))
-    for kind, width in _FIXED_WIDTH.items():
-        if isinstance(f.dataType, kind):
-            return F.lit(width)
-    return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
-
-
-def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
-    """Size check before a broadcast, in one aggregate job: True iff ``df``
-    has at most ``max_rows`` rows and, when ``max_bytes`` is given, at most
-    that many bytes of data (string and binary columns by their actual
-    length, other columns by their fixed width). The aggregate combines one
-    row per partition; nothing is collected but the two totals."""
-    if max_bytes is None:
-        return df.count() <= max_rows
-    widths = [_width(f) for f in df.schema.fields]
-    row_bytes = sum(widths[1:], widths[0]) if widths else F.lit(0)
-    stats = df.agg(F.count(F.lit(1)).alias("rows"),
-                   F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")).first()
-    return stats["rows"] <= max_rows and stats["bytes"] <= max_bytes
-
-
-def enrich_with_products(events: DataFrame, products: DataFrame,
-                         max_broadcast_rows: int = 500_000,
-                         guard_col: str | None = None,
-                         max_broadcast_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+    known = (events.where(F.col(key).isNotNull()).groupBy(key).agg(best)
+             .select(*[F.col(key) if c == key else F.col(f"_best.{c}").alias(c)
+                       for c in events.columns]))
+    return known.unionByName(events.where(F.col(key).isNull()))
+
+
+def enrich_with_products(events: DataFrame, products: DataFrame, guard_col: str | None = None) -> DataFrame:
     """Inner equi-join on ``product_id``; null and unknown ids drop out.
 
-    The catalogue is broadcast only when its row count and its data size are
-    proven below ``max_broadcast_rows`` and ``max_broadcast_bytes``. Otherwise the join is a sort-merge join by hint —
-    a compressed file can look small to the planner's size estimate while
-    holding too many rows to broadcast — and AQE's skew handling splits the
-    partition of a hot product.
+    No side is hinted: the planner broadcasts a catalogue whose size it knows
+    to be below ``spark.sql.autoBroadcastJoinThreshold``, AQE one that turns
+    out to be below ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (a
+    stream decides per micro-batch, as the catalogue is read again), and
+    beyond that the sort-merge join's skew handling splits the partition of a
+    hot product.
 
     ``guard_col`` (the event-time column) makes the join key null when that
     column is null. The key then mentions event time, so the null filter
@@ -107,11 +75,7 @@ def enrich_with_products(events: DataFrame, products: DataFrame,
     (D19 option). Matches are the same as without the guard for every row
     with an event time.
     """
-    products = products.select("product_id", "name", "category", "cost")
-    if fits_broadcast(products, max_broadcast_rows, max_broadcast_bytes):
-        right = F.broadcast(products)
-    else:
-        right = products.hint("merge")
+    right = products.select("product_id", "name", "category", "cost")
     if guard_col is None:
         # No explicit null filter: the inner join drops null ids, and a
         # filter that does not mention event time would sink below a watermark.

@@ -11,12 +11,12 @@ from cartwheel.functions.columns import funnel_stage, pct
 STAGES = (1, 2, 3, 4)
 
 
-def user_stage(events: DataFrame, time_col: str = "time_generated") -> DataFrame:
-    """Per user the highest stage reached (never regresses) and the
+def user_stage(events: DataFrame, time_col: str = "time_generated", by: list[str] | None = None) -> DataFrame:
+    """Per user (and extra keys, e.g. day) the highest stage reached (never regresses) and the
     latest event time (D4: the maximum, not the last row seen). Events
     without a user are not a funnel user (D18)."""
     return (events.where(F.col("user_id").isNotNull())
-            .groupBy("user_id")
+            .groupBy("user_id", *(by or []))
             .agg(F.max(funnel_stage("event_type")).cast("int").alias("highest_funnel_stage"),
                  F.max(time_col).alias("event_time")))
 

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import bucket_label, ratio2
 
+#: Buckets that one row of the spine's first step stands for.
+SPINE_STRETCH = 10_000
+
 
 def as_of_col(as_of: datetime | None) -> Column:
     """Reference instant: a fixed timestamp, or ``current_timestamp()``.
@@ -40,47 +43,46 @@ def kpi_averages(averages: DataFrame) -> DataFrame:
                        F.sum("session_count").alias("n"))
     return tot.select(ratio2("a", "n").alias("average_order_value"),
                       ratio2("d", "n").alias("average_session_duration"),
-                      F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("session_count"))
+                      F.coalesce(F.col("n"), F.lit(0)).alias("session_count"))
 
 
 def _reaggregate(spend: DataFrame) -> DataFrame:
     return (spend.groupBy("bucket_start", "bucket_end", "bucket_label")
-            .agg(F.sum("session_count").cast("long").alias("session_count")))
+            .agg(F.sum("session_count").alias("session_count")))
 
 
 def spend_histogram(spend: DataFrame, width: int) -> DataFrame:
     """A12 + J2: session counts per bucket over all windows, on a dense
     spine from the lowest to the highest bucket with zero fill (O2: sorted).
+    Sessions without an amount have no bucket.
 
-    One aggregate yields the bounds and a bucket -> count map (one entry per
-    non-empty bucket); the spine is exploded from it, so the re-aggregated
-    histogram is computed once and no join is needed. The spine length,
-    (max - min) / width + 1, is the size of the result itself.
+    The spine is made in two steps, stretches and then the buckets of each,
+    so that neither an array nor a task grows with the largest amount; the
+    stored counts are joined to it.
     """
-    hist = _reaggregate(spend)
-    one = hist.agg(F.min("bucket_start").alias("lo"), F.max("bucket_start").alias("hi"),
-                   F.map_from_entries(F.collect_list(F.struct("bucket_start", "session_count")))
-                   .alias("counts"))
-    dense = (one.where(F.col("lo").isNotNull())
-             .select(F.explode(F.sequence("lo", "hi", F.lit(width))).alias("b"), "counts"))
-    return (dense.select(
-                F.col("b").cast("int").alias("bucket_start"),
-                (F.col("b") + F.lit(width)).cast("int").alias("bucket_end"),
-                bucket_label(F.col("b"), F.col("b") + F.lit(width)).alias("bucket_label"),
-                F.coalesce(F.element_at("counts", F.col("b")), F.lit(0)).cast("long")
-                .alias("session_count"))
-            # exploded from one aggregate row, so it is one partition already:
-            # a partition-local sort is the total order, with no range shuffle
-            .coalesce(1)
-            .sortWithinPartitions("bucket_start"))
+    hist = _reaggregate(spend).where(F.col("bucket_start").isNotNull())
+    step = F.lit(width).cast("bigint")
+    stretch = step * SPINE_STRETCH
+    # the counts are named here too, so that both uses of the histogram share one shuffle
+    bounds = hist.agg(F.min("bucket_start").alias("lo"), F.max("bucket_start").alias("hi"),
+                      F.sum("session_count").alias("sessions")).where("sessions > 0")
+    stretches = bounds.select("hi", F.explode(F.sequence("lo", "hi", stretch)).alias("first"))
+    spine = stretches.repartition("first").select(
+        F.explode(F.sequence("first", F.least("hi", F.col("first") + stretch - step), step)).alias("b"))
+    high = F.col("b") + step
+    return (spine.join(hist.select("bucket_start", "session_count"), F.col("b") == F.col("bucket_start"), "left")
+            .select(F.col("b").alias("bucket_start"), high.alias("bucket_end"),
+                    bucket_label(F.col("b"), high).alias("bucket_label"),
+                    F.coalesce("session_count", F.lit(0)).alias("session_count"))
+            .orderBy("bucket_start"))
 
 
 def spend_histogram_totals(spend: DataFrame) -> DataFrame:
     """A12 totals: sessions, buckets with sessions, lowest and highest bucket."""
     hist = _reaggregate(spend)
     return hist.agg(
-        F.coalesce(F.sum("session_count"), F.lit(0)).cast("long").alias("total_sessions"),
-        F.count_if(F.col("session_count") > 0).cast("long").alias("active_buckets"),
+        F.coalesce(F.sum("session_count"), F.lit(0)).alias("total_sessions"),
+        F.count_if(F.col("session_count") > 0).alias("active_buckets"),
         F.min("bucket_start").alias("min_bucket"),
         F.max("bucket_start").alias("max_bucket"),
     )

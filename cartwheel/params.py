@@ -48,13 +48,10 @@ class Params:
     watermark_from: str = "filtered"
     # batch sessionizer: time slice width, capped at (and by default) the gap
     slice_width_s: float | None = None
-    # broadcast the product catalogue only below this many rows and bytes
-    max_broadcast_rows: int = 500_000
-    max_broadcast_bytes: int = 64 * 1024 * 1024
 
     def __post_init__(self) -> None:
         positive = ["session_gap_s", "gold_window_s", "look_back_s", "funnel_timeout_s",
-                    "bucket_width", "max_broadcast_rows", "max_broadcast_bytes"]
+                    "bucket_width"]
         for name in positive:
             if getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be positive")

@@ -9,7 +9,9 @@ comma-joined text so results compare exactly with a SQL engine.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,10 @@ from pyspark.sql import types as T
 from cartwheel import schemas
 from cartwheel.operators import decode, events, funnel, gold, serving, sessions, summaries
 from cartwheel.params import HARNESS, Params
+from cartwheel.plans import faults
+from cartwheel.session import run_root
 from cartwheel.sources import harness
+from cartwheel.sources.files import read_optional_parquet
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +41,16 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def utc_session(spark: SparkSession) -> SparkSession:
+    """The caller's session if its zone is UTC, else one of its own beside it:
+    the tables hold UTC wall-clock times, and the caller's settings stay."""
+    if spark.conf.get("spark.sql.session.timeZone") == "UTC":
+        return spark
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    return own
+
+
 class Chain:
     """The storefront chain over one scale-factor directory.
 
@@ -43,7 +58,7 @@ class Chain:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params = HARNESS):
-        self.spark, self.sf_dir, self.p = spark, sf_dir, params
+        self.spark, self.sf_dir, self.p = utc_session(spark), sf_dir, params
 
     # -- inputs ---------------------------------------------------------
     def events(self) -> DataFrame:
@@ -59,12 +74,16 @@ class Chain:
     def maybe_dedup(self, ev: DataFrame) -> DataFrame:
         return events.dedup_events(ev) if self.p.dedup else ev
 
-    def enriched(self) -> DataFrame:
+    def purchases(self, since=None) -> DataFrame:
         # copies of a purchase are purchases: filter first, so a dedup
         # shuffles only the purchase stream
-        pur = self.maybe_dedup(events.purchases(self.events()))
-        return events.enrich_with_products(pur, self.products(), self.p.max_broadcast_rows,
-                                           max_broadcast_bytes=self.p.max_broadcast_bytes)
+        return self.maybe_dedup(harness.purchase_events(self.spark, self.sf_dir, since))
+
+    def enriched(self, since=None) -> DataFrame:
+        return events.enrich_with_products(self.purchases(since), self.products())
+
+    def product_summary(self) -> DataFrame:
+        return summaries.product_summary(self.purchases(), self.products())
 
     def carts(self) -> DataFrame:
         return sessions.session_carts(self.events(), self.p.session_gap_s,
@@ -73,15 +92,29 @@ class Chain:
     def abandoned(self) -> DataFrame:
         return sessions.abandoned_carts(self.carts())
 
-    def purchase_sessions(self) -> DataFrame:
-        return sessions.purchase_sessions(self.enriched(), self.p.session_gap_s,
+    def purchase_sessions(self, since=None) -> DataFrame:
+        return sessions.purchase_sessions(self.enriched(since), self.p.session_gap_s,
                                           slice_s=self.p.slice_width_s)
 
+    def recent_sessions(self) -> DataFrame:
+        """Sessions enough for the look-back, from the events at most one gap
+        before its bound. A session across the bound has an event in that gap,
+        so it still starts before the bound, where F9 drops its window; every
+        other session is whole."""
+        if self.p.as_of is None:
+            return self.purchase_sessions()
+        return self.purchase_sessions(self.p.as_of - timedelta(seconds=self.p.look_back_s + self.p.session_gap_s))
+
     def user_stage(self) -> DataFrame:
         # max stage and max time are idempotent under duplicate sends, so the
         # batch funnel needs no dedup shuffle unless dedup is asked for
         return funnel.user_stage(self.maybe_dedup(self.events()))
 
+    def daily_stage(self) -> DataFrame:
+        """The highest stage of each user on each UTC day."""
+        day = F.to_date("time_generated").alias("day")
+        return funnel.user_stage(self.maybe_dedup(self.events()).select("*", day), by=["day"])
+
     # -- gold ---------------------------------------------------------------
     def gold_averages(self) -> DataFrame:
         return gold.gold_averages(self.purchase_sessions(), self.p.gold_window_s)
@@ -91,10 +124,21 @@ class Chain:
                                             self.p.bucket_width)
 
     def recent_averages(self) -> DataFrame:
-        return serving.recent(self.gold_averages(), self.p.look_back_s, self.p.as_of)
+        return serving.recent(gold.gold_averages(self.recent_sessions(), self.p.gold_window_s),
+                              self.p.look_back_s, self.p.as_of)
 
     def recent_spend(self) -> DataFrame:
-        return serving.recent(self.gold_spend(), self.p.look_back_s, self.p.as_of)
+        return serving.recent(gold.gold_spend_distribution(self.recent_sessions(), self.p.gold_window_s, self.p.bucket_width),
+                              self.p.look_back_s, self.p.as_of)
+
+    # -- stored gold --------------------------------------------------------
+    def stored(self, table: DataFrame, schema: T.StructType) -> DataFrame:
+        """``table`` written as Parquet, and its look-back read from there."""
+        path = f"{run_root(self.spark)}/gold/{uuid.uuid4().hex}"
+        table.select(*schema.fieldNames()).write.parquet(path)
+        written = read_optional_parquet(self.spark, schema, path)
+        written = self.spark.createDataFrame([], schema) if written is None else written
+        return serving.recent(written, self.p.look_back_s, self.p.as_of)
 
 
 def _q(fn: Callable[[Chain], DataFrame]) -> Builder:
@@ -133,17 +177,17 @@ def _purchase_sessions(c: Chain) -> DataFrame:
 
 def _product_summary(c: Chain) -> DataFrame:
     """A4."""
-    return summaries.product_summary(c.enriched())
+    return c.product_summary()
 
 
 def _category_summary(c: Chain) -> DataFrame:
     """A5."""
-    return summaries.category_summary(summaries.product_summary(c.enriched()))
+    return summaries.category_summary(c.product_summary())
 
 
 def _funnel_metrics(c: Chain) -> DataFrame:
-    """A10 snapshot over all users."""
-    return funnel.funnel_metrics(funnel.stage_counts(c.user_stage()))
+    """A10 snapshot over all users, per day of their events."""
+    return funnel.funnel_metrics(funnel.stage_counts(c.daily_stage(), ["day"]), ["day"])
 
 
 def _latest_abandoned_cart(c: Chain) -> DataFrame:
@@ -156,32 +200,64 @@ def _decode_topic(c: Chain) -> DataFrame:
     """S6 + JSON-or-raw decode of the abandoned-cart topic."""
     ab = c.abandoned()
     msg = sessions.cart_messages(ab)
-    env = harness.to_envelope(msg, F.col("key"), F.col("value"), harness.CART_TOPIC, "ts")
+    # the topic's offsets, here told by user and time
+    own = F.col("user_id") * 1_000_000_007 + F.unix_seconds("ts")
+    env = harness.to_envelope(msg, F.col("key"), F.col("value"), harness.CART_TOPIC, "ts", own)
     dec = decode.decode_topic(env, schemas.CART_MESSAGE)
     return dec.select("key", F.col("value.user_id").alias("user_id"),
                       F.col("value.product_ids").alias("product_ids"),
-                      F.col("value.ts").alias("ts"), "raw_value", "partition")
+                      F.col("value.ts").alias("ts"), "raw_value", "partition", "offset")
 
 
 def _dlq_route(c: Chain) -> DataFrame:
     """X1 over an envelope with damaged messages."""
-    env = harness.faulty_clickstream_envelope(harness.source_events(c.spark, c.sf_dir))
-    return decode.route_events(env).drop("raw_value")
+    return decode.route_events(faults.faulty_clickstream_envelope(faults.source_events(c.spark, c.sf_dir)))
+
+
+def _dedup_events(c: Chain) -> DataFrame:
+    """T4 over events that are partly sent twice."""
+    return events.dedup_events(harness.double_sent(c.events()), time_col="time_received")
+
+
+def _dedup_events_dirty(c: Chain) -> DataFrame:
+    """T4 where the ids of some events were lost: those all stay."""
+    lost = F.when(F.col("event_type") == "add_to_cart", F.lit(None)).otherwise(F.col("event_id")).cast("bigint")
+    return events.dedup_events(harness.double_sent(c.events().withColumn("event_id", lost)), time_col="time_received")
+
+
+def _purchase_sessions_dedup(c: Chain) -> DataFrame:
+    """Sessions of purchases that were sent twice."""
+    pur = events.dedup_events(events.purchases(harness.double_sent(c.events())))
+    enriched = events.enrich_with_products(pur, c.products())
+    out = sessions.purchase_sessions(enriched, c.p.session_gap_s, slice_s=c.p.slice_width_s)
+    return out.withColumn("total_amount", F.round("total_amount", 2))
+
+
+def _summary_totals(c: Chain) -> DataFrame:
+    """Category totals over product summaries made per day."""
+    day = F.to_date("time_generated").alias("day")
+    sold = c.purchases().where("product_id is not null").groupBy(day, "product_id").agg(
+        F.count("event_id").alias("num_purchases"), F.count("*").alias("units"))
+    days = events.enrich_with_products(sold, c.products()).withColumn("revenue", F.round(F.col("units") * F.col("cost"), 2))
+    return summaries.summary_totals(days)[1]
 
 
 QUERIES: dict[str, Builder] = {
     "decode_events": _q(_decode_events),
-    "dedup_events": _q(lambda c: events.dedup_events(c.events())),
+    "dedup_events": _q(_dedup_events),
+    "dedup_events_dirty": _q(_dedup_events_dirty),
     "purchase_flag": _q(_purchase_flag),
-    "purchases": _q(lambda c: events.purchases(c.events())),
+    "purchases": _q(lambda c: harness.purchase_events(c.spark, c.sf_dir)),
     "purchases_enriched": _q(_purchases_enriched),
     "session_carts": _q(lambda c: c.carts()),
     "abandoned_carts": _q(_abandoned_carts),
     "purchase_sessions": _q(_purchase_sessions),
+    "purchase_sessions_dedup": _q(_purchase_sessions_dedup),
     "product_summary": _q(_product_summary),
     "category_summary": _q(_category_summary),
     "funnel_user_stage": _q(lambda c: c.user_stage()),
-    "funnel_stage_counts": _q(lambda c: funnel.stage_counts(c.user_stage())),
+    "summary_totals": _q(_summary_totals),
+    "funnel_stage_counts": _q(lambda c: funnel.stage_counts(c.daily_stage(), ["day"])),
     "funnel_metrics": _q(_funnel_metrics),
     "gold_averages": _q(lambda c: c.gold_averages()),
     "gold_spend_distribution": _q(lambda c: c.gold_spend()),
@@ -189,6 +265,9 @@ QUERIES: dict[str, Builder] = {
     "kpi_averages": _q(lambda c: serving.kpi_averages(c.recent_averages())),
     "spend_histogram": _q(lambda c: serving.spend_histogram(c.recent_spend(), c.p.bucket_width)),
     "spend_histogram_totals": _q(lambda c: serving.spend_histogram_totals(c.recent_spend())),
+    "stored_kpi_averages": _q(lambda c: serving.kpi_averages(c.stored(c.gold_averages(), schemas.GOLD_AVERAGES))),
+    "stored_spend_histogram": _q(lambda c: serving.spend_histogram(
+        c.stored(c.gold_spend(), schemas.GOLD_SPEND), c.p.bucket_width)),
     "latest_abandoned_cart": _q(_latest_abandoned_cart),
     "decode_topic": _q(_decode_topic),
     "dlq_route": _q(_dlq_route),

@@ -77,13 +77,13 @@ def _ctes(p: Params) -> dict[str, str]:
     count(*) AS session_count
   FROM ps GROUP BY 1)"""
     c["gs"] = f"""gs AS (
-  SELECT window_start, bucket_start, CAST(bucket_start + {width} AS INTEGER) AS bucket_end,
+  SELECT window_start, bucket_start, CAST(bucket_start + {width} AS BIGINT) AS bucket_end,
     CAST(bucket_start AS VARCHAR) || '-' || CAST(bucket_start + {width} AS VARCHAR) AS bucket_label,
     session_count
   FROM (
     SELECT make_timestamp(CAST(floor(epoch_us(session_start) / {win_us}) * {win_us} AS BIGINT))
         AS window_start,
-      CAST(floor(total_amount / {width}) * {width} AS INTEGER) AS bucket_start,
+      CAST(floor(total_amount / {width}) * {width} AS BIGINT) AS bucket_start,
       count(*) AS session_count
     FROM ps GROUP BY 1, 2) x)"""
     c["ra"] = f"""ra AS (
@@ -110,9 +110,21 @@ def oracle_sql(p: Params = HARNESS) -> dict[str, str]:
     width = c["width"]
     q: dict[str, str] = {}
     q["decode_events"] = _with(c, ["ev"], f"SELECT {EVENT_COLS}, time_generated AS event_time FROM ev")
-    q["dedup_events"] = _with(c, ["ev"], f"""SELECT {EVENT_COLS} FROM ev
-QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY time_generated NULLS FIRST,
-  user_id NULLS FIRST, event_type NULLS FIRST, product_id NULLS FIRST) = 1""")
+    sent = """sent AS (
+  SELECT * FROM ev0 UNION ALL
+  SELECT event_id, user_id, event_type, product_id, time_generated,
+    coalesce(time_received, time_generated) + INTERVAL 1 SECOND AS time_received
+  FROM ev0 WHERE event_type = 'purchase' OR event_id % 10 = 7)"""
+    once = f"""SELECT {EVENT_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY event_id
+  ORDER BY time_received NULLS FIRST, user_id NULLS FIRST, event_type NULLS FIRST,
+  product_id NULLS FIRST, time_generated NULLS FIRST) AS copy FROM sent) s
+WHERE copy = 1 OR event_id IS NULL"""
+    c["ev0"] = f"ev0 AS (SELECT {EVENT_COLS} FROM ev)"
+    c["lost"] = f"""ev0 AS (SELECT CASE WHEN event_type <> 'add_to_cart' THEN event_id END AS event_id,
+  {EVENT_COLS.split(", ", 1)[1]} FROM ev)"""
+    c["sent"] = sent
+    q["dedup_events"] = _with(c, ["ev", "ev0", "sent"], once)
+    q["dedup_events_dirty"] = _with(c, ["ev", "lost", "sent"], once)
     q["purchase_flag"] = _with(c, ["ev"], """SELECT event_id, user_id, event_type,
   CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS is_purchase FROM ev""")
     q["purchases"] = _with(c, ["ev"], f"SELECT {EVENT_COLS} FROM ev WHERE event_type = 'purchase'")
@@ -126,6 +138,7 @@ QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY time_generated NULLS F
 FROM ab""")
     q["purchase_sessions"] = _with(c, ["ev", "pr", "enr", "ps"], """SELECT user_id, session_start,
   session_end, round(total_amount, 2) AS total_amount FROM ps""")
+    q["purchase_sessions_dedup"] = q["purchase_sessions"]
     prod = """SELECT product_id, name, category, count(event_id) AS num_purchases,
   round(sum(cost), 2) AS revenue FROM enr GROUP BY product_id, name, category"""
     q["product_summary"] = _with(c, ["ev", "pr", "enr"], prod)
@@ -133,8 +146,25 @@ FROM ab""")
   count(product_id) AS num_products, CAST(sum(num_purchases) AS BIGINT) AS num_purchases,
   round(sum(revenue), 2) AS revenue FROM ({prod}) p GROUP BY category""")
     q["funnel_user_stage"] = _with(c, ["ev", "us"], "SELECT * FROM us")
-    q["funnel_stage_counts"] = _with(c, ["ev", "us", "sc"], "SELECT * FROM sc")
-    q["funnel_metrics"] = _with(c, ["ev", "us"], """SELECT funnel_stage, user_count,
+    q["summary_totals"] = q["category_summary"]
+    c["ud"] = """ud AS (
+  SELECT user_id, CAST(time_generated AS DATE) AS day, CAST(max(CASE event_type WHEN 'search' THEN 1
+      WHEN 'page_view' THEN 1 WHEN 'product_view' THEN 2 WHEN 'add_to_cart' THEN 3 WHEN 'purchase' THEN 4
+      ELSE 0 END) AS INTEGER) AS highest_funnel_stage
+  FROM ev WHERE user_id IS NOT NULL GROUP BY 1, 2)"""
+    q["funnel_stage_counts"] = _with(c, ["ev", "ud"], """SELECT day, highest_funnel_stage, count(user_id) AS user_count
+FROM ud GROUP BY 1, 2""")
+    rates = """CASE WHEN user_count = 0 THEN NULL
+       ELSE round(CAST(user_count - nxt AS DOUBLE) / user_count * 100, 2) END AS dropoff_rate_pct,
+  CASE WHEN user_count = 0 THEN NULL
+       ELSE round(CAST(nxt AS DOUBLE) / user_count * 100, 2) END AS conversion_rate_pct"""
+    q["funnel_metrics"] = _with(c, ["ev", "ud"], f"""SELECT day, funnel_stage, user_count, {rates}
+FROM (
+  SELECT d.day, CAST(s.funnel_stage AS BIGINT) AS funnel_stage,
+    count(*) FILTER (WHERE d.highest_funnel_stage >= s.funnel_stage) AS user_count,
+    count(*) FILTER (WHERE d.highest_funnel_stage > s.funnel_stage AND s.funnel_stage < 4) AS nxt
+  FROM ud d, (VALUES (1), (2), (3), (4)) s(funnel_stage) GROUP BY 1, 2) t""")
+    snapshot = _with(c, ["ev", "us"], """SELECT funnel_stage, user_count,
   CASE WHEN user_count = 0 THEN NULL
        ELSE round(CAST(user_count - nxt AS DOUBLE) / user_count * 100, 2) END AS dropoff_rate_pct,
   CASE WHEN user_count = 0 THEN NULL
@@ -155,14 +185,15 @@ FROM (
     AS average_session_duration,
   CAST(coalesce(sum(session_count), 0) AS BIGINT) AS session_count
 FROM ra""")
-    q["spend_histogram"] = _with(c, base + ["gs", "rs", "h"], f"""SELECT CAST(s.b AS INTEGER) AS bucket_start,
-  CAST(s.b + {width} AS INTEGER) AS bucket_end,
+    q["spend_histogram"] = _with(c, base + ["gs", "rs", "h"], f"""SELECT CAST(s.b AS BIGINT) AS bucket_start,
+  CAST(s.b + {width} AS BIGINT) AS bucket_end,
   CAST(s.b AS VARCHAR) || '-' || CAST(s.b + {width} AS VARCHAR) AS bucket_label,
   CAST(coalesce(h.session_count, 0) AS BIGINT) AS session_count
 FROM (SELECT unnest(generate_series(lo, hi, {width})) AS b
       FROM (SELECT min(bucket_start) AS lo, max(bucket_start) AS hi FROM h) m) s
 LEFT JOIN h ON h.bucket_start = s.b
 ORDER BY bucket_start""")
+    q["stored_kpi_averages"], q["stored_spend_histogram"] = q["kpi_averages"], q["spend_histogram"]
     q["spend_histogram_totals"] = _with(c, base + ["gs", "rs", "h"], """SELECT
   CAST(coalesce(sum(session_count), 0) AS BIGINT) AS total_sessions,
   count(*) FILTER (WHERE session_count > 0) AS active_buckets,
@@ -173,20 +204,31 @@ FROM h""")
 FROM ab WHERE ts >= {c['ret']} GROUP BY user_id""")
     q["decode_topic"] = _with(c, ["ev", "carts", "ab"], """SELECT CAST(user_id AS VARCHAR) AS key,
   user_id, product_ids, date_trunc('millisecond', ts) AS ts, CAST(NULL AS VARCHAR) AS raw_value,
-  CAST(user_id % 3 AS INTEGER) AS partition
+  CAST(user_id % 3 AS INTEGER) AS partition,
+  CAST(user_id * 1000000007 + epoch_us(ts) // 1000000 AS BIGINT) AS "offset"
 FROM ab""")
-    q["dlq_route"] = _with(c, ["ev"], """SELECT
+    c["msg"] = """msg AS (
+  SELECT *, CASE r WHEN 'invalid_json' THEN left(clean, length(clean) - 1)
+      WHEN 'bad_timestamp' THEN regexp_replace(clean, '"time_generated":"[^"]*"', '"time_generated":"garbage"')
+      WHEN 'missing_field:user_id' THEN regexp_replace(clean, '"user_id":[0-9]+,', '')
+      WHEN 'schema_mismatch' THEN regexp_replace(clean, '"event_id":[0-9]+', '"event_id":"x"')
+      ELSE clean END AS raw_value
+  FROM (SELECT *, '{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"' || event_type || '"'
+      || coalesce(',"product_id":' || product_id, '')
+      || ',"time_generated":"' || strftime(time_generated, '%Y-%m-%dT%H:%M:%S.%f') || 'Z"}' AS clean,
+    CASE WHEN src_type = 'error' THEN 'invalid_json'
+         WHEN src_value < 1 THEN 'bad_timestamp'
+         WHEN src_value < 2 THEN 'missing_field:user_id'
+         WHEN src_value < 3 THEN 'schema_mismatch' END AS r
+    FROM ev) x)"""
+    q["dlq_route"] = _with(c, ["ev", "msg"], """SELECT
   CASE WHEN r IN ('invalid_json', 'schema_mismatch') THEN NULL ELSE event_id END AS event_id,
   CASE WHEN r IN ('invalid_json', 'missing_field:user_id') THEN NULL ELSE user_id END AS user_id,
   CASE WHEN r = 'invalid_json' THEN NULL ELSE event_type END AS event_type,
   CASE WHEN r = 'invalid_json' THEN NULL ELSE product_id END AS product_id,
   CASE WHEN r IN ('invalid_json', 'bad_timestamp') THEN NULL ELSE time_generated END AS time_generated,
-  time_received, time_generated AS received_at, r AS error_reason
-FROM (SELECT *, CASE WHEN src_type = 'error' THEN 'invalid_json'
-                     WHEN src_value < 1 THEN 'bad_timestamp'
-                     WHEN src_value < 2 THEN 'missing_field:user_id'
-                     WHEN src_value < 3 THEN 'schema_mismatch' END AS r
-      FROM ev) x""")
+  time_received, raw_value, time_generated AS received_at, r AS error_reason
+FROM msg""")
     # Streamed keys: append-mode output = batch result cut at the final
     # watermark (max event time seen by the watermark node minus the delay).
     cart_wm = f"(SELECT max(time_generated) FROM ev) - INTERVAL {int(p.cart_watermark_s)} SECOND"
@@ -215,27 +257,21 @@ SELECT * FROM g WHERE window_start + INTERVAL {win_s} SECOND
               f"- INTERVAL {int(p.gold_watermark_s)} SECOND")
     q["stream_gold_spend_distribution"] = _with(c, ["ev", "pr", "enr", "ps"], gold_s + f""",
 g AS (
-  SELECT window_start, bucket_start, CAST(bucket_start + {width} AS INTEGER) AS bucket_end,
+  SELECT window_start, bucket_start, CAST(bucket_start + {width} AS BIGINT) AS bucket_end,
     CAST(bucket_start AS VARCHAR) || '-' || CAST(bucket_start + {width} AS VARCHAR) AS bucket_label,
     session_count
   FROM (
     SELECT make_timestamp(CAST(floor(epoch_us(session_start) / {win_us}) * {win_us} AS BIGINT))
         AS window_start,
-      CAST(floor(total_amount / {width}) * {width} AS INTEGER) AS bucket_start,
+      CAST(floor(total_amount / {width}) * {width} AS BIGINT) AS bucket_start,
       count(*) AS session_count
     FROM s GROUP BY 1, 2) x)
 SELECT * FROM g WHERE {closed}""")
-    q["stream_funnel_metrics"] = q["funnel_metrics"].replace(
-        "SELECT funnel_stage, user_count,", "SELECT CAST(0 AS INTEGER) AS batch_id, funnel_stage, user_count,", 1)
-    q["stream_dead_letters"] = _with(c, ["ev"], """SELECT r AS error_reason, time_generated AS received_at
-FROM (SELECT *, CASE WHEN src_type = 'error' THEN 'invalid_json'
-                     WHEN src_value < 1 THEN 'bad_timestamp'
-                     WHEN src_value < 2 THEN 'missing_field:user_id'
-                     WHEN src_value < 3 THEN 'schema_mismatch' END AS r
-      FROM ev) x
-WHERE r IS NOT NULL""")
-    q["stream_product_summary"] = _with(c, ["ev", "pr", "enr"], f"""SELECT *, CAST(0 AS INTEGER) AS batch_id
-FROM ({prod}) p""")
-    q["stream_funnel_user_stage"] = _with(c, ["ev", "us"], "SELECT *, CAST(0 AS INTEGER) AS batch_id FROM us")
+    q["stream_funnel_metrics"] = snapshot
+    q["stream_dead_letters"] = _with(c, ["ev", "msg"], """SELECT r AS error_reason, raw_value, time_generated AS received_at
+FROM msg WHERE r IS NOT NULL""")
+    q["stream_product_summary"] = q["product_summary"]
+    q["stream_category_summary"] = q["category_summary"]
+    q["stream_funnel_user_stage"] = q["funnel_user_stage"]
     q["stream_funnel_user_stage_native"] = q["stream_funnel_user_stage"]
     return q

@@ -1,12 +1,13 @@
 """Catalogue queries that run the streaming jobs over whole test tables.
 
 Each builder replays the ``events`` table as a clickstream with an
-``availableNow`` trigger, lets the job write its sink under the session's
-checkpoint folder (``spark.checkpoint.dir``; a fresh local folder only in
-local mode when that is unset) and returns the committed output as a
-DataFrame. Append-mode
-jobs emit a session or window only once the watermark has passed its end,
-so their output is the batch result cut at the final watermark.
+``availableNow`` trigger, in BATCHES micro-batches in the order of event time,
+lets the job write its sink under the session's checkpoint folder
+(``spark.checkpoint.dir``; a fresh local folder only in local mode when that
+is unset) and returns the committed output as a DataFrame. Append-mode jobs
+emit a session or window only once the watermark has passed its end, so their
+output is the batch result cut at the final watermark. Outputs per micro-batch
+are returned as their totals, which don't depend on the batches.
 """
 
 from __future__ import annotations
@@ -18,24 +19,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel import schemas
+from cartwheel.operators import funnel, summaries
 from cartwheel.params import HARNESS
+from cartwheel.plans import faults
 from cartwheel.plans.catalog import present
-from cartwheel.session import checkpoint_root
+from cartwheel.session import STREAMING_CONF, run_root
 from cartwheel.sources import harness
 from cartwheel.streaming import jobs
 from cartwheel.streaming.sinks import ParquetSink, Trigger
 
 NOW = Trigger(available_now=True)
-TIMEOUT_S = 1800
+BATCHES = 4
 
 
 def _job_session(spark: SparkSession) -> SparkSession:
     """A session for one catalogue stream run: it shares the SparkContext but
     not the SQL settings, so sizing it never touches the caller's session
     (also under concurrent calls). Shuffle/state partitions = the cluster's
-    default parallelism, fixed for the fresh checkpoint's life."""
+    default parallelism, fixed for the fresh checkpoint's life; state is in
+    RocksDB, so it isn't bound by the heap; all progress reports are kept."""
     child = spark.newSession()
-    child.conf.set("spark.sql.shuffle.partitions", str(max(1, spark.sparkContext.defaultParallelism)))
+    conf = {**STREAMING_CONF, "spark.sql.session.timeZone": "UTC",
+            "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+            "spark.sql.streaming.numRecentProgressUpdates": "100000",
+            "spark.sql.shuffle.partitions": str(max(1, spark.sparkContext.defaultParallelism))}
+    for key, value in conf.items():
+        child.conf.set(key, value)
     return child
 
 
@@ -47,7 +56,7 @@ def _sized(fn):
 
 
 def _run_dir(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_root(spark)}/runs/{name}-{uuid.uuid4().hex}"
+    return f"{run_root(spark)}/runs/{name}-{uuid.uuid4().hex}"
 
 
 def _qname(run: str, job: str) -> str:
@@ -57,30 +66,39 @@ def _qname(run: str, job: str) -> str:
 
 def _finish(*queries) -> None:
     for q in queries:
-        q.awaitTermination(TIMEOUT_S)
-        if q.isActive:
-            q.stop()
-            raise TimeoutError(f"stream {q.name} did not finish")
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+        q.awaitTermination()  # availableNow: ends by itself, and raises what ended it
+
+
+#: Replays already written, by application and table folder.
+_replays: dict[tuple[str, str], tuple[str, int]] = {}
+
+
+def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a stream in the order of event time."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _replays:
+        path = _run_dir(spark, "replay")
+        _replays[key] = (path, harness.write_replay(spark, sf_dir, path, BATCHES))
+    return harness.stream_replay(spark, *_replays[key])
+
+
+def _clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return harness.stream_clickstream(_rows(spark, sf_dir))
 
 
 def stream_abandoned_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 over the whole events table."""
     run = _run_dir(spark, "carts")
-    q = jobs.start_cart_abandonment(spark, harness.stream_clickstream(spark, sf_dir),
-                                    ParquetSink(f"{run}/out"), f"{run}/ckpt", HARNESS, NOW,
-                                    name=_qname(run, "carts"))
-    _finish(q)
+    _finish(jobs.start_cart_abandonment(spark, _clicks(spark, sf_dir), ParquetSink(f"{run}/out"), f"{run}/ckpt",
+                                        HARNESS, NOW, name=_qname(run, "carts")))
     return present(spark.read.parquet(f"{run}/out")
                    .select("user_id", "product_ids", "ts", "key", "value"))
 
 
 def _silver(spark: SparkSession, sf_dir: str, run: str) -> str:
-    q = jobs.start_purchase_sessions(spark, harness.stream_clickstream(spark, sf_dir),
-                                     harness.products(spark, sf_dir), ParquetSink(f"{run}/silver"),
-                                     f"{run}/ckpt/silver", HARNESS, NOW, name=_qname(run, "silver"))
-    _finish(q)
+    _finish(jobs.start_purchase_sessions(spark, _clicks(spark, sf_dir), harness.products(spark, sf_dir),
+                                         ParquetSink(f"{run}/silver"), f"{run}/ckpt/silver", HARNESS, NOW,
+                                         name=_qname(run, "silver")))
     return f"{run}/silver"
 
 
@@ -92,90 +110,89 @@ def stream_purchase_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(df.withColumn("total_amount", F.round("total_amount", 2)))
 
 
-def _gold(spark: SparkSession, sf_dir: str, name: str) -> str:
-    run = _run_dir(spark, name)
+def _gold(spark: SparkSession, sf_dir: str, which: str, schema) -> DataFrame:
+    run = _run_dir(spark, which)
     silver = _silver(spark, sf_dir, run)
-    qs = jobs.start_user_gold(spark, silver, ParquetSink(f"{run}/averages"),
-                              ParquetSink(f"{run}/spend"), f"{run}/ckpt/gold", HARNESS, NOW,
-                              name=_qname(run, "gold"))
-    _finish(*qs)
-    return run
+    sinks = {"averages": None, "spend": None, which: ParquetSink(f"{run}/out")}
+    _finish(*jobs.start_user_gold(spark, silver, sinks["averages"], sinks["spend"], f"{run}/ckpt/gold", HARNESS, NOW,
+                                  name=_qname(run, "gold")))
+    return present(spark.read.schema(schema).parquet(f"{run}/out"))
 
 
 def stream_gold_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2 -> P5: silver stream, then gold stream over the silver directory."""
-    run = _gold(spark, sf_dir, "gold")
-    return present(spark.read.schema(schemas.GOLD_AVERAGES).parquet(f"{run}/averages"))
+    return _gold(spark, sf_dir, "averages", schemas.GOLD_AVERAGES)
 
 
 def stream_gold_spend_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2 -> P5, the spend-distribution output."""
-    run = _gold(spark, sf_dir, "gold-spend")
-    return present(spark.read.schema(schemas.GOLD_SPEND).parquet(f"{run}/spend"))
+    return _gold(spark, sf_dir, "spend", schemas.GOLD_SPEND)
 
 
-def stream_product_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P3 per micro-batch summaries; the table replays as one batch."""
+def _summaries(spark: SparkSession, sf_dir: str) -> str:
     run = _run_dir(spark, "products")
-    q = jobs.start_product_summary(spark, harness.stream_clickstream(spark, sf_dir),
-                                   harness.products(spark, sf_dir), f"{run}/product",
-                                   f"{run}/category", f"{run}/ckpt", HARNESS, NOW,
-                                   name=_qname(run, "products"))
-    _finish(q)
-    return present(spark.read.parquet(f"{run}/product"))
+    _finish(jobs.start_product_summary(spark, _clicks(spark, sf_dir), harness.products(spark, sf_dir),
+                                       f"{run}/product", f"{run}/category", f"{run}/ckpt", HARNESS, NOW,
+                                       name=_qname(run, "products")))
+    return run
 
 
-def stream_funnel_user_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P4 with keyed state (T6): per-user stage updates of each batch."""
+def stream_product_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals (D9) of the product summaries written per micro-batch."""
+    batches = spark.read.parquet(f"{_summaries(spark, sf_dir)}/product")
+    return present(summaries.summary_totals(batches)[0])
+
+
+def stream_category_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3, the category output: purchases and revenue summed over the written
+    category summaries; its products, which aren't additive, from the product
+    level (D9)."""
+    run = _summaries(spark, sf_dir)
+    totals = summaries.summary_totals(spark.read.parquet(f"{run}/product"))[1].select("category", "num_products")
+    written = spark.read.parquet(f"{run}/category").groupBy("category").agg(
+        F.sum("num_purchases").alias("num_purchases"), F.round(F.sum("revenue"), 2).alias("revenue"))
+    return present(totals.join(written, "category"))
+
+
+def _stages(spark: SparkSession, sf_dir: str, stateful: bool) -> DataFrame:
+    """The last state of each user, from the updates of all micro-batches: the
+    highest stage and the latest time."""
     run = _run_dir(spark, "funnel")
-    q = jobs.start_funnel(spark, harness.stream_clickstream(spark, sf_dir), f"{run}/metrics",
-                          f"{run}/ckpt", HARNESS, NOW, stages_root=f"{run}/stages", stateful=True,
-                          name=_qname(run, "funnel"))
-    _finish(q)
-    return present(spark.read.parquet(f"{run}/stages"))
+    _finish(jobs.start_funnel(spark, _clicks(spark, sf_dir), f"{run}/metrics", f"{run}/ckpt", HARNESS, NOW,
+                              stages_root=f"{run}/stages", stateful=stateful, name=_qname(run, "funnel")))
+    return spark.read.parquet(f"{run}/stages").groupBy("user_id").agg(
+        F.max("highest_funnel_stage").alias("highest_funnel_stage"), F.max("event_time").alias("event_time"))
+
+
+def stream_funnel_user_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 with keyed state."""
+    return present(_stages(spark, sf_dir, stateful=True))
 
 
 def stream_funnel_user_stage_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P4 with a native ``max`` aggregate in update mode instead of keyed
-    state (no expiry): the per-user stage updates of each batch."""
-    run = _run_dir(spark, "funnel-native")
-    q = jobs.start_funnel(spark, harness.stream_clickstream(spark, sf_dir), f"{run}/metrics",
-                          f"{run}/ckpt", HARNESS, NOW, stages_root=f"{run}/stages", stateful=False,
-                          name=_qname(run, "funnel_n"))
-    _finish(q)
-    return present(spark.read.parquet(f"{run}/stages"))
+    state (no expiry)."""
+    return present(_stages(spark, sf_dir, stateful=False))
 
 
 def stream_funnel_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Funnel metrics of the users updated in each micro-batch."""
-    run = _run_dir(spark, "funnel-metrics")
-    q = jobs.start_funnel(spark, harness.stream_clickstream(spark, sf_dir), f"{run}/metrics",
-                          f"{run}/ckpt", HARNESS, NOW, stateful=True, name=_qname(run, "funnel_m"))
-    _finish(q)
-    return present(spark.read.parquet(f"{run}/metrics"))
+    """The funnel snapshot of all users after the last micro-batch."""
+    return present(funnel.funnel_metrics(funnel.stage_counts(_stages(spark, sf_dir, stateful=True))))
 
 
 def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X1 as a stream: damaged messages with reason and receive time."""
+    """X1 as a stream: damaged messages with reason, text and receive time."""
     run = _run_dir(spark, "dlq")
-    src = harness.map_source_events(harness.stream_table(spark, sf_dir, "events"))
-    q = jobs.start_dead_letters(spark, harness.faulty_clickstream_envelope(src), f"{run}/dlq",
-                                f"{run}/ckpt", NOW, name=_qname(run, "dlq"))
-    _finish(q)
-    return present(spark.read.parquet(f"{run}/dlq").select("error_reason", "received_at"))
+    src = faults.map_source_events(_rows(spark, sf_dir))
+    _finish(jobs.start_dead_letters(spark, faults.faulty_clickstream_envelope(src), f"{run}/dlq",
+                                    f"{run}/ckpt", NOW, name=_qname(run, "dlq")))
+    return present(spark.read.parquet(f"{run}/dlq").select("error_reason", "raw_value", "received_at"))
 
 
-STREAM_QUERIES = {
-    "stream_abandoned_carts": _sized(stream_abandoned_carts),
-    "stream_purchase_sessions": _sized(stream_purchase_sessions),
-    "stream_gold_averages": _sized(stream_gold_averages),
-    "stream_gold_spend_distribution": _sized(stream_gold_spend_distribution),
-    "stream_product_summary": _sized(stream_product_summary),
-    "stream_funnel_user_stage": _sized(stream_funnel_user_stage),
-    "stream_funnel_user_stage_native": _sized(stream_funnel_user_stage_native),
-    "stream_funnel_metrics": _sized(stream_funnel_metrics),
-    "stream_dead_letters": _sized(stream_dead_letters),
-}
+STREAM_QUERIES = {f.__name__: _sized(f) for f in (
+    stream_abandoned_carts, stream_purchase_sessions, stream_gold_averages, stream_gold_spend_distribution,
+    stream_product_summary, stream_category_summary, stream_funnel_user_stage, stream_funnel_user_stage_native,
+    stream_funnel_metrics, stream_dead_letters)}
 
 
 def _progress_summary(q) -> dict:
@@ -197,12 +214,12 @@ def job_metrics(spark: SparkSession, sf_dir: str) -> dict:
     out = {}
     spark = _job_session(spark)
     run = _run_dir(spark, "metrics")
-    q = jobs.start_purchase_sessions(spark, harness.stream_clickstream(spark, sf_dir),
+    q = jobs.start_purchase_sessions(spark, _clicks(spark, sf_dir),
                                      harness.products(spark, sf_dir), ParquetSink(f"{run}/silver"),
                                      f"{run}/ckpt/silver", HARNESS, NOW)
     _finish(q)
     out["purchase_sessions"] = _progress_summary(q)
-    q = jobs.start_funnel(spark, harness.stream_clickstream(spark, sf_dir), f"{run}/metrics",
+    q = jobs.start_funnel(spark, _clicks(spark, sf_dir), f"{run}/metrics",
                           f"{run}/ckpt/funnel", HARNESS, NOW, stateful=True)
     _finish(q)
     out["funnel"] = _progress_summary(q)

@@ -41,8 +41,8 @@ GOLD_AVERAGES = T.StructType([
 
 GOLD_SPEND = T.StructType([
     T.StructField("window_start", T.TimestampType()),
-    T.StructField("bucket_start", T.IntegerType()),
-    T.StructField("bucket_end", T.IntegerType()),
+    T.StructField("bucket_start", T.LongType()),
+    T.StructField("bucket_end", T.LongType()),
     T.StructField("bucket_label", T.StringType()),
     T.StructField("session_count", T.LongType()),
 ])

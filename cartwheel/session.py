@@ -33,11 +33,16 @@ STREAMING_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "cartwheel",
-                  shuffle_partitions: int = 8, extra: dict[str, str] | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
+def build_session(master: str | None = None, app: str = "cartwheel",
+                  shuffle_partitions: int | None = None, extra: dict[str, str] | None = None) -> SparkSession:
+    """A session with the settings that the jobs rely on. Master and shuffle
+    partitions are the launcher's unless they are given here."""
+    b = SparkSession.builder.appName(app)
+    if master is not None:
+        b = b.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -47,43 +52,26 @@ def build_session(master: str = "local[*]", app: str = "cartwheel",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints: ``spark.checkpoint.dir`` when the
-    cluster names one. Only in local mode, when it is unset (tests), a fresh
-    local folder is created and registered; on a cluster a machine-local
-    folder would not survive the loss of an executor, so it is an error."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """Shared folder for checkpoints: ``spark.checkpoint.dir``. It is
+    required - a job that started with a folder of its own each time would
+    forget its offsets and state on every restart."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store)")
-        root = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        raise RuntimeError("give a checkpoint location, or set spark.checkpoint.dir to a shared folder")
     return root.rstrip("/")
 
 
-def checkpoint_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(checkpoint_root(spark), name)
-
+def run_root(spark: SparkSession) -> str:
+    """Folder for the runs of catalogue queries, whose checkpoints last as
+    long as one call: the checkpoint folder, or a temporary one in local mode
+    where none is set. The caller's settings stay as they are."""
+    try:
+        return checkpoint_root(spark)
+    except RuntimeError:
+        if not spark.sparkContext.master.startswith("local"):
+            raise
+        return tempfile.mkdtemp(prefix="cartwheel-runs-")
 
-def scale_conf(input_bytes: int, executor_cores_total: int,
-               target_partition_bytes: int = 256 * 1024 * 1024,
-               executor_memory_bytes: int = 8 * 1024 ** 3, cores_per_executor: int = 4) -> dict[str, str]:
-    """Spill-aware sizing for a job reading ``input_bytes``.
 
-    Shuffle partitions are chosen so an average partition is about
-    ``target_partition_bytes`` (and never fewer than the cores), with AQE
-    coalescing small ones and splitting skewed ones at runtime; the target is
-    lowered when a task's share of executor memory is smaller. Input splits
-    use the same size.
-    """
-    per_task_memory = executor_memory_bytes // max(1, cores_per_executor)
-    target = max(32 * 1024 * 1024, min(target_partition_bytes, per_task_memory // 2))
-    partitions = max(executor_cores_total, -(-input_bytes // target))
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(target),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target * 4),
-    }
+def checkpoint_path(spark: SparkSession, name: str) -> str:
+    return os.path.join(checkpoint_root(spark), name)

@@ -2,12 +2,13 @@
 
 ``events`` (event_id, ts, user_id, event_type, value, props) becomes the
 clickstream; ``part`` becomes the product catalogue. The mapping is pure
-projection — every row of both tables is used.
+projection — every row of both tables is used. Event time is UTC wall-clock
+time in the tables: read them in a session whose zone is UTC.
 """
 
 from __future__ import annotations
 
-import os
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,12 +41,6 @@ CART_TOPIC = "abandoned_carts"
 TOPIC_PARTITIONS = 3
 
 
-def prepare(spark: SparkSession) -> None:
-    """Event time is UTC wall-clock in the test tables; pin the session zone."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in RAW_SCHEMAS:
@@ -59,10 +54,26 @@ def _mapped_type() -> Column:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clickstream events with the declared event schema."""
-    prepare(spark)
     return map_events(_table(spark, sf_dir, "events"))
 
 
+def purchase_events(spark: SparkSession, sf_dir: str, since: datetime | None = None) -> DataFrame:
+    """The purchases among :func:`events`, from ``since`` on. Both filters
+    are on the table's own columns, so they reach the parquet scan."""
+    raw = _table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    if since is not None:
+        raw = raw.where(F.col("ts") >= F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz"))
+    return map_events(raw)
+
+
+def double_sent(ev: DataFrame) -> DataFrame:
+    """``ev`` as a producer that repeats itself sends it: purchases and every
+    event whose id ends in 7 arrive twice, and the copy a second later."""
+    again = ev.where((F.col("event_type") == "purchase") | (F.col("event_id") % 10 == 7))
+    later = F.coalesce(F.col("time_received"), F.col("time_generated")) + F.expr("INTERVAL 1 SECOND")
+    return ev.unionByName(again.withColumn("time_received", later))
+
+
 def _event_columns() -> list[Column]:
     product = F.when(~F.col("event_type").isin(*NO_PRODUCT_TYPES),
                      F.get_json_object("props", "$.k").cast("bigint"))
@@ -82,29 +93,39 @@ def map_events(raw: DataFrame) -> DataFrame:
     return raw.select(*_event_columns())
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """A driver table read as a file stream (the directory holds other
-    tables too, so the file name is the glob filter)."""
-    prepare(spark)
-    schema = RAW_SCHEMAS.get(name) or _table(spark, sf_dir, name).schema
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    table_path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if os.path.isdir(table_path):  # a directory of part files: stream it as is
-        return reader.parquet(table_path)
-    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir.rstrip("/"))
+def write_replay(spark: SparkSession, sf_dir: str, path: str, batches: int) -> int:
+    """The events table as files in the order of event time, for a stream
+    that reads them a batch at a time: ``batches`` stretches of time, written
+    one after the other, each of as many files as are returned. Rows without
+    a time come with the first."""
+    raw = _table(spark, sf_dir, "events")
+    files = max(1, -(-len(raw.inputFiles()) // batches))
+    lo, hi = raw.agg(F.min("ts"), F.max("ts")).first()
+    step = (hi - lo) / batches if lo is not None else None
+    for k in range(batches if lo is not None and hi > lo else 1):
+        part = raw
+        if lo is not None and hi > lo:
+            after = F.lit(True) if k == 0 else F.col("ts") >= F.lit(str(lo + k * step)).cast("timestamp_ntz")
+            before = F.lit(True) if k == batches - 1 else F.col("ts") < F.lit(str(lo + (k + 1) * step)).cast("timestamp_ntz")
+            part = raw.where((after & before) | (F.col("ts").isNull() & F.lit(k == 0)))
+        part = part.coalesce(1) if files == 1 else part.repartition(files)
+        part.write.mode("append").parquet(path)
+    return files
 
 
-def stream_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table replayed as a clickstream topic (envelope rows)."""
-    return clickstream_envelope(map_events(stream_table(spark, sf_dir, "events")))
+def stream_replay(spark: SparkSession, path: str, files_per_trigger: int) -> DataFrame:
+    """The files of :func:`write_replay` as a stream of driver rows."""
+    reader = spark.readStream.schema(RAW_SCHEMAS["events"]).option("maxFilesPerTrigger", str(files_per_trigger))
+    return reader.parquet(path)
+
+
+def stream_clickstream(raw: DataFrame) -> DataFrame:
+    """Driver rows replayed as a clickstream topic (envelope rows)."""
+    return clickstream_envelope(map_events(raw))
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product catalogue from ``part``."""
-    prepare(spark)
     return _table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("bigint").alias("product_id"),
         F.col("p_name").alias("name"),
@@ -114,18 +135,19 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def to_envelope(df: DataFrame, key: Column, value: Column, topic: str,
-                time_col: str) -> DataFrame:
+                time_col: str, offset: Column | None = None) -> DataFrame:
     """Wrap rows as Kafka envelope rows (key/value binary, topic, partition).
 
     The partition is derived from the numeric key so the same rows always
-    land in the same partition; offsets are not modelled (null).
+    land in the same partition; the offset is the row's own number,
+    ``offset`` where the caller gives one (null otherwise).
     """
     return df.select(
         key.cast("binary").alias("key"),
         value.cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
         F.pmod(F.col("user_id"), F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
-        F.lit(None).cast("bigint").alias("offset"),
+        (F.lit(None) if offset is None else offset).cast("bigint").alias("offset"),
         F.col(time_col).alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
@@ -136,32 +158,3 @@ def clickstream_envelope(ev: DataFrame) -> DataFrame:
     value = encode_json(F.struct(*[F.col(c) for c in schemas.EVENT_FIELDS]))
     return to_envelope(ev, F.col("user_id").cast("string"), value,
                        CLICKSTREAM_TOPIC, "time_generated")
-
-
-def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events plus the driver's own type and ``value`` (for fault rules)."""
-    prepare(spark)
-    return map_source_events(_table(spark, sf_dir, "events"))
-
-
-def map_source_events(raw: DataFrame) -> DataFrame:
-    """:func:`map_events` plus the driver's ``event_type`` and ``value``."""
-    return raw.select(*_event_columns(), F.col("event_type").alias("src_type"),
-                      F.col("value").alias("src_value"))
-
-
-def faulty_clickstream_envelope(src: DataFrame) -> DataFrame:
-    """Clickstream envelope in which some messages arrive damaged, by a fixed
-    rule on the source row: the driver's ``error`` events are cut short
-    (invalid JSON); otherwise ``value`` < 1 gets a garbage time, < 2 loses
-    its user id, < 3 carries a non-numeric event id. Every row is sent."""
-    clean = encode_json(F.struct(*[F.col(c) for c in schemas.EVENT_FIELDS]))
-    v = F.col("src_value")
-    damaged = (F.when(F.col("src_type") == "error", F.substring(clean, 1, 24))
-               .when(v < 1, F.regexp_replace(clean, '"time_generated":"[^"]*"',
-                                             '"time_generated":"garbage"'))
-               .when(v < 2, F.regexp_replace(clean, '"user_id":[0-9]+,', ""))
-               .when(v < 3, F.regexp_replace(clean, '"event_id":[0-9]+', '"event_id":"x"'))
-               .otherwise(clean))
-    return to_envelope(src, F.col("user_id").cast("string"), damaged,
-                       CLICKSTREAM_TOPIC, "time_generated")

@@ -42,22 +42,23 @@ def make_state_fn(timeout_s: float, tz: str = "UTC"):
             state.remove()
             return
         stage, latest = (state.get if state.exists else (0, None))
+        latest = None if pd.isna(latest) else latest
         seen = False
         for pdf in chunks:
             if pdf.empty:
                 continue
             seen = True
             stage = max(int(stage), int(pdf["event_type"].map(STAGE_BY_EVENT_TYPE).fillna(0).max()))
-            t = pdf["time_generated"].max()
-            latest = t if latest is None or t > latest else latest
-        if latest is None:
-            return
+            t = pdf["time_generated"].max()  # NaT only where no row has a time
+            if not pd.isna(t) and (latest is None or t > latest):
+                latest = t
         state.update((stage, latest))
-        last_ms = epoch_ms(latest, tz)
+        # an event without a time counts for the stage; until one has a time, the watermark is the user's clock
+        last_ms = state.getCurrentWatermarkMs() if latest is None else epoch_ms(latest, tz)
         state.setTimeoutTimestamp(max(last_ms + timeout_ms, state.getCurrentWatermarkMs() + 1))
         if seen:
             yield pd.DataFrame({"user_id": [key[0]], "highest_funnel_stage": [stage],
-                                "event_time": [latest]})
+                                "event_time": pd.Series([latest], dtype="datetime64[ns]")})
 
     return advance
 

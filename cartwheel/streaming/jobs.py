@@ -3,7 +3,8 @@
 sink, a checkpoint location and :class:`~cartwheel.params.Params`, and starts
 the same transforms the batch catalogue runs.
 
-Checkpoints default to ``<spark.checkpoint.dir>/<job>``; set
+Checkpoints default to ``<spark.checkpoint.dir>/<job>`` (an error where that
+is unset too); set
 ``spark.sql.shuffle.partitions`` before the first start, as state is
 partitioned by it for the life of the checkpoint.
 """
@@ -31,12 +32,6 @@ def _ckpt(spark: SparkSession, given: str | None, name: str) -> str:
     return given or checkpoint_path(spark, name)
 
 
-def _premerge_sessions(spark: SparkSession) -> None:
-    """Merge session windows inside each input partition before the
-    shuffle, so a hot user's events reach the state store pre-combined."""
-    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
-
-
 def decoded(envelope: DataFrame, job: str) -> DataFrame:
     """Decode the envelope and observe per-batch counts (``messages``,
     ``malformed``) in the query progress under ``<job>_decode``.
@@ -56,7 +51,6 @@ def start_cart_abandonment(spark: SparkSession, envelope: DataFrame, sink: Sink,
     """Sessions per user (gap), carts without a purchase -> topic records
     ``key = user id``, ``value = {user_id, product_ids, ts}``; append mode,
     each session emitted once after the watermark passes its end."""
-    _premerge_sessions(spark)
     ev = (decoded(envelope, name)
           .withWatermark("event_time", interval(params.cart_watermark_s)))
     carts = sessions.session_carts(ev, params.session_gap_s, time_col="event_time")
@@ -66,21 +60,24 @@ def start_cart_abandonment(spark: SparkSession, envelope: DataFrame, sink: Sink,
     return start_stream(out, sink, _ckpt(spark, checkpoint, name), trigger, name=name)
 
 
-def purchase_stream(envelope: DataFrame, products: DataFrame, params: Params,
+def purchase_stream(envelope: DataFrame, params: Params,
                     watermark_s: float | None, job: str = "purchases") -> DataFrame:
-    """Decoded purchases joined with the catalogue, watermarked on event time
-    (no watermark when ``watermark_s`` is None).
+    """Decoded purchases, watermarked on event time (no watermark when
+    ``watermark_s`` is None).
 
     Filter placement decides which events advance the watermark (D19)."""
     ev = decoded(envelope, job)
     if watermark_s is not None:
         ev = ev.withWatermark("time_generated", interval(watermark_s))
     pur = events.purchases(ev, watermark_from=params.watermark_from)
-    if params.dedup:
-        pur = pur.dropDuplicatesWithinWatermark(["event_id"])
+    return events.dedup_events(pur) if params.dedup else pur
+
+
+def enriched_stream(envelope: DataFrame, products: DataFrame, params: Params,
+                    watermark_s: float | None, job: str = "purchases") -> DataFrame:
+    """The purchase stream joined with the catalogue."""
     guard = "time_generated" if params.watermark_from == "all" else None
-    return events.enrich_with_products(pur, products, params.max_broadcast_rows, guard,
-                                       params.max_broadcast_bytes)
+    return events.enrich_with_products(purchase_stream(envelope, params, watermark_s, job), products, guard)
 
 
 def start_purchase_sessions(spark: SparkSession, envelope: DataFrame, products: DataFrame,
@@ -97,8 +94,7 @@ def start_purchase_sessions(spark: SparkSession, envelope: DataFrame, products:
     default: a replay whose micro-batch spans many days would write one small
     file per task and day; :func:`~cartwheel.operators.maintenance.compact`
     produces a date-partitioned copy instead."""
-    _premerge_sessions(spark)
-    enr = purchase_stream(envelope, products, params, params.purchase_watermark_s, name)
+    enr = enriched_stream(envelope, products, params, params.purchase_watermark_s, name)
     ps = sessions.purchase_sessions(enr, params.session_gap_s)
     out = ps.select(*schemas.PURCHASE_SESSION.fieldNames())
     if "session_date" in silver.partition_by:
@@ -117,15 +113,15 @@ def start_product_summary(spark: SparkSession, envelope: DataFrame, products: Da
     stateful operator follows, so the watermark is only set when dedup needs
     it (D10)."""
     wm = params.product_watermark_s if params.dedup else None
-    enr = purchase_stream(envelope, products, params, wm, name)
+    pur = purchase_stream(envelope, params, wm, name)
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        fan_out(batch_df, batch_id, [
-            (summaries.product_summary, product_root),
-            (lambda b: summaries.category_summary(summaries.product_summary(b)), category_root),
+        fan_out(summaries.product_summary(batch_df, products), batch_id, [
+            (lambda level: level, product_root),
+            (summaries.category_summary, category_root),
         ])
 
-    return start_foreach_batch(enr, write, _ckpt(spark, checkpoint, name), trigger, name=name)
+    return start_foreach_batch(pur, write, _ckpt(spark, checkpoint, name), trigger, name=name)
 
 
 def start_funnel(spark: SparkSession, envelope: DataFrame, metrics_root: str,
@@ -136,11 +132,14 @@ def start_funnel(spark: SparkSession, envelope: DataFrame, metrics_root: str,
     funnel metrics of the users updated in that batch (D3), written to
     ``metrics_root/batch_id=N``; optionally the user updates too.
 
+    The highest stage and the latest time ignore copies, so the event ids
+    are only kept in state when ``params.dedup`` asks for it.
+
     ``stateful=True`` keeps per-user state with event-time expiry (T6);
     ``False`` uses a native ``max`` aggregate in update mode (no expiry)."""
-    ev = (decoded(envelope, name)
-          .withWatermark("time_generated", interval(params.funnel_watermark_s))
-          .dropDuplicatesWithinWatermark(["event_id"]))
+    ev = decoded(envelope, name).withWatermark("time_generated", interval(params.funnel_watermark_s))
+    if params.dedup:
+        ev = events.dedup_events(ev)
     if stateful:
         users = funnel_state(ev, params.funnel_timeout_s)
     else:
@@ -158,23 +157,25 @@ def start_funnel(spark: SparkSession, envelope: DataFrame, metrics_root: str,
                                mode="update", name=name)
 
 
-def start_user_gold(spark: SparkSession, silver_path: str, averages: ParquetSink,
-                    spend: ParquetSink, checkpoint_root: str | None = None,
+def start_user_gold(spark: SparkSession, silver_path: str, averages: ParquetSink | None,
+                    spend: ParquetSink | None, checkpoint_root: str | None = None,
                     params: Params = REFERENCE, trigger: Trigger = Trigger("1 minute"),
                     max_files_per_trigger: int | None = None,
                     debug_console: bool = False, name: str = "user_gold") -> list[StreamingQuery]:
     """P5: silver sessions (file stream) -> window totals and spend
     distribution, each to a parquet file sink in append mode (T8: the silver
-    directory is read through its commit log). ``debug_console`` adds the
+    directory is read through its commit log); one without a sink isn't run. ``debug_console`` adds the
     same totals to the console in complete mode (T9; keeps its own state)."""
     silver = stream_parquet(spark, schemas.PURCHASE_SESSION, silver_path, max_files_per_trigger)
     silver = silver.withWatermark("session_start", interval(params.gold_watermark_s))
     root = _ckpt(spark, checkpoint_root, name)
-    q1 = start_stream(gold.gold_averages(silver, params.gold_window_s), averages,
-                      f"{root}/averages", trigger, name=f"{name}_averages")
-    q2 = start_stream(gold.gold_spend_distribution(silver, params.gold_window_s, params.bucket_width),
-                      spend, f"{root}/spend_distribution", trigger, name=f"{name}_spend_distribution")
-    queries = [q1, q2]
+    queries = []
+    if averages is not None:
+        queries.append(start_stream(gold.gold_averages(silver, params.gold_window_s), averages,
+                                    f"{root}/averages", trigger, name=f"{name}_averages"))
+    if spend is not None:
+        queries.append(start_stream(gold.gold_spend_distribution(silver, params.gold_window_s, params.bucket_width),
+                                    spend, f"{root}/spend_distribution", trigger, name=f"{name}_spend_distribution"))
     if debug_console:
         queries.append(start_stream(gold.gold_averages(silver, params.gold_window_s), ConsoleSink(),
                                     f"{root}/averages_console", trigger, mode="complete",
@@ -208,6 +209,6 @@ def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:
 
 __all__ = [
     "start_cart_abandonment", "start_purchase_sessions", "start_product_summary",
-    "start_funnel", "start_user_gold", "start_dead_letters", "await_any", "purchase_stream",
+    "start_funnel", "start_user_gold", "start_dead_letters", "await_any", "purchase_stream", "enriched_stream",
     "write_batch",
 ]

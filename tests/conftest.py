@@ -56,8 +56,9 @@ PRODUCT_ROWS = [
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = build_session("local[4]", app="cartwheel-tests", shuffle_partitions=4)
+def spark(tmp_path_factory):
+    s = build_session("local[4]", app="cartwheel-tests", shuffle_partitions=4,
+                      extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints"))})
     yield s
     s.stop()
 

@@ -71,7 +71,9 @@ def test_topic_dump_decodes_records(spark, scratch):
     write_envelopes(f"{scratch}/topic", [
         ("2", '{"user_id":2,"product_ids":[4,5],"ts":"2026-01-01T00:00:08.000Z"}', at(8)),
         (None, "plain text", at(9))])
-    (out,) = cli.run(["topic-dump", "--envelopes", f"{scratch}/topic"], spark)
+    (out,) = cli.run(["topic-dump", "--envelopes", f"{scratch}/topic", "--out", f"{scratch}/all"], spark)
+    assert spark.read.parquet(out["out"]).count() == 2
+    (out,) = cli.run(["topic-dump", "--envelopes", f"{scratch}/topic", "--limit", "20"], spark)
     recs = sorted(out["records"], key=lambda r: r["offset"])
     assert recs[0]["key"] == "2" and recs[0]["value"]["product_ids"] == [4, 5]
     assert recs[1]["key"] is None and recs[1]["raw_value"] == "plain text"

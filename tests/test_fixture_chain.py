@@ -4,6 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from cartwheel import schemas
 from cartwheel.operators import events as E
 from cartwheel.operators import funnel, gold, serving, sessions, summaries
 from conftest import at
@@ -45,8 +46,7 @@ def test_purchase_sessions_dedup_off(fixture_events, fixture_products):
 
 
 def test_product_and_category_summary(fixture_events, fixture_products):
-    enr = E.enrich_with_products(E.purchases(E.dedup_events(fixture_events)), fixture_products)
-    ps = summaries.product_summary(enr)
+    ps = summaries.product_summary(E.purchases(E.dedup_events(fixture_events)), fixture_products)
     assert rows(ps, "product_id", "name", "category", "num_purchases", "revenue") == [
         (3, "Coffee Mug", "Home", 1, 4.0), (4, "Gaming Chair", "Furniture", 1, 100.0),
         (7, "Mechanical Keyboard", "Electronics", 1, 21.0)]
@@ -112,14 +112,6 @@ def test_unknown_product_dropped_by_join(fixture_events, fixture_products):
     assert 50 not in [r["product_id"] for r in enr.collect()]
 
 
-def test_join_without_broadcast_gives_same_rows(fixture_events, fixture_products):
-    a = E.enrich_with_products(E.purchases(fixture_events), fixture_products, max_broadcast_rows=1000)
-    b = E.enrich_with_products(E.purchases(fixture_events), fixture_products, max_broadcast_rows=1)
-    assert sorted(a.collect()) == sorted(b.collect())
-    assert not E.fits_broadcast(fixture_products, 5)
-    assert E.fits_broadcast(fixture_products, 10)
-
-
 def test_dedup_is_deterministic(spark):
     df = spark.createDataFrame(
         [(1, 1, "a", None, at(5), None), (1, 1, "b", None, at(3), None), (2, 2, "c", None, at(1), None)],
@@ -148,16 +140,6 @@ def test_session_end_and_exact_gap(spark):
         (1, at(0), at(10), 2), (1, at(11), at(16), 1)]
 
 
-def test_broadcast_check_bounds_bytes(fixture_products):
-    # ten products: 8 + 8 bytes fixed per row plus the name and category text
-    text = sum(len(n.encode()) + len(c.encode()) for _, n, c, _ in
-               [(r["product_id"], r["name"], r["category"], r["cost"]) for r in fixture_products.collect()])
-    exact = 10 * 16 + text
-    assert E.fits_broadcast(fixture_products, 10, exact)
-    assert not E.fits_broadcast(fixture_products, 10, exact - 1)
-    assert not E.fits_broadcast(fixture_products, 9, exact)
-
-
 def test_lookback_defaults_to_now(spark):
     from datetime import datetime, timedelta
     from cartwheel import schemas
@@ -176,3 +158,33 @@ def test_lookback_accepts_an_offset_aware_as_of(spark):
     aware = datetime(2026, 1, 1, 2, 0, tzinfo=timezone(timedelta(hours=1)))   # = 01:00 UTC
     kept = serving.recent(g, 3600, aware).collect()
     assert [r["total_amount"] for r in kept] == [10]
+
+
+def test_summary_totals_count_a_product_once(spark):
+    from cartwheel.operators import summaries
+    days = spark.createDataFrame([(1, "a", "x", 2, 4.0), (1, "a", "x", 1, 2.0), (2, "b", "x", 1, 0.5)],
+                                 "product_id long, name string, category string, num_purchases long, revenue double")
+    whole, category = summaries.summary_totals(days)
+    assert rows(whole, "product_id", "num_purchases", "revenue") == [(1, 3, 6.0), (2, 1, 0.5)]
+    assert [tuple(r) for r in category.collect()] == [("x", 2, 4, 6.5)]
+
+
+def test_dedup_keeps_events_without_an_id(spark):
+    df = spark.createDataFrame([(None, 1, "a", None, at(1), None), (None, 2, "a", None, at(1), None), (7, 1, "a", None, at(1), None),
+                                (7, 1, "a", None, at(1), None)], schemas.EVENT)
+    assert rows(E.dedup_events(df).fillna(0, ["event_id"]), "event_id", "user_id") == [(0, 1), (0, 2), (7, 1)]
+
+
+def test_huge_and_missing_amounts(spark):
+    ps = spark.createDataFrame([(1, at(0), at(5), 3e9), (2, at(0), at(5), None), (3, at(0), at(5), 3e9 + 45)], schemas.PURCHASE_SESSION)
+    spend = gold.gold_spend_distribution(ps, 120, 20)
+    hist = serving.spend_histogram(spend, 20).collect()
+    assert [(r["bucket_start"], r["session_count"]) for r in hist] == [(3000000000, 1), (3000000020, 0), (3000000040, 1)]
+
+
+def test_histogram_spine_is_whole_over_many_stretches(spark):
+    from cartwheel.operators.serving import SPINE_STRETCH
+    top = 20 * (2 * SPINE_STRETCH + 3)
+    spend = spark.createDataFrame([(at(0), 0, 20, "0-20", 1), (at(0), top, top + 20, "x", 2)], schemas.GOLD_SPEND)
+    got = [r["bucket_start"] for r in serving.spend_histogram(spend, 20).collect()]
+    assert got == list(range(0, top + 1, 20))

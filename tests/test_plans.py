@@ -25,18 +25,26 @@ def test_flagship_reads_events_once_and_prunes(spark):
     p = plan(entry.queries()["kpi_averages"](spark, SF))
     assert scans(p, "events") == 1
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in p
-    assert "BroadcastHashJoin" in p           # small catalogue, checked
+    assert "BroadcastHashJoin" in p           # small catalogue, by the planner
+    assert "EqualTo(event_type,purchase)" in p and "GreaterThanOrEqual(ts," in p  # the look-back reaches the scan
     assert "SortMergeJoin" not in p           # no join back in the sessionizer
     # partial aggregation before the first shuffle of the events
     assert "partial_min(unix_micros" in p
 
 
 def test_serving_queries_read_events_once(spark):
-    for key in ("spend_histogram", "funnel_metrics", "session_carts", "latest_abandoned_cart"):
+    for key in ("funnel_metrics", "session_carts", "latest_abandoned_cart"):
         p = plan(entry.queries()[key](spark, SF))
         assert scans(p, "events") == 1, key
 
 
+def test_histogram_bounds_and_counts_share_a_shuffle(spark):
+    df = entry.queries()["spend_histogram"](spark, SF)
+    df.collect()
+    p = plan(df)
+    assert "ReusedExchange" in p and "CollectLimit" not in p and "collect_list" not in p
+
+
 def test_lookback_filter_reaches_gold_scan(spark, scratch):
     from cartwheel import schemas
     from cartwheel.operators import serving
@@ -48,12 +56,24 @@ def test_lookback_filter_reaches_gold_scan(spark, scratch):
 
 
 def test_large_catalogue_is_not_broadcast(spark):
-    ev = E.purchases(harness.events(spark, SF))
-    p = plan(E.enrich_with_products(ev, harness.products(spark, SF), max_broadcast_rows=10))
+    child = spark.newSession()
+    child.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    child.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "100")
+    ev = E.purchases(harness.events(child, SF))
+    p = plan(E.enrich_with_products(ev, harness.products(child, SF)))
     assert "BroadcastExchange" not in p
     assert "SortMergeJoin" in p
 
 
+def test_summary_is_aggregated_before_the_join(spark):
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    df = entry.queries()["product_summary"](spark, SF)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs  # no job while it is built
+    p = plan(df)
+    join = min(p.index(j) for j in ("BroadcastHashJoin", "SortMergeJoin") if j in p)
+    assert "partial_count" in p[join:]
+
+
 def test_streams_parse_each_message_once(spark, scratch, fixture_products):
     from cartwheel import REFERENCE
     from cartwheel.sources import stream_envelopes
@@ -63,7 +83,7 @@ def test_streams_parse_each_message_once(spark, scratch, fixture_products):
     write_events(f"{scratch}/src", [(1, 1, "purchase", 3, at(0))])
     env = stream_envelopes(spark, f"{scratch}/src")
     for mode in ("filtered", "all"):
-        df = jobs.purchase_stream(env, fixture_products, REFERENCE.with_(watermark_from=mode), 10)
+        df = jobs.enriched_stream(env, fixture_products, REFERENCE.with_(watermark_from=mode), 10)
         p = plan(df)
         assert p.count("from_json") == 1, mode
         assert "CollectMetrics" in p
@@ -75,7 +95,8 @@ def test_hot_product_is_split_by_aqe_skew_join(spark):
     input is spread over 8 map tasks as a multi-file table would be)."""
     from pyspark.sql import functions as F
     child = spark.newSession()
-    for k, v in {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4096",
+    for k, v in {"spark.sql.autoBroadcastJoinThreshold": "100", "spark.sql.adaptive.autoBroadcastJoinThreshold": "100",
+                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4096",
                  "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
                  "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
                  "spark.sql.shuffle.partitions": "16"}.items():
@@ -84,7 +105,7 @@ def test_hot_product_is_split_by_aqe_skew_join(spark):
     ev = E.purchases(harness.events(child, sf))
     hot = ev.withColumn("product_id", F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit(0))
                         .otherwise(F.col("product_id"))).repartition(8)
-    joined = E.enrich_with_products(hot, harness.products(child, sf), max_broadcast_rows=10)
+    joined = E.enrich_with_products(hot, harness.products(child, sf))
     rows = joined.collect()
     assert len(rows) == ev.count()
     assert "SortMergeJoin(skew=true)" in plan(joined)

@@ -24,15 +24,6 @@ def test_optional_parquet(spark, scratch):
     assert read_optional_parquet(spark, schemas.GOLD_AVERAGES, f"{scratch}/one").count() == 1
 
 
-def test_scale_conf_for_100tb():
-    from cartwheel.session import scale_conf
-    conf = scale_conf(100 * 1024 ** 4, executor_cores_total=4000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600     # 100 TiB / 256 MiB
-    assert conf["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
-    small = scale_conf(10 * 1024 ** 2, executor_cores_total=8)
-    assert small["spark.sql.shuffle.partitions"] == "8"
-
-
 def test_params_are_validated():
     import pytest
     from cartwheel import REFERENCE
@@ -43,13 +34,54 @@ def test_params_are_validated():
     assert REFERENCE.with_(starting_offsets="earliest").starting_offsets == "earliest"
 
 
-def test_stream_table_accepts_a_directory_table(spark, scratch):
-    from pyspark.sql import functions as F
-    from cartwheel.sources import harness
+def test_streams_read_a_directory_table_by_uri(spark, scratch):
+    from cartwheel.plans import streamed
     raw = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     raw.repartition(3).write.parquet(f"{scratch}/events.parquet")
-    s = harness.stream_table(spark, scratch, "events")
-    q = (s.writeStream.format("memory").queryName("ev_dir").trigger(availableNow=True)
-         .option("checkpointLocation", f"{scratch}/ck").start())
+    spark.read.parquet("/root/testdata/sf0.001/part.parquet").write.parquet(f"{scratch}/part.parquet")
+    got = streamed.STREAM_QUERIES["stream_product_summary"](spark, f"file://{scratch}")
+    want = streamed.STREAM_QUERIES["stream_product_summary"](spark, "/root/testdata/sf0.001")
+    assert sorted(got.collect()) == sorted(want.collect()) and got.count() > 0
+
+
+def test_replay_is_whole_and_in_order(spark, scratch):
+    from cartwheel.sources import harness
+    files = harness.write_replay(spark, "/root/testdata/sf0.001", f"{scratch}/replay", 4)
+    rows = spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    got = spark.read.parquet(f"{scratch}/replay")
+    assert files == 1 and got.count() == rows and len(got.inputFiles()) == 4
+    q = (harness.stream_replay(spark, f"{scratch}/replay", files).writeStream.format("memory").queryName("replayed")
+         .trigger(availableNow=True).option("checkpointLocation", f"{scratch}/ck").start())
     q.awaitTermination(120)
-    assert spark.sql("SELECT count(*) AS n FROM ev_dir").first()["n"] == raw.count()
+    batches = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    assert len(batches) == 4 and sum(batches) == rows
+
+
+def test_session_takes_master_and_partitions_from_the_launcher(monkeypatch):
+    from pyspark.sql import SparkSession
+    from cartwheel import session
+    set_ = {}
+
+    class Builder:
+        def appName(self, name): return self
+        def master(self, m): set_["master"] = m; return self
+        def config(self, k, v): set_[k] = v; return self
+        def getOrCreate(self): return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    monkeypatch.setattr(session, "SparkSession", type("S", (), {"builder": Builder()}))
+    session.build_session()
+    assert "master" not in set_ and "spark.sql.shuffle.partitions" not in set_
+    session.build_session("local[3]", shuffle_partitions=3)
+    assert set_["master"] == "local[3]" and set_["spark.sql.shuffle.partitions"] == "3"
+
+
+def test_a_job_without_a_checkpoint_is_an_error():
+    import pytest
+    from cartwheel.session import checkpoint_path
+
+    class Bare:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        checkpoint_path(Bare, "carts")

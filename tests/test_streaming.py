@@ -287,3 +287,39 @@ def test_two_hop_restart_emits_each_gold_window_once(spark, scratch):
     b = spark.read.schema(schemas.GOLD_AVERAGES).parquet(f"{scratch}/b/avg").collect()
     assert len(a) == len({r["window_start"] for r in a}) > 0     # each window once
     assert sorted(a) == sorted(b)
+
+
+DIRTY = [("1", '{"event_id":1,"user_id":1,"event_type":"purchase","time_generated":"garbage"}', at(0)),
+         ("1", '{"event_id":2,"user_id":1,"event_type":"page_view","time_generated":"2026-01-01T00:00:05.000000Z"}', at(5)),
+         ("2", '{"user_id":2,"event_type":"add_to_cart","time_generated":"2026-01-01T00:00:06.000000Z"}', at(6)),
+         ("3", '{"event_id":"x","user_id":3,"event_type":"search","time_generated":"2026-01-01T00:00:07.000000Z"}', at(7)),
+         ("4", '{"event_id":4,"user_id":4,"event_type":"product_view","time_generated":"garbage"}', at(8)),
+         ("5", "not json", at(9))]
+
+
+@pytest.mark.parametrize("dedup", [False, True])
+def test_dirty_events_lose_no_user_in_either_funnel(spark, scratch, dedup):
+    write_envelopes(f"{scratch}/src", DIRTY[:3])
+    write_envelopes(f"{scratch}/src", DIRTY[3:])
+    got = []
+    for stateful in (True, False):
+        run(jobs.start_funnel(spark, stream_envelopes(spark, f"{scratch}/src", 1), f"{scratch}/m{stateful}", f"{scratch}/ck{stateful}",
+                              REFERENCE.with_(dedup=dedup), NOW, stages_root=f"{scratch}/s{stateful}", stateful=stateful))
+        updates = spark.read.parquet(f"{scratch}/s{stateful}").groupBy("user_id").agg(
+            F.max("highest_funnel_stage").alias("stage"), F.max("event_time").alias("time"))
+        got.append(sorted((r["user_id"], r["stage"], r["time"]) for r in updates.collect()))
+    assert got[0] == got[1] == [(1, 4, at(5)), (2, 3, at(6)), (3, 1, at(7)), (4, 2, None)]
+
+
+def test_several_queries_and_the_console_totals_run_together(spark, scratch):
+    """Gold streams and their complete-mode console query at once."""
+    from cartwheel import schemas
+    spark.createDataFrame([(1, at(0), at(5), 30.0), (1, at(5000), at(5005), 1.0)], schemas.PURCHASE_SESSION).write.parquet(f"{scratch}/silver")
+    started = jobs.start_user_gold(spark, f"{scratch}/silver", ParquetSink(f"{scratch}/a"), ParquetSink(f"{scratch}/s"), f"{scratch}/ck",
+                                   REFERENCE, NOW, debug_console=True)
+    assert len(started) == 3 and started[2].name == "user_gold_averages_console"
+    for q in started:
+        q.awaitTermination(120)
+        assert q.exception() is None
+    spark.streams.resetTerminated()
+    assert spark.read.schema(schemas.GOLD_AVERAGES).parquet(f"{scratch}/a").count() == 1  # the later window is still open
