@@ -51,8 +51,9 @@ def base_counts(w: Words) -> dict[str, np.ndarray]:
     at, h = windows(w.hash, w.doc, WINDOW)
     order = np.lexsort((h, w.doc[at]))
     d, x = w.doc[at][order], h[order]
-    same = np.concatenate(([False], (d[1:] == d[:-1]) & (x[1:] == x[:-1])))
-    again = at[order][same | np.concatenate((same[1:], [False]))]
+    same = np.zeros(len(d) + 1, bool)  # as the one before
+    same[1:-1] = (d[1:] == d[:-1]) & (x[1:] == x[:-1])
+    again = at[order][same[:-1] | same[1:]]
     cover = np.zeros(len(w.doc) + 1, np.int64)
     np.add.at(cover, again, 1)
     np.add.at(cover, again + WINDOW, -1)
