@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwheel import schemas
-from cartwheel.operators import decode, events, funnel, gold, serving, sessions, summaries
+from cartwheel.operators import decode, events, funnel, gold, maintenance, serving, sessions, summaries
 from cartwheel.params import HARNESS, Params
 from cartwheel.plans import faults
 from cartwheel.session import run_root
 from cartwheel.sources import harness
-from cartwheel.sources.files import read_optional_parquet
+from cartwheel.sources.files import read_optional_parquet, read_products_csv
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -132,9 +132,13 @@ class Chain:
                               self.p.look_back_s, self.p.as_of)
 
     # -- stored gold --------------------------------------------------------
+    def written(self, what: str) -> str:
+        """A folder of its own for a table that a query writes."""
+        return f"{run_root(self.spark)}/{what}/{uuid.uuid4().hex}"
+
     def stored(self, table: DataFrame, schema: T.StructType) -> DataFrame:
         """``table`` written as Parquet, and its look-back read from there."""
-        path = f"{run_root(self.spark)}/gold/{uuid.uuid4().hex}"
+        path = self.written("gold")
         table.select(*schema.fieldNames()).write.parquet(path)
         written = read_optional_parquet(self.spark, schema, path)
         written = self.spark.createDataFrame([], schema) if written is None else written
@@ -242,6 +246,30 @@ def _summary_totals(c: Chain) -> DataFrame:
     return summaries.summary_totals(days)[1]
 
 
+def _evolved_events(c: Chain) -> DataFrame:
+    """Events of which some were written before products were known."""
+    path, ev = c.written("evolved"), c.events()
+    ev.where("product_id is null").drop("product_id").write.parquet(path)
+    ev.where("product_id is not null").write.mode("append").parquet(path)
+    return maintenance.read_evolving(c.spark, path).select(*schemas.EVENT_FIELDS)
+
+
+def _compacted_events(c: Chain) -> DataFrame:
+    """A table of many small files, rewritten by date."""
+    path = c.written("compacted")
+    c.events().repartition(24).write.parquet(f"{path}/small")
+    whole = maintenance.compact(c.spark, f"{path}/small", f"{path}/large", time_col="time_generated")
+    return whole.select(*schemas.EVENT_FIELDS, F.col("event_date").cast("date"))
+
+
+def _products_csv(c: Chain) -> DataFrame:
+    """The catalogue written as CSV, read from there into Parquet."""
+    path = c.written("products")
+    c.products().write.option("header", "true").csv(f"{path}/csv")
+    read_products_csv(c.spark, f"{path}/csv").write.parquet(f"{path}/parquet")
+    return c.spark.read.schema(schemas.PRODUCT).parquet(f"{path}/parquet")
+
+
 QUERIES: dict[str, Builder] = {
     "decode_events": _q(_decode_events),
     "dedup_events": _q(_dedup_events),
@@ -271,4 +299,7 @@ QUERIES: dict[str, Builder] = {
     "latest_abandoned_cart": _q(_latest_abandoned_cart),
     "decode_topic": _q(_decode_topic),
     "dlq_route": _q(_dlq_route),
+    "evolved_events": _q(_evolved_events),
+    "compacted_events": _q(_compacted_events),
+    "products_csv": _q(_products_csv),
 }

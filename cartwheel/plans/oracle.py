@@ -229,6 +229,9 @@ FROM ab""")
   CASE WHEN r IN ('invalid_json', 'bad_timestamp') THEN NULL ELSE time_generated END AS time_generated,
   time_received, raw_value, time_generated AS received_at, r AS error_reason
 FROM msg""")
+    q["evolved_events"] = _with(c, ["ev"], f"SELECT {EVENT_COLS} FROM ev")
+    q["compacted_events"] = _with(c, ["ev"], f"SELECT {EVENT_COLS}, CAST(time_generated AS DATE) AS event_date FROM ev")
+    q["products_csv"] = _with(c, ["pr"], "SELECT * FROM pr")
     # Streamed keys: append-mode output = batch result cut at the final
     # watermark (max event time seen by the watermark node minus the delay).
     cart_wm = f"(SELECT max(time_generated) FROM ev) - INTERVAL {int(p.cart_watermark_s)} SECOND"
