@@ -1,5 +1,82 @@
-"""DuckDB SQL of the text queries that SQL can express over whole tables."""
+"""DuckDB SQL of the text queries that SQL can express over whole tables.
+
+The others have none: a trained model (1, 3, 9), a tokenizer (5), a parser (8)
+or the method's own spans and labels (6, 7) are in their results.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from cartwheel.llm.common import LOWER, UPPER
+from cartwheel.llm.urls import LISTED, RULES
+
+ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _words(column: str, pattern: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({column}, ''), '{UPPER}', '{LOWER}'), '{pattern}')"
+
+
+DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_words("text", ALNUM)} AS w FROM documents),
+b AS (SELECT item_id, {_words("text", ALNUM)} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, n, list_slice(w, i, i + n - 1) AS win
+  FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM (SELECT *, least(10, len(w)) AS n FROM b WHERE len(w) > 0) x) y),
+hit AS (SELECT p.doc_id, p.i, win.n, win.item_id
+  FROM (SELECT doc_id, n, i, list_slice(w, i, i + n - 1) AS win
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+              FROM d, (SELECT DISTINCT n FROM win) s WHERE len(w) >= n) x) p
+  JOIN win ON p.n = win.n AND p.win = win.win),
+places AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM hit) x GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) x GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_words("text", WORD)} AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM d WHERE len(w) > 0) x),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+links AS (SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+    FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2) p
+  JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * common >= 75 * (nx.n + ny.n - common)),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM d
+  UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON links.x = reach.other),
+c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, component_id = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)"""
+
+
+def _values(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in rows)
+
+
+def _fits(name: str) -> str:
+    """The longest key of the table ``name`` (key, verdict) that fits host and path."""
+    host, path = "split_part(key, '/', 1)", "substr(key, instr(key, '/'))"
+    return f"""(SELECT arg_max(key, length(key)) FROM {name}
+    WHERE (host = {host} OR ends_with(host, '.' || {host})) AND starts_with(path, {path}))"""
+
+
+URLS = f"""
+WITH rules(key, verdict) AS (VALUES {_values(RULES)}),
+listed(key, verdict) AS (VALUES {_values([(k, "block") for k in LISTED])}),
+u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+f AS (SELECT *, {_fits("rules")} AS rule, {_fits("listed")} AS on_list FROM h)
+SELECT page_id, host, path, rule, CASE WHEN rule IS NULL AND on_list IS NOT NULL THEN 'block' ELSE
+  coalesce((SELECT verdict FROM rules WHERE key = rule), 'allow') END AS verdict,
+  CASE WHEN rule IS NULL THEN on_list END AS listed
+FROM f"""
+
+ORACLE: dict[str, str] = {
+    "op2_minhash": NEAR_DUPLICATES,
+    "op4_decontamination": DECONTAMINATION,
+    "op10_urls": URLS,
+}
