@@ -35,7 +35,7 @@ from cartwheel.llm.vectors import IS_NOT_ALNUM, Words
 #: Name and training target (SQL over the columns of documents and labels).
 CATEGORIES = {"toxic_english": "toxic = 1 and coalesce(lang, '') = 'en'",
               "toxic_other": "toxic = 1 and coalesce(lang, '') <> 'en'", "toxic": "toxic = 1"}
-BITS = 40
+BITS = 31
 #: Features in fewer training texts than this are left out.
 LEAST_TEXTS = 4
 PREFIXES = (4, 5, 6)
@@ -166,7 +166,7 @@ def fit_chain(doc: np.ndarray, feature: np.ndarray, targets: dict[str, np.ndarra
             x = matrix(doc, feature, link.features, len(y), n)[rest]
             out_of_fold[rest] = 1 / (1 + np.exp(-(x @ link.weights + earlier[rest] @ link.chained + link.intercept)))
         link = train(np.arange(len(y)))
-        link.features = known[link.features]
+        link.features = known[link.features].astype(np.int64)
         links.append(link)
         earlier = np.concatenate([earlier, log_odds(out_of_fold)[:, None].astype(np.float32)], 1)
     return links
@@ -181,13 +181,13 @@ def fit(documents: DataFrame, labels: DataFrame, categories: dict[str, str] | No
 
     def work(encoded: list[bytes]) -> dict:
         doc, feature = distinct(*slots(encoded))
-        return {"features": np.split(feature, np.searchsorted(doc, np.arange(1, len(encoded))))}
+        return {"features": np.split(feature.astype(np.int32), np.searchsorted(doc, np.arange(1, len(encoded))))}
 
     kept = ["doc_id", "fold", *[f"y{k}" for k in range(len(categories))]]
-    got = map_texts(rows, kept, {"features": "array<long>"}, work).toPandas().sort_values(kept)
+    got = map_texts(rows, kept, {"features": "array<int>"}, work).toPandas().sort_values(kept)
     lists = list(got.pop("features"))
     doc = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists])
-    feature = np.concatenate(lists).astype(np.int64) if lists else np.zeros(0, np.int64)
+    feature = np.concatenate(lists) if lists else np.zeros(0, np.int32)
     del lists
     return fit_chain(doc, feature, {name: got[f"y{k}"].to_numpy(np.float32) for k, name in enumerate(categories)}, got["fold"].to_numpy())
 
