@@ -52,10 +52,10 @@ def dedup_events(events: DataFrame, key: str = "event_id",
     others = [c for c in events.columns if c != key]
     ordered = [time_col] + [c for c in others if c != time_col] if time_col in others else others
     best = F.min(F.struct(*[F.col(c) for c in ordered])).alias("_best")
-    known = (events.where(F.col(key).isNotNull()).groupBy(key).agg(best)
-             .select(*[F.col(key) if c == key else F.col(f"_best.{c}").alias(c)
-                       for c in events.columns]))
-    return known.unionByName(events.where(F.col(key).isNull()))
+    own = F.when(F.col(key).isNull(), F.expr("uuid()"))  # a group of its own for a row without an id
+    return (events.withColumn("_own", own).groupBy(key, "_own").agg(best)
+            .select(*[F.col(key) if c == key else F.col(f"_best.{c}").alias(c)
+                      for c in events.columns]))
 
 
 def enrich_with_products(events: DataFrame, products: DataFrame, guard_col: str | None = None) -> DataFrame:
