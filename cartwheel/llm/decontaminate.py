@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import NOT_ALNUM, ascii_lower, bind, materialise, of_columns, words
 
 SIZE = 10
-#: Most benchmark windows that are sent to every task (16 bytes of hash and length each, with overhead about 10 MB).
+#: Most benchmark windows that are sent to every task: with their ten words and items about 50 MB.
 BROADCAST_WINDOWS = 100_000
 
 
