@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwheel import REFERENCE, HARNESS, schemas
-from cartwheel.operators import events as E
 from cartwheel.operators import gold, sessions
 from cartwheel.plans.catalog import Chain
 from cartwheel.sources import kafka_available, stream_envelopes, stream_topic
