@@ -18,6 +18,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Characters that separate words: white space, or all ASCII but letters and digits.
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same of text that isn't lower-cased: capitals are letters, so words have the same places.
+NOT_ALNUM_CASED = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

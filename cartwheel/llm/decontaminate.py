@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import NOT_ALNUM, ascii_lower, bind, materialise, of_columns, words
+from cartwheel.llm.common import NOT_ALNUM, NOT_ALNUM_CASED, ascii_lower, bind, materialise, of_columns, words
 
 SIZE = 10
 #: Most benchmark windows that are sent to every task: with their ten words and items about 50 MB.
@@ -111,8 +111,8 @@ def merged(spans: Column) -> Column:
 def clean_text(text: Column, spans: Column) -> Column:
     """``text`` without the words of ``spans`` and the separators after them;
     all else stays as it was."""
-    own = F.filter(F.split(text, NOT_ALNUM, -1), lambda w: w != "")
-    between = F.split(text, f"[^{NOT_ALNUM[1:]}", -1)  # one more than words
+    own = words(text, NOT_ALNUM_CASED)  # in number and order those of norm_words
+    between = F.split(text, f"[^{NOT_ALNUM_CASED[1:]}", -1)  # one more than words
 
     def cut(hit: Column, gaps: Column) -> Column:
         kept = F.transform(own, lambda w, i: F.when(

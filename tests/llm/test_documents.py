@@ -119,6 +119,23 @@ def test_decontamination_matches_brute_force(spark, monkeypatch, limit):
     assert sorted({r.doc_id for r in whole.collect()}) == sorted({w[0] for w in want if not w[2]})
 
 
+def test_decontamination_cuts_by_the_words_of_any_case(spark):
+    rng = random.Random(12)
+    passage = "Alpha beta GAMMA iPhone delta I saw A new TODO list of eVeRy Kind today"
+    clean = ["I", "A", "TODO", "McDonald", "plain", "iPhone", "XyZ", "É", "naïve", "Word", "z9Z"]
+    docs, want = [], {}
+    for i in range(40):
+        before, after = ([rng.choice(clean) for _ in range(rng.randrange(0, 40))] for _ in range(2))
+        docs.append((i, " ".join([*before, rng.choice([passage, passage.upper(), passage.lower()]), *after])))
+        want[i] = " ".join(before + after)
+    docs += [(50, "a SHORT, Item HERE"), (51, "Only I and A"), (52, None)]
+    want |= {50: "a HERE", 51: "Only I and A", 52: None}
+    bench = spark.createDataFrame([(1, passage), (2, "Short item")], "item_id long, text string")
+    done = decontaminate.decontaminate(documents(spark, docs), bench)
+    assert {r.doc_id: r.text and r.text.strip() for r in done.collect()} == want
+    assert all(r.n_hit == 0 for r in decontaminate.judge(done, bench).collect())
+
+
 def test_decontamination_without_items_or_rows(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     got = decontaminate.judge(documents(spark, EDGES), none).collect()
