@@ -1,7 +1,8 @@
 """URL filter: rules by host and path, and a list of canonical URLs.
 
 A URL is looked up by its host and every parent domain, each with every path
-prefix of a listed length. A blocked Bloom filter (one 512-bit block per key)
+prefix of a listed length: for the rules as host and path stand in it, for the
+list in canonical form, as are the listed keys (``canonical``). A blocked Bloom filter (one 512-bit block per key)
 over the listed keys lets possible hits through; an exact hash join on the
 key drops the false ones. The longest listed key decides.
 
@@ -20,8 +21,10 @@ from cartwheel.llm.common import ascii_lower, of_columns
 
 # The rules of the query (host and path, verdict).
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
-# Spam hosts of the page tables, listed by the method.
+# The list of the registered query, four hosts of the page tables; not the same names under other domains.
+# A list of one's own is a table (key) for ``filter_urls``.
 LISTED = ["ads-track.example.com/", "casino-win.example.com/", "cheap-pills.example.com/", "free-bets.example.com/"]
+DEFAULT_PORTS = {"http": "80", "https": "443", "ftp": "21"}
 PROBES = 6
 BITS_PER_KEY = 16
 #: Largest filter and list that are sent to every task; beyond it they are shuffled.
@@ -40,6 +43,36 @@ def with_host_path(urls: DataFrame) -> DataFrame:
                        F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1).alias("path"))
 
 
+def canonical(scheme: Column, authority: Column, path: Column) -> tuple[Column, Column, Column]:
+    """Host, port and path as the list has them: the host in lower case,
+    without user info and trailing dots; a default port empty (of an empty
+    scheme, any scheme's); the path of a host at least '/'."""
+    place = F.substring_index(ascii_lower(authority), "@", -1)
+    tail = F.regexp_extract(place, r":[0-9]*$", 0)
+    host = F.rtrim(F.substring(place, F.lit(1), F.length(place) - F.length(tail)), F.lit("."))
+    number = F.ltrim(F.substring(tail, F.lit(2), F.length(tail)), F.lit("0"))
+    usual = F.lit(False)
+    for name, port in DEFAULT_PORTS.items():
+        usual = usual | (scheme.isin(name, "") & (number == port))
+    return host, F.when(usual, F.lit("")).otherwise(number), F.when((path == "") & (host != ""), F.lit("/")).otherwise(path)
+
+
+def canonical_key(key: Column) -> Column:
+    """``key``, a host with or without path or a whole URL, in canonical form.
+    One without a port covers every port."""
+    scheme = F.regexp_extract(key, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1)
+    rest = F.when(scheme != "", F.substring(key, F.length(scheme) + 4, F.length(key))).otherwise(key)
+    host, port, path = canonical(ascii_lower(scheme), F.regexp_extract(rest, r"^[^/?#]*", 0), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1))
+    return F.concat(host, F.when(port != "", F.concat(F.lit(":"), port)).otherwise(F.lit("")), path)
+
+
+def with_canonical(seen: DataFrame) -> DataFrame:
+    """``seen`` (url, host, path) with list_host, list_port and list_path."""
+    scheme = F.when(F.instr("url", "://") > 0, ascii_lower(F.substring_index("url", "://", 1))).otherwise(F.lit(""))
+    host, port, path = canonical(scheme, F.col("host"), F.col("path"))
+    return seen.select("*", host.alias("list_host"), port.alias("list_port"), path.alias("list_path"))
+
+
 def _block(key: Column, blocks: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(1)), F.lit(blocks))
 
@@ -84,21 +117,32 @@ def lookup_keys(host: Column, path: Column, lengths: list[int]) -> Column:
 
 def filter_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, default: str = "allow") -> DataFrame:
     """page_id, url, host, path, rule, verdict, listed. A rule (key, verdict)
-    outranks the list (key); where no rule fits, a listed key blocks."""
+    outranks the list (key); where no rule fits, a listed key, in canonical
+    form, blocks."""
     keys = (of_columns(rules, "key", "verdict").withColumn("is_rule", F.lit(True))
-            .unionByName(of_columns(listed, "key").select("key", F.lit("block").alias("verdict"),
-                                                          F.lit(False).alias("is_rule"))))
+            .unionByName(of_columns(listed, "key").select(canonical_key(F.col("key")).alias("key"), F.lit("block").alias("verdict"),
+                                                          F.lit(False).alias("is_rule")).where("key <> ''")))
     keys = keys.groupBy("key", "is_rule").agg(F.max("verdict").alias("verdict"))
     path_length = F.length("key") - F.instr("key", "/") + 1
-    shape = keys.agg(F.count("*").alias("n"), F.collect_set(path_length.cast("int")).alias("lengths")).first()
-    n, blocks = shape["n"], max(1, shape["n"] * BITS_PER_KEY // 512)
+    shape = {r["is_rule"]: r for r in keys.groupBy("is_rule").agg(
+        F.count("*").alias("n"), F.collect_set(path_length.cast("int")).alias("lengths")).collect()}  # two rows at most
+    lengths = {k: sorted(shape[k]["lengths"]) if k in shape else [] for k in (True, False)}
+    n = sum(r["n"] for r in shape.values())
+    blocks = max(1, n * BITS_PER_KEY // 512)
     # rows of one URL are judged once, so a URL that a third of all rows share costs one lookup
     seen = with_host_path(of_columns(pages, "url").distinct())
-    probe = seen.select("url", F.explode(lookup_keys(F.col("host"), F.col("path"), sorted(shape["lengths"]))).alias("key"))
+
+    def probes(keys: Column, is_rule: bool) -> Column:
+        return F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(is_rule).alias("is_rule")))
+    of_list = lookup_keys(F.col("list_host"), F.col("list_path"), lengths[False])
+    with_port = lookup_keys(F.concat_ws(":", "list_host", "list_port"), F.col("list_path"), lengths[False])
+    of_list = F.when(F.col("list_port") == "", of_list).otherwise(F.concat(of_list, with_port))
+    found = F.concat(probes(lookup_keys(F.col("host"), F.col("path"), lengths[True]), True), probes(of_list, False))
+    probe = with_canonical(seen).select("url", F.inline(found))
     passed = (probe.withColumn("block", _block(F.col("key"), blocks))
               .join(_bounded(bloom(keys.select("key"), blocks), blocks), "block").where(may_hold(F.col("key"))))
     best = F.max(F.struct("is_rule", F.length("key").alias("size"), "key", "verdict")).alias("hit")
-    hits = passed.select("url", "key").join(_bounded(keys, n), "key").groupBy("url").agg(best)
+    hits = passed.select("url", "key", "is_rule").join(_bounded(keys, n), ["key", "is_rule"]).groupBy("url").agg(best)
     verdicts = seen.join(hits.withColumnRenamed("url", "hit_url"), F.col("url") == F.col("hit_url"), "left").select(
         F.col("url").alias("of"), "host", "path", F.when(F.col("hit.is_rule"), F.col("hit.key")).alias("rule"),
         F.coalesce("hit.verdict", F.lit(default)).alias("verdict"),

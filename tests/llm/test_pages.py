@@ -110,6 +110,26 @@ def test_url_rules_match_brute_force(spark, monkeypatch, bound):
     assert urls.filter_urls(pages.limit(0), rules, listed).count() == 0
 
 
+@pytest.mark.parametrize("bound", [200_000, 0])
+def test_list_and_urls_are_looked_up_in_canonical_form(spark, monkeypatch, bound):
+    monkeypatch.setattr(urls, "BROADCAST_ROWS", bound)
+    block = ["http://casino-win.example.com?x=1", "http://casino-win.example.com", "https://CASINO-win.example.com:443/en", "http://casino-win.example.com:8080/",
+             "http://casino-win.example.com./a", "http://me:pw@www.casino-win.example.com/a", "http://casino-win.example.com:#f", "http://a@b@casino-win.example.com.:080?q"]
+    allow = ["http://casino-win.example.com@fine.example/", "http://casino-win.example.community/", "http://xcasino-win.example.com/", "https://fine.example:8443/a", "http://"]
+    rules, listed = urls.default_rules(spark)
+    pages = spark.createDataFrame(list(enumerate([*block, *allow])), "page_id long, url string")
+    got = {r.url: r for r in urls.filter_urls(pages, rules.limit(0), listed).collect()}
+    assert {u for u, r in got.items() if r.verdict == "block"} == set(block)
+    assert {got[u].listed for u in block} == {"casino-win.example.com/"} and {got[u].host for u in block[3:4]} == {"casino-win.example.com:8080"}
+    # a table of any form of keys; rules stay by host and path as they stand
+    own = spark.createDataFrame([("HTTPS://u@Fine.Example.:443",), ("odd.example:8443/x?q",), ("bare.example",), (None,), ("",)], "key string")
+    found = ["http://www.fine.example?y", "https://odd.example:8443/xy", "https://odd.example/xy", "https://a.odd.example:8443/xy", "http://bare.example:1/p", "http://net./x"]
+    pages = spark.createDataFrame(list(enumerate(found)), "page_id long, url string")
+    got = {r.url: (r.rule, r.verdict, r.listed) for r in urls.filter_urls(pages, rules, own).collect()}
+    assert [got[u] for u in found] == [(None, "block", "fine.example/"), (None, "block", "odd.example:8443/x"), (None, "allow", None),
+                                       (None, "block", "odd.example:8443/x"), (None, "block", "bare.example/"), (None, "allow", None)]
+
+
 def test_bloom_filter_has_no_false_negatives(spark):
     from pyspark.sql import functions as F
     keys = spark.range(3_000).select(F.concat(F.lit("host"), F.col("id").cast("string"), F.lit("/")).alias("key"))
