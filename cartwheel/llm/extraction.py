@@ -4,7 +4,9 @@ The pages of a host are aligned by simple tree matching: runs of siblings with
 one signature (tag, class, id) count as one node, and the children of matched
 nodes are aligned in order so that most nodes match. The merged tree is the
 host's wrapper. A node whose text stays the same on all pages is template; the
-others are slots, and the slot that holds the article is the main one. Wrappers
+others are slots, and the slot that holds the article is the main one: the
+largest article or main, else the smallest node outside which all text is
+template or boilerplate. Wrappers
 merge like sums: each task merges its pages, and at most FAN partial wrappers
 meet in a task until one is left per host, so a host with a third of all pages
 is spread over all tasks and every page counts.
@@ -72,7 +74,7 @@ def own_text(nodes: list[Node]) -> str:
 
 def skeleton(nodes: list[Node], depth: int = 0) -> list:
     """The wrapper of one page below ``nodes``, equal siblings in a run."""
-    text = own_text(nodes)
+    text = own_text(nodes) if depth < DEPTH else " ".join(b for n in nodes for b in blocks(n, lambda child, parent: False))
     mark = f"{len(text)}:{hash_of(text)}"
     kids: list[list[Node]] = []
     if depth < DEPTH:
@@ -128,10 +130,28 @@ def merge(a: list, b: list) -> list:
         kids.reverse()
     if len(kids) > 4 * SIBLINGS:  # nodes of few pages are neither template nor main slot
         least = sorted((k[1] for k in kids), reverse=True)[4 * SIBLINGS - 1]
-        kids = [k for k in kids if k[1] >= least][:4 * SIBLINGS]
+        held = [k for k in kids if k[1] >= least][:4 * SIBLINGS]
+        lost = sum(map(all_text, kids)) - sum(map(all_text, held))  # stays as text of the parent that varies
+        return [a[0], a[1] + b[1], None, a[3] + b[3] + lost, held, a[5] or b[5]]
     return [a[0], a[1] + b[1], a[2] if a[2] == b[2] else None, a[3] + b[3], kids, a[5] or b[5]]
 
 
+def all_text(node: list) -> int:
+    return node[3] + sum(map(all_text, node[4]))
+
+
+def is_constant(kid: list, parent: list) -> bool:
+    """Whether the own text of ``kid`` is the same on most pages of ``parent``."""
+    return kid[2] is not None and not kid[5] and kid[1] >= SAME_PAGES and 2 * kid[1] > parent[1]
+
+
+def remaining(kid: list, parent: list) -> int:
+    """Characters in ``kid`` that are neither boilerplate nor template."""
+    if is_boilerplate(signed(kid[0]), signed(parent[0])):
+        return 0
+    return (0 if is_constant(kid, parent) else kid[3]) + sum(remaining(k, kid) for k in kid[4])
+
+
 def rule_of(wrapper: list) -> dict:
     """{"slot": path of the main slot, "template": paths of constant nodes}.
     A path is the signatures from the root."""
@@ -154,21 +174,21 @@ def rule_of(wrapper: list) -> dict:
 
     walk(wrapper, [])
     slot, node = best[1], best[2]
-    if not slot:  # no article: descend while one child holds most of what varies
+    if not slot:  # no article: descend while nothing is left out but template and boilerplate
         while True:
-            total = volume(node)
-            kid = max((k for k in node[4] if not is_boilerplate(signed(k[0]))), key=volume, default=None)
-            if kid is None or kid[5] or volume(kid) < 0.7 * total or not total:
+            live = [k for k in node[4] if remaining(k, node)]
+            own = node[3] and (node is wrapper or not is_constant(node, parent))
+            if own or len(live) != 1 or live[0][5]:
                 break
-            node = kid
-            slot = [*slot, kid[0]]
+            parent, node = node, live[0]
+            slot = [*slot, node[0]]
     template: list[list[str]] = []
 
     def constant(n: list, path: list[str]) -> None:
         for kid in n[4]:
             here = [*path, kid[0]]
-            own = kid[2] is not None and not kid[5] and kid[1] >= SAME_PAGES and 2 * kid[1] > n[1] and not any(volume(k) for k in kid[4])
-            if own and kid[3]:
+            # siblings of one signature share the path
+            if kid[3] and not any(remaining(k, n) for k in n[4] if k[0] == kid[0]):
                 template.append(here)
             else:
                 constant(kid, here)

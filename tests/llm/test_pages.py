@@ -38,6 +38,28 @@ def test_articles_without_boilerplate(spark):
     assert [t for _, _, t in got] == [want[int(i)] for i, _, _ in got]
 
 
+def test_siblings_of_the_longest_part_are_kept(spark):
+    rng = random.Random(4)
+
+    def long():
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(200))
+    shapes = {  # html, and what must be left of it
+        "a": ("<nav>m{0}</nav><h1>T {0}</h1><div class=post>{1}</div><footer>f</footer>", "T {0}\n{1}"),
+        "b": ("<div class=top>Site</div><div class=x><div><h2>T {0}</h2><p>{1}</p></div></div>", "T {0}\n{1}"),
+        "c": ("<div class=x>lead {0}<div><p>{1}</p><ul><li>end {0}</li></ul></div></div><div>Made by us</div>", "lead {0}\n{1}\nend {0}"),
+        "d": ("<div>Made by us</div><h1>T {0}</h1><div>{1}</div>", "Made by us\nT {0}\n{1}"),  # one path, so the constant part stays too
+        "e": ("<div class=s{2}>s {0}</div><div class=post>{1}</div>", "s {0}\n{1}"),  # more signatures than a wrapper keeps
+    }
+    rows, want = [], {}
+    for k, (host, (html, left)) in enumerate(shapes.items()):
+        for i in range(230 if host == "e" else 8):
+            text, slug = long(), "".join(chr(97 + int(c)) for c in str(i))
+            rows.append((1000 * k + i, f"http://{host}/{i}", f"<html><head><title>t</title></head><body>{html.format(i, text, slug)}</body></html>"))
+            want[1000 * k + i] = left.format(i, text)
+    got = {i: t for i, _, t in extracted(spark, rows)}
+    assert [i for i in want if got[i] != want[i]] == []
+
+
 def test_without_evidence_elements_and_names_decide(spark):
     same = page("<p>One</p><p>Two<br>three</p><form>x</form><!-- c --><div class='ad'>buy</div>")
     rows = [(1, "http://one/1", same), (1, "http://one/1", same), (2, "http://b/", None), (3, None, ""), (4, "x", "plain <b>text"),
