@@ -12,8 +12,10 @@ meet in a task until one is left per host, so a host with a third of all pages
 is spread over all tasks and every page counts.
 
 Menus, headers, footers, sidebars, notices, adverts, forms and reader comments
-are dropped by element or by their class, id or role, scripts and styles
-always, and inside the main slot what the wrapper shows to be template.
+are dropped by element or by a whole token of their class, id or role, scripts
+and styles always, and inside the main slot what the wrapper shows to be
+template. By a name, or as a form, no element goes that holds an article or, on
+most pages, most of what varies (reader comments: all).
 
 Defined results: null or empty html gives an empty text; a null url belongs to
 the host ''; equal pages get equal texts; a host with too few pages, or with
@@ -24,9 +26,9 @@ ignored.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -46,20 +48,74 @@ DEPTH = 40
 SIBLINGS = 48
 BROADCAST_HOSTS = 50_000
 BOILERPLATE = frozenset("nav header footer aside form button input select dialog menu".split())
-NAMES = re.compile(r"\b(ad|ads|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|gdpr|popup|modal|menu|nav|navbar|navigation|"
-                   r"breadcrumbs?|sidebar|side|footer|header|masthead|comments?|replies|disqus|share|sharing|social|related|newsletter|"
-                   r"subscribe|signup|login|search|complementary|contentinfo|skip)\b")
-
-
-def is_boilerplate(node: Node, parent: Node | None = None) -> bool:
-    if node.tag == "header" and parent is not None and parent.tag in ("article", "main"):
+#: Dropped whatever they hold; a form may be wrapped around a page.
+ALWAYS = BOILERPLATE - {"form"}
+COMMENTS = frozenset("comment comments replies disqus".split())
+HEADINGS = frozenset("header masthead".split())
+#: Tokens of class, id or role; one with hyphens counts if all its parts do, or as listed.
+NAMES = COMMENTS | HEADINGS | frozenset(
+    "ad ads advert adverts advertisement advertisements advertising banner sponsor sponsors sponsored promo promos promotion cookie cookies "
+    "consent notice notices gdpr popup modal menu nav navbar navigation breadcrumb breadcrumbs sidebar footer newsletter subscribe signup "
+    "login complementary contentinfo site-header site-footer site-nav site-navigation main-nav main-menu main-navigation nav-bar top-nav "
+    "top-menu side-bar cookie-bar cookie-message ad-slot ad-unit ad-box ad-container ad-wrapper".split())
+COMMENT_LISTS = frozenset("comment-list comment-section comments-list comments-section comments-area disqus_thread".split())
+ARTICLE = ("article", "main")
+WHOLE = frozenset(("#root", "html", "body", *ARTICLE))
+
+
+@lru_cache(100_000)
+def named(names: str) -> frozenset:
+    """The boilerplate words among the tokens of ``names``."""
+    found: set[str] = set()
+    for token in (t.strip("-_") for t in names.split()):
+        parts = {p for p in token.replace("_", "-").split("-") if p}
+        if token in COMMENT_LISTS:
+            found.add("comments")
+        elif token in NAMES:
+            found.add(token)
+        elif parts and parts <= NAMES:
+            found |= parts
+    return frozenset(found)
+
+
+def label(node: Node | list) -> tuple[str, str]:
+    """Tag and names of a node of a page or of a wrapper."""
+    if isinstance(node, Node):
+        return node.tag, node.names
+    tag, _, names = node[0].partition(".")
+    return tag, names
+
+
+def holds_article(node: Node | list) -> bool:
+    todo = [node]
+    while todo:
+        n = todo.pop()
+        for kid in n.children() if isinstance(n, Node) else n[4]:
+            tag, names = label(kid)
+            if tag in ARTICLE and not named(names) & COMMENTS:
+                return True
+            todo.append(kid)
+    return False
+
+
+def is_suspect(node: Node | list) -> bool:
+    """Whether a name, or being a form, speaks for boilerplate."""
+    tag, names = label(node)
+    return tag not in WHOLE and (tag == "form" or bool(names and named(names)))
+
+
+def is_boilerplate(node: Node | list, parent: Node | list | None = None) -> bool:
+    tag, names = label(node)
+    above = label(parent)[0] if parent is not None else ""
+    if tag in WHOLE:  # an article right in an article may be a reader's comment
+        return tag == above == "article" and bool(named(names) & COMMENTS)
+    if tag == "header" and above in ARTICLE:
         return False  # the article's own heading
-    return node.tag in BOILERPLATE or bool(node.names and NAMES.search(node.names.replace("-", " ").replace("_", " ")))
-
-
-def signed(signature: str) -> Node:
-    tag, _, names = signature.partition(".")
-    return Node(tag, names)
+    if tag in ALWAYS:
+        return True
+    if not is_suspect(node) or (above in ARTICLE and tag != "form" and named(names) <= HEADINGS):
+        return False
+    return not holds_article(node)
 
 
 # A wrapper node is [signature, pages, text or None where it varies, varying characters, children, is a run].
@@ -145,38 +201,63 @@ def is_constant(kid: list, parent: list) -> bool:
     return kid[2] is not None and not kid[5] and kid[1] >= SAME_PAGES and 2 * kid[1] > parent[1]
 
 
-def remaining(kid: list, parent: list) -> int:
-    """Characters in ``kid`` that are neither boilerplate nor template."""
-    if is_boilerplate(signed(kid[0]), signed(parent[0])):
+def remaining(kid: list, parent: list, kept: set[int]) -> int:
+    """Characters in ``kid`` that are neither boilerplate nor template;
+    ``kept`` are the ids of nodes that are no boilerplate."""
+    if is_boilerplate(kid, parent) and id(kid) not in kept:
         return 0
-    return (0 if is_constant(kid, parent) else kid[3]) + sum(remaining(k, kid) for k in kid[4])
+    return (0 if is_constant(kid, parent) else kid[3]) + sum(remaining(k, kid, kept) for k in kid[4])
 
 
 def rule_of(wrapper: list) -> dict:
-    """{"slot": path of the main slot, "template": paths of constant nodes}.
-    A path is the signatures from the root."""
+    """{"slot": path of the main slot, "template": paths of constant nodes,
+    "keep": paths of nodes that are no boilerplate whatever their name}. A path is the signatures from the root."""
     def volume(node: list) -> int:
         return node[3] * (node[2] is None or node[5] or node[1] < SAME_PAGES) + sum(volume(k) for k in node[4])
 
-    best: tuple[tuple, list[str], list] = ((0, 0), [], wrapper)
+    def is_comments(node: list) -> bool:
+        return bool(named(label(node)[1]) & COMMENTS)
+
+    def varying(node: list, comments: bool) -> int:
+        own = node[3] * (node[2] is None or node[5] or node[1] < SAME_PAGES)
+        return own + sum(varying(k, comments) for k in node[4] if label(k)[0] not in ALWAYS and (comments or not is_comments(k)))
 
-    def walk(node: list, path: list[str]) -> None:
+    best: tuple[tuple, list[str], list] = ((False, 0, 0), [], wrapper)
+
+    def walk(node: list, path: list[str], parent: list | None, clean: bool) -> None:
         nonlocal best
-        tag = node[0].partition(".")[0]
-        if is_boilerplate(signed(node[0])):
+        tag = label(node)[0]
+        if is_boilerplate(node, parent):
             return
+        clean = clean and not is_suspect(node)  # rather an article outside of what looks like a sidebar
         size = volume(node)
         here = 2 if tag == "article" else 1 if tag == "main" else 0
-        if size and here and (here, size) > best[0]:
-            best = ((here, size), path, node)
+        if size and here and (clean, here, size) > best[0]:
+            best = ((clean, here, size), path, node)
         for kid in node[4]:
-            walk(kid, [*path, kid[0]])
+            walk(kid, [*path, kid[0]], node, clean)
 
-    walk(wrapper, [])
+    walk(wrapper, [], None, True)
     slot, node = best[1], best[2]
+    kept: set[int] = set()
+    keep: list[list[str]] = []
+    total, plain = varying(node, True), varying(node, False)
+
+    def evidence(n: list, path: list[str]) -> None:
+        for kid in n[4]:
+            here = [*path, kid[0]]
+            if is_boilerplate(kid, n):
+                enough = varying(kid, True) == total if is_comments(kid) else 2 * varying(kid, False) > plain
+                if label(kid)[0] in ALWAYS or not is_suspect(kid) or kid[1] < SAME_PAGES or 2 * kid[1] <= wrapper[1] or not enough:
+                    continue
+                kept.add(id(kid))
+                keep.append(here)
+            evidence(kid, here)
+    if total:
+        evidence(node, slot)
     if not slot:  # no article: descend while nothing is left out but template and boilerplate
         while True:
-            live = [k for k in node[4] if remaining(k, node)]
+            live = [k for k in node[4] if remaining(k, node, kept)]
             own = node[3] and (node is wrapper or not is_constant(node, parent))
             if own or len(live) != 1 or live[0][5]:
                 break
@@ -188,19 +269,19 @@ def rule_of(wrapper: list) -> dict:
         for kid in n[4]:
             here = [*path, kid[0]]
             # siblings of one signature share the path
-            if kid[3] and not any(remaining(k, n) for k in n[4] if k[0] == kid[0]):
+            if kid[3] and not any(remaining(k, n, kept) for k in n[4] if k[0] == kid[0]):
                 template.append(here)
             else:
                 constant(kid, here)
     if volume(node):
         constant(node, slot)
-    return {"slot": slot, "template": template}
+    return {"slot": slot, "template": template, "keep": keep}
 
 
 def extract(text: str | None, rule: dict) -> str:
     """Main text of one page under its host's rule."""
     root = parse(text or "")
-    template = {tuple(p) for p in rule["template"]}
+    template, keep = {tuple(p) for p in rule["template"]}, {tuple(p) for p in rule["keep"]}
     paths: dict[int, tuple] = {id(root): ()}
     found: list[Node] = []
     slot = tuple(rule["slot"])
@@ -214,31 +295,38 @@ def extract(text: str | None, rule: dict) -> str:
                     search(child, depth + 1)
     if slot:
         search(root, 0)
+    elif template or keep:
+        found = [root]
     if not found:  # a page unlike the others of its host
         found = first_of(root, "article") or first_of(root, "main") or [root]
-        template = set()
+        template, keep = set(), set()
     for node in found:
         paths[id(node)] = slot
 
     def drop(child: Node, parent: Node) -> bool:
-        if is_boilerplate(child, parent):
+        path = (*paths.get(id(parent), ()), child.signature)
+        if path not in keep and is_boilerplate(child, parent):
             return True
-        paths[id(child)] = (*paths.get(id(parent), ()), child.signature)
-        return paths[id(child)] in template
+        paths[id(child)] = path
+        return path in template
     return "\n".join(b for node in found for b in blocks(node, drop))
 
 
 def first_of(root: Node, tag: str) -> list[Node]:
-    """The outermost elements of ``tag`` that are not in boilerplate."""
-    out, todo = [], [root]
-    while todo:
-        for child in reversed(todo.pop().children()):
-            todo.append(child)
-        while todo and (todo[-1].tag == tag or is_boilerplate(todo[-1])):
-            node = todo.pop()
-            if not is_boilerplate(node):
-                out.append(node)
-    return out
+    """The outermost elements of ``tag`` that are not in boilerplate; those in
+    what only looks like it if there are no others."""
+    for skipped in (lambda n: is_boilerplate(n) or is_suspect(n), is_boilerplate):
+        out, todo = [], [root]
+        while todo:
+            for child in reversed(todo.pop().children()):
+                todo.append(child)
+            while todo and (todo[-1].tag == tag or skipped(todo[-1])):
+                node = todo.pop()
+                if not skipped(node):
+                    out.append(node)
+        if out:
+            return out
+    return []
 
 
 def page_wrappers(pages: DataFrame) -> DataFrame:

@@ -60,6 +60,33 @@ def test_siblings_of_the_longest_part_are_kept(spark):
     assert [i for i in want if got[i] != want[i]] == []
 
 
+def test_names_are_whole_tokens_and_drop_no_article(spark):
+    a = "<article><p>One {0}</p><p class='{1}'>Two</p></article>"
+    single = {  # one page each: html, and what must be left of it
+        "<body class='no-sidebar menu'>" + a: "One\nTwo", "<div class='content has-sidebar'><h1>One</h1><p>Two</p></div>": "One\nTwo",
+        "<article class='post comments-open comments'><p>One</p><p class='related'>Two</p></article>": "One\nTwo",
+        "<article><p class=share>One</p><p class='side'>Two</p><p id=search>x</p></article>": "One\nTwo\nx",
+        "<div class=modal><nav>m</nav><main class=header><p>One</p>Two</main></div>": "One\nTwo", "<form>t<article>One</article></form>": "One",
+        "<div class=sidebar><article>Teaser, which is long</article></div><article>One</article>": "One",
+        "<article><div class=header><h1>One</h1></div>Two<div class='ad-'>buy</div><div class='x cookie-notice'>c</div></article>": "One\nTwo",
+        "<article>One<div id=comments><article class=comment>First!</article></div><article class='comment'>no</article></article>": "One",
+        "<p>One</p><div class='comment-list'>no</div><div class='menu footer'>no</div><div role=navigation>no</div>": "One"}
+    rows, want = [], {}
+    for i, (html, left) in enumerate(single.items()):
+        rows.append((i, f"http://single{i}/", html.format("", "related share side search").replace("One ", "One")))
+        want[i] = left
+    long = "word " * 40
+    shapes = {"m": ("<h1>T {0}</h1><div class='modal'>{1}{0}</div><div class=comments>{1}{1}{1}</div>", "T {0}\n{1}{0}"),
+              "f": ("<form id=f><div class='ad'>buy {0}</div><p>{1}{0}</p></form>", "{1}{0}"),
+              "s": ("<article><h1>T {0}</h1><div class=promo>{1}{0}</div></article><div class=sidebar>{1}{1}{0}</div>", "T {0}\n{1}{0}")}
+    for k, (host, (html, left)) in enumerate(shapes.items()):
+        for i in range(8):
+            rows.append((100 * (k + 1) + i, f"http://{host}/{i}", f"<body class='no-sidebar'>{html.format(i, long + str(i * i) + ' ')}</body>"))
+            want[100 * (k + 1) + i] = left.format(i, long + str(i * i) + " ")
+    got = {i: t for i, _, t in extracted(spark, rows)}
+    assert got[100].startswith("T 0\nword") and [(i, got[i], want[i]) for i in want if got[i] != want[i]] == []
+
+
 def test_without_evidence_elements_and_names_decide(spark):
     same = page("<p>One</p><p>Two<br>three</p><form>x</form><!-- c --><div class='ad'>buy</div>")
     rows = [(1, "http://one/1", same), (1, "http://one/1", same), (2, "http://b/", None), (3, None, ""), (4, "x", "plain <b>text"),
