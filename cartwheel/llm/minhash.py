@@ -207,9 +207,14 @@ def labelled(nodes: DataFrame, found: DataFrame, column: str, name: str) -> Data
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
-    docs = of_columns(documents, "doc_id", "text")
+    return judged(of_columns(documents, "doc_id", "text"), ["doc_id"]).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def judged(docs: DataFrame, own: list[str]) -> DataFrame:
+    """Columns ``own`` of every row of ``docs`` (doc_id, text and maybe more)
+    with n_shingles, its shingle set's set1 and set2, component_id and kept."""
     fields = {"n": "long", "set1": "long", "set2": "long", "bands": "array<long>"}
-    rows = materialise(map_texts(docs, ["doc_id"], fields, sketch_rows))
+    rows = materialise(map_texts(docs, own, fields, sketch_rows))
     same = ["set1", "set2", "n"]
     classes = materialise(rows.where("n > 0 and doc_id is not null").groupBy(*same).agg(
         F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("bands").alias("bands")))
@@ -228,13 +233,28 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     # only classes with copies or links can differ from their own rows' ids
     known = classes.select(*same, "id", "copies").join(final.where("id <> component_id").select("id", "component_id"), "id", "left") \
         .where("copies > 1 or component_id is not null").select(*same, F.coalesce("component_id", "id").alias("component_id"))
-    out = rows.select("doc_id", *same).join(known, same, "left")
+    out = rows.select(*own, *same).join(known, same, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+    return out.select(*own, F.col("n").alias("n_shingles"), "set1", "set2", component.alias("component_id"),
                       F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
 def deduplicate(documents: DataFrame) -> DataFrame:
-    """``documents`` with one document of each component left."""
-    gone = near_duplicates(documents).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")
+    """``documents`` with one document of each component left. Rows of one
+    doc_id are told apart by text; of those with one shingle set (without any:
+    one text) the row of the least hash is left."""
+    docs = of_columns(documents, "doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
+    found = judged(docs, ["doc_id", "text_hash"]).where("doc_id is not null")
+    wordless = F.when(F.col("n_shingles") == 0, F.col("text_hash")).alias("wordless")
+    same = found.groupBy("doc_id", "n_shingles", "set1", "set2", wordless).agg(
+        F.min("kept").alias("kept"), F.count("*").alias("n"), F.collect_set("text_hash").alias("hashes"), F.min("text_hash").alias("first"))
+    marks = materialise(same.where("not kept or n > 1").select(
+        F.col("doc_id").alias("_id"), F.explode("hashes").alias("_hash"), "kept", F.col("first").alias("_first")))
+    on = (documents["doc_id"] == marks["_id"]) & (F.xxhash64(documents["text"]) == marks["_hash"])
+    left = documents.join(marks.select("_id", "_hash"), on, "left_anti")
+    if marks.where("kept").isEmpty():
+        return left
+    cols = [documents[c] for c in documents.columns]
+    repeated = documents.join(marks.where("kept"), on).groupBy("_id", "_first").agg(
+        F.min_by(F.struct(*cols), F.xxhash64(*cols)).alias("row")).select("row.*")
+    return left.unionByName(repeated)

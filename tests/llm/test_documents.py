@@ -50,6 +50,15 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch):
     assert left.columns == documents(spark, table).columns
 
 
+def test_repeated_ids_lose_copies_but_no_unique_text(spark):
+    docs = [(1, "one two three four five six"), (1, "one two three four five six"), (1, "One  two three four five six"), (1, ""), (1, ""),
+            (2, "one two three four five six"), (2, "a text of its own that no other row has"), (2, " "), (2, ""), (3, "x y z"), (None, "n"), (None, "n")]
+    left = minhash.deduplicate(documents(spark, docs, clash=True))
+    got = Counter((r.doc_id, (r.text or "").lower().replace("  ", " ")) for r in left.collect())
+    assert got == {(1, docs[0][1]): 1, (1, ""): 1, (2, docs[6][1]): 1, (2, " "): 1, (2, ""): 1, (3, "x y z"): 1, (None, "n"): 2}
+    assert left.columns == documents(spark, docs, clash=True).columns
+
+
 def test_near_duplicates_edges(spark):
     got = {r.doc_id: r for r in minhash.near_duplicates(documents(spark, EDGES)).collect()}
     assert got[None].component_id is None and got[None].kept
