@@ -9,6 +9,7 @@ import re
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+CASED = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Names that operators use inside; as columns of the input they must not clash.
 CLASHES = ["n", "hash", "of", "of_hash", "id", "text_hash", "score", "spans", "key", "host", "rank", "length", "component_id", "kept", "label",
            "a", "b", "w", "salt", "base", "items", "rule", "start", "end"]
