@@ -2,26 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import materialise
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, by: str | None = None) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b: longs) but the
-    components' smallest, which names them. Each step pre-aggregates a node's
-    least neighbour, and the edges stay on the executors."""
-    known, e = None, edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    components' smallest, which names them. With ``by``, a column of
+    ``edges``, the graphs of its values are solved together and apart, and the
+    column is returned too. Each step pre-aggregates a node's least neighbour,
+    writes its edges, and counts them as they are written; it ends when a step
+    leaves them as they were."""
+    keys = [by] if by else []
+    on = [*keys, "a"]
+
+    def least_of(e: DataFrame) -> DataFrame:
+        return e.groupBy(*on).agg(F.min("b").alias("m"))
+    e = edges.where("a <> b").select(*keys, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    known, e = None, materialise(e.distinct())
     while True:
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e = materialise(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        both = e.unionByName(e.select(*keys, F.col("b").alias("a"), F.col("a").alias("b")))
+        least = least_of(both).select(*on, F.least("a", "m").alias("m"))
+        large = both.join(least, on).where("b > a").select(*keys, F.col("b").alias("a"), F.col("m").alias("b"))
+        least = least_of(large)
+        small = large.join(least, on).where("b <> m").select(*keys, F.col("b").alias("a"), F.col("m").alias("b"))
+        step = small.unionByName(least.select(*on, F.col("m").alias("b"))).distinct()
+        seen = Observation()
         # decimal: the sum of hashes must not overflow
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        e = materialise(step.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64(*on, "b").cast("decimal(38,0)")).alias("hashes")))
+        now = seen.get
         if now == known:
-            return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            return e.select(*keys, F.col("a").alias("node"), F.col("b").alias("component"))
         known = now

@@ -221,12 +221,14 @@ def judged(docs: DataFrame, own: list[str]) -> DataFrame:
     keys = classes.select("id", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.min("id").alias("center"), F.count("*").alias("n")).where("n > 1").select("key", "center")
     stars = materialise(keys.join(buckets, "key").where("id <> center").select("id", "center").distinct())
-    first = materialise(links_of_groups(materialise(star_groups(stars)), docs).distinct())
-    parts = components(first)
+    first = links_of_groups(materialise(star_groups(stars)), docs).withColumn("graph", F.lit("links"))
+    joined = stars.select(F.col("id").alias("a"), F.col("center").alias("b"), F.lit("buckets").alias("graph"))
+    found = components(first.unionByName(joined), by="graph")  # both graphs in the same steps
+    parts, families = (found.where(F.col("graph") == g).drop("graph") for g in ("links", "buckets"))
+    # every bucket's smallest id, and what lies with it in one
     nodes = stars.select("id").unionByName(stars.select(F.col("center").alias("id"))).distinct()
-    families = components(stars.select(F.col("id").alias("a"), F.col("center").alias("b")))
     members = labelled(labelled(nodes, families, "id", "family"), parts, "id", "part")
-    second = materialise(links_of_groups(materialise(block_groups(materialise(members))), docs).distinct())
+    second = links_of_groups(materialise(block_groups(materialise(members))), docs)
     ends = labelled(labelled(second, parts, "a", "x"), parts, "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b"))
     merged = components(ends)
     final = labelled(labelled(nodes, parts, "id", "part"), merged, "part", "component_id")
