@@ -68,3 +68,24 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once a row: an expression that is
     named inside a lambda would be computed again for every element."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def scan(values: Column, combine: Callable[[Column, Column], Column], zero: Column, block: int = 128) -> Column:
+    """For each place of the array ``values`` what ``combine`` makes of all
+    values before it (``zero`` at the first). Blocks keep this near linear: an
+    array that grows by one element a step would be copied at every step."""
+    def upto(x: Column, n: Column) -> Column:
+        return F.aggregate(F.slice(x, F.lit(1), n), zero, combine)
+
+    def cut(v: Column) -> Column:
+        count = F.ceil(F.size(v) / F.lit(block)).cast("int")
+        places = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda k: F.slice(v, k * block + 1, F.lit(block)))
+
+    def firsts(blocks: Column) -> Column:
+        return bind(F.transform(blocks, lambda b: F.aggregate(b, zero, combine)), lambda totals: F.transform(totals, lambda t, k: upto(totals, k)))
+
+    def inside(blocks: Column, before: Column) -> Column:
+        return F.flatten(F.transform(blocks, lambda b, k: bind(F.get(before, k), lambda first: F.transform(
+            b, lambda v, i: combine(first, upto(b, i))))))
+    return bind(values, lambda v: bind(cut(v), lambda blocks: bind(firsts(blocks), lambda before: inside(blocks, before))))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template svg".split())
@@ -15,7 +16,11 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
         "option": {"option"}}
 CONTAINER = frozenset("ul ol dl table select div article section body main aside nav header footer form blockquote".split())
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>|[^>]*>)|<[!?/][^>]*>", re.S)
-NAME = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+#: A comment that nothing ends, where no tag can end either.
+OPEN_COMMENT = re.compile(r"<!--.*()()()\Z", re.S)
+#: One attribute: its name, and its value if it has one. Values are consumed, so no name is looked for in them.
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+NAMING = frozenset(("class", "id", "role"))
 
 
 class Node:
@@ -34,7 +39,7 @@ class Node:
 
 
 def names_of(attributes: str) -> str:
-    found = " ".join(v.strip("\"'") for _, v in NAME.findall(attributes))
+    found = " ".join(v.strip("\"'") for name, v in ATTRIBUTE.findall(attributes) if name.lower() in NAMING)
     return " ".join(re.sub(r"[0-9]+", "", found.lower()).split())
 
 
@@ -42,9 +47,16 @@ def parse(text: str) -> Node:
     """The tree of ``text``; never fails. A tag cut off at the end is dropped,
     and what isn't a tag is text."""
     root = Node("#root")
-    stack, at = [root], 0
+    stack, at, last = [root], 0, text.rfind(">")
+    open_tags: Counter = Counter()  # so that a tag without an open element costs no look through the stack
+
+    def close(k: int) -> None:
+        for node in stack[k:]:
+            open_tags[node.tag] -= 1
+        del stack[k:]
+
     while True:
-        m = TAG.search(text, at)
+        m = (TAG if at <= last else OPEN_COMMENT).search(text, at)
         chunk = text[at:m.start() if m else len(text)]
         if m is None:
             cut = re.search(r"<[/!]?[a-zA-Z][^>]*\Z", chunk)
@@ -57,18 +69,20 @@ def parse(text: str) -> Node:
         if not tag:
             continue
         if m.group(1):  # an end tag closes the nearest open element of its name
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if open_tags[tag]:
+                k = len(stack) - 1
+                while stack[k].tag != tag:
+                    k -= 1
+                close(k)
             continue
         ends = {"p"} | ENDS.get(tag, set()) if tag in BLOCK and tag != "br" else set()
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in ends:
-                del stack[k:]
-                break
-            if stack[k].tag in CONTAINER:
-                break
+        if any(open_tags[t] for t in ends):
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k].tag in ends:
+                    close(k)
+                    break
+                if stack[k].tag in CONTAINER:
+                    break
         node = Node(tag, names_of(m.group(3)) if m.group(3) != ">" else "")
         stack[-1].parts.append(node)
         if tag in RAW:
@@ -76,6 +90,7 @@ def parse(text: str) -> Node:
             at = end.end() if end else len(text)
         elif tag not in VOID and not m.group(3).endswith("/>"):
             stack.append(node)
+            open_tags[tag] += 1
 
 
 def blocks(node: Node, drop) -> list[str]:

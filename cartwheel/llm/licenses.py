@@ -16,7 +16,7 @@ ignored.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.batches import map_texts
@@ -93,25 +93,16 @@ def spans(documents: DataFrame, templates: DataFrame) -> DataFrame:
     whole = v.where("phrase and size(places) = grams").select(
         "of", "of_hash", "label", "phrase", F.col("diagonal").alias("start"),
         (F.col("diagonal") + F.col("grams") + K - 1).alias("end"), F.lit(1.0).alias("coverage"))
-    # neighbouring diagonals of one text and template, in order, as groups
-    rows = F.array_sort(F.collect_list(F.struct("diagonal", "places")))  # a template's votes in one text
-
-    def join(acc: Column, r: Column) -> Column:
-        last = F.element_at(acc, -1)
-        near = (F.size(acc) > 0) & (r["diagonal"] - last["upto"] <= NEAR)
-        grown = F.struct(last["first"].alias("first"), r["diagonal"].alias("upto"),
-                         F.array_union(last["places"], r["places"]).alias("places"),
-                         F.least(last["start"], r["diagonal"] + F.array_min(r["places"])).alias("start"),
-                         F.greatest(last["end"], r["diagonal"] + F.array_max(r["places"]) + K).alias("end"))
-        new = F.struct(r["diagonal"].alias("first"), r["diagonal"].alias("upto"), r["places"].alias("places"),
-                       (r["diagonal"] + F.array_min(r["places"])).alias("start"),
-                       (r["diagonal"] + F.array_max(r["places"]) + K).alias("end"))
-        return F.when(near, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(grown))).otherwise(F.concat(acc, F.array(new)))
-    empty = F.array().cast("array<struct<first:int,upto:int,places:array<int>,start:int,end:int>>")
-    merged = (v.where("not phrase").groupBy("of", "of_hash", "template", "grams", "label", "phrase").agg(rows.alias("rows"))
-              .select("of", "of_hash", "label", "phrase", "grams", F.explode(F.aggregate("rows", empty, join)).alias("s")))
-    covered = merged.withColumn("coverage", F.size("s.places") / F.col("grams")).where(F.col("coverage") >= COVERED)
-    return whole.unionByName(covered.select("of", "of_hash", "label", "phrase", "s.start", "s.end", "coverage"))
+    # neighbouring diagonals of one text and template, in order: one that is further off begins a group
+    one = ["of", "of_hash", "template"]
+    order = Window.partitionBy(*one).orderBy("diagonal")
+    apart = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(order) > NEAR).cast("int"), F.lit(0))
+    dealt = v.where("not phrase").withColumn("apart", apart).withColumn("group", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = dealt.groupBy(*one, "group", "grams", "label", "phrase").agg(
+        F.array_distinct(F.flatten(F.collect_set("places"))).alias("places"),  # no more than the template has a diagonal
+        F.min(F.col("diagonal") + F.array_min("places")).alias("start"), F.max(F.col("diagonal") + F.array_max("places") + K).alias("end"))
+    covered = merged.withColumn("coverage", F.size("places") / F.col("grams")).where(F.col("coverage") >= COVERED)
+    return whole.unionByName(covered.select("of", "of_hash", "label", "phrase", "start", "end", "coverage"))
 
 
 def scan(documents: DataFrame, templates: DataFrame) -> DataFrame:

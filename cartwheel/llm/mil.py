@@ -4,9 +4,10 @@ A document is a bag of passages of PASSAGE_WORDS words that cover its whole
 text. Each passage is encoded as hashed word counts and character shares; a
 learned layer maps it to a hidden vector, gated attention (a tanh and a
 sigmoid branch) weighs the passages of a document, and the weighted vector is
-scored. All weights are learned from document labels alone, on at most
-MAX_TRAIN labelled documents of each class and at most TRAIN_PASSAGES evenly
-spread passages of each of these; scoring takes every passage.
+scored. All weights are learned from document labels alone, on every passage
+of at most MAX_TRAIN labelled documents of each class and at most about
+MAX_TRAIN_CHARS characters of them (whole documents, those of the least
+hashes); scoring takes every passage.
 
 Defined results: a null or empty text is one empty passage and gets a score;
 repeated rows get equal scores each; without labels of both classes the score
@@ -18,10 +19,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from cartwheel.llm.batches import map_texts
-from cartwheel.llm.common import of_columns
+from cartwheel.llm.common import materialise, of_columns
 from cartwheel.llm.stats import BANG, DIGIT, PUNCT, SYMBOLS, UPPER
 from cartwheel.llm.training import training_rows
 from cartwheel.llm.vectors import Words, windows
@@ -30,7 +32,8 @@ PASSAGE_WORDS = 128
 BUCKETS = 96
 SHARES = 10
 MAX_TRAIN = 3_000
-TRAIN_PASSAGES = 24
+#: Of each class: about 60,000 passages, 25 MB as vectors at the driver.
+MAX_TRAIN_CHARS = 40_000_000
 THRESHOLD = 0.3
 
 
@@ -118,7 +121,7 @@ def learn(x: np.ndarray, bag: np.ndarray, y: np.ndarray, hidden: int = 32, atten
          "gate": start(hidden, attention), "weigh": start(attention), "out": start(hidden),
          "out0": np.full(1, np.log(prior / (1 - prior)), np.float32)}
     m, v = ({k: np.zeros_like(a) for k, a in p.items()} for _ in range(2))
-    x = x * scale
+    x *= scale  # in place: the caller's vectors are not used again
     first = np.searchsorted(bag, np.arange(len(y)))
     size = np.bincount(bag, minlength=len(y))
     step = 0
@@ -137,19 +140,26 @@ def learn(x: np.ndarray, bag: np.ndarray, y: np.ndarray, hidden: int = 32, atten
     return Model(prior, scale, {k: a.astype(np.float32) for k, a in p.items()})
 
 
-def fit(documents: DataFrame, labels: DataFrame, bound: int = MAX_TRAIN) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, bound: int = MAX_TRAIN, chars: int = MAX_TRAIN_CHARS) -> Model:
     def work(encoded: list[bytes]) -> dict:
         x, bag = encode(encoded)
         ends = np.searchsorted(bag, np.arange(len(encoded) + 1))
-        picked = [np.unique(np.linspace(a, b - 1, min(b - a, TRAIN_PASSAGES)).astype(int)) for a, b in zip(ends, ends[1:])]
-        return {"passages": [x[k].ravel() for k in picked]}
-
-    rows = training_rows(of_columns(documents, "doc_id", "text"), labels, ["quality"], bound)
-    got = map_texts(rows, ["doc_id", "quality"], {"passages": "array<float>"}, work).toPandas().sort_values(["doc_id", "quality"])
-    bags = [np.asarray(v, np.float32).reshape(-1, BUCKETS + SHARES) for v in got["passages"]]
-    x = np.concatenate(bags) if bags else np.zeros((0, BUCKETS + SHARES), np.float32)
+        return {"passages": [x[a:b].ravel() for a, b in zip(ends, ends[1:])]}
+
+    rows = materialise(training_rows(of_columns(documents, "doc_id", "text"), labels, ["quality"], bound))
+    # few and short rows: the running length says where the sample of a class ends
+    so_far = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    sized = rows.select("doc_id", "quality", F.coalesce(F.length("text"), F.lit(0)).alias("size"))
+    taken = sized.withColumn("before", F.coalesce(F.sum("size").over(so_far), F.lit(0))).where(F.col("before") <= chars).select("doc_id").distinct()
+    rows = rows.join(F.broadcast(taken), "doc_id")  # at most 2 x bound ids
+    got = map_texts(rows, ["doc_id", "quality"], {"passages": "array<float>"}, work).toArrow().sort_by(
+        [("doc_id", "ascending"), ("quality", "ascending")])
     y = (got["quality"].to_numpy() > 0).astype(np.float32)
-    return learn(x, np.repeat(np.arange(len(bags)), [len(b) for b in bags]), y)
+    lists = got["passages"].combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy()) // (BUCKETS + SHARES)
+    x = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, BUCKETS + SHARES)
+    del got, lists
+    return learn(x, np.repeat(np.arange(len(y)), sizes), y)
 
 
 def score(documents: DataFrame, model: Model, keep: list[str], threshold: float = THRESHOLD,

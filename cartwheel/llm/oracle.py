@@ -1,7 +1,7 @@
 """DuckDB SQL of the text queries that SQL can express over whole tables.
 
 The others have none: a trained model (1, 3, 9), a tokenizer (5), a parser (8)
-or the method's own spans and labels (6, 7) are in their results.
+the method's own spans and labels (6, 7), or components of either sign (13) are in their results.
 """
 
 from __future__ import annotations
@@ -75,8 +75,87 @@ SELECT page_id, host, path, rule, CASE WHEN rule IS NULL AND on_list IS NOT NULL
   CASE WHEN rule IS NULL THEN on_list END AS listed
 FROM f"""
 
+MIXING = f"""
+WITH RECURSIVE d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
+  CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '-')), 1, 15) AS BIGINT) AS place FROM documents),
+s AS (SELECT source, size AS source_size, list_extract([5, 2, 1], CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)) AS weight,
+  CAST(sum(size) OVER () AS DOUBLE) AS words FROM (SELECT source, CAST(sum(size) AS BIGINT) AS size FROM d GROUP BY source) x),
+levels(level) AS (SELECT 1.5 * any_value(words) / sum(weight) FROM s
+  UNION SELECT (1.5 * any_value(words) - sum(CASE WHEN weight * level > 2 * source_size THEN 2 * source_size ELSE 0 END))
+    / sum(CASE WHEN weight * level > 2 * source_size THEN 0 ELSE weight END) FROM levels, s GROUP BY level),
+t AS (SELECT source, source_size, CASE WHEN weight * level > 2 * source_size THEN CAST(2 * source_size AS DOUBLE) ELSE weight * level END AS target
+  FROM s, (SELECT max(level) AS level FROM levels) x),
+b AS (SELECT *, CAST(floor(target / greatest(1, source_size)) AS BIGINT) AS whole FROM t),
+rounds(source, target, budget, after, stop, rest) AS (
+  SELECT source, target, CAST(NULL AS DOUBLE), CAST(NULL AS BIGINT), CAST(-1 AS BIGINT), target - whole * source_size FROM b
+  UNION ALL
+  SELECT x.source, x.target, x.rest, x.stop, min(CASE WHEN upto > x.rest THEN place END),
+    x.rest - coalesce(max(CASE WHEN upto <= x.rest THEN upto END), 0)
+  FROM (SELECT r.source, r.target, r.rest, r.stop, d.place,
+      sum(d.size) OVER (PARTITION BY r.source ORDER BY d.place) AS upto
+    FROM rounds r LEFT JOIN d ON d.source IS NOT DISTINCT FROM r.source AND d.size > 0 AND d.place > r.stop AND d.size <= r.rest
+    WHERE r.stop IS NOT NULL AND r.rest > 0.001 * r.target) x
+  GROUP BY x.source, x.target, x.rest, x.stop),
+again AS (SELECT DISTINCT d.doc_id, d.source, d.place FROM d JOIN rounds r ON d.source IS NOT DISTINCT FROM r.source
+  WHERE r.after IS NOT NULL AND d.place > r.after AND d.size <= r.budget AND (r.stop IS NULL OR d.place < r.stop))
+SELECT d.doc_id, d.size, b.source_size, b.target, d.size * (b.whole + CASE WHEN a.place IS NULL THEN 0 ELSE 1 END) AS taken
+FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
+LEFT JOIN again a ON a.doc_id IS NOT DISTINCT FROM d.doc_id AND a.source IS NOT DISTINCT FROM d.source AND a.place = d.place"""
+
+
+def _leaf(text: str) -> str:
+    fields = [f"coalesce(octet_length(encode({c})) || ':' || {c}, '-')" for c in (
+        "CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Recursive tables ``name`` (t, l, i, d, n): all nodes of the trees of ``leaves`` (t, i, d, n)."""
+    return f"""{name}(t, l, i, d, n) AS (SELECT t, 0, i, d, n FROM {leaves}
+  UNION ALL SELECT t, l + 1, i // 3, sha256(string_agg(d, '' ORDER BY i)), any_value((n + 2) // 3) FROM {name} WHERE n > 1 GROUP BY t, l, i // 3)"""
+
+
+def _siblings(name: str, nodes: str) -> str:
+    return f"""{name} AS (SELECT a.t, a.l, a.i, coalesce(string_agg(b.d, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before,
+  coalesce(string_agg(b.d, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS behind
+  FROM {nodes} a JOIN {nodes} b ON a.t = b.t AND a.l = b.l AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY a.t, a.l, a.i)"""
+
+
+def _walk(name: str, starts: str, siblings: str) -> str:
+    return f"""{name}(r, t, l, i, proof, d) AS (SELECT r, t, 0, i, proof, d FROM {starts}
+  UNION ALL SELECT w.r, w.t, w.l + 1, w.i // 3, w.proof || s.before || s.behind, sha256(s.before || w.d || s.behind)
+  FROM {name} w JOIN {siblings} s ON s.t = w.t AND s.l = w.l AND s.i = w.i)"""
+
+
+# SQL has no unsigned crc32: the bits of a byte, shifted eight times, are its table.
+MERKLE = f"""
+WITH RECURSIVE bits(b, k, v) AS (SELECT range, 0, CAST(range AS BIGINT) FROM range(256)
+  UNION ALL SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, CAST(3988292384 AS BIGINT)) ELSE v >> 1 END FROM bits WHERE k < 8),
+crc(id, s, c) AS (SELECT doc_id, CAST(doc_id AS VARCHAR), CAST(4294967295 AS BIGINT) FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL) x
+  UNION ALL SELECT id, substr(s, 2), xor(c >> 8, v) FROM crc JOIN bits ON k = 8 AND b = xor(c & 255, ascii(s)) WHERE s <> ''),
+d AS (SELECT doc_id, source, {_leaf("text")} AS leaf,
+  CASE WHEN c IS NOT NULL AND xor(c, CAST(4294967295 AS BIGINT)) % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS other
+  FROM documents LEFT JOIN crc ON id = doc_id AND s = ''),
+x AS (SELECT *, row_number() OVER () AS r, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS t,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM d),
+leaves AS (SELECT t, i, leaf AS d, n FROM x),
+{_tree("nodes", "leaves")},
+subs AS (SELECT CAST(-1 AS BIGINT) AS t, t AS i, d, count(*) OVER () AS n FROM nodes WHERE n = 1),
+{_tree("tops", "subs")},
+{_siblings("low", "nodes")},
+{_siblings("high", "tops")},
+starts AS (SELECT r, t, i, '' AS proof, other AS d FROM x),
+{_walk("way", "starts", "low")},
+ends AS (SELECT r, CAST(-1 AS BIGINT) AS t, t AS i, proof, d FROM way QUALIFY row_number() OVER (PARTITION BY r ORDER BY l DESC) = 1),
+{_walk("upper_way", "ends", "high")},
+done AS (SELECT r, proof, d FROM upper_way QUALIFY row_number() OVER (PARTITION BY r ORDER BY l DESC) = 1)
+SELECT x.doc_id, x.leaf, s.d AS subroot, root.d AS root, sha256(done.proof) AS proof_sha256, done.d AS folded_root, done.d = root.d AS verified
+FROM x JOIN done USING (r) JOIN subs s ON s.i = x.t, (SELECT d FROM tops WHERE n = 1) root"""
+
 ORACLE: dict[str, str] = {
     "op2_minhash": NEAR_DUPLICATES,
     "op4_decontamination": DECONTAMINATION,
     "op10_urls": URLS,
+    "op11_mixing": MIXING,
+    "op12_merkle": MERKLE,
 }

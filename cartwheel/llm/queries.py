@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, extraction, licenses, mil, minhash, packing, pii, quality_rules, toxicity, urls
+from cartwheel.llm import (decontaminate, extraction, licenses, merkle, mil, minhash, mixing, packing, pii, quality_rules, toxicity, urls,
+                           whitening)
 from cartwheel.llm.common import table
 from cartwheel.llm.training import held_out
 
@@ -70,6 +71,19 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "listed")
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return merkle.proofs(table(spark, sf_dir, "documents"), even, F.replace(F.col("text"), F.lit("\n")))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_minhash": op2_minhash,
@@ -81,4 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_extraction": op8_extraction,
     "op9_quality_rules": op9_quality_rules,
     "op10_urls": op10_urls,
+    "op11_mixing": op11_mixing,
+    "op12_merkle": op12_merkle,
+    "op13_whitening": op13_whitening,
 }
