@@ -59,7 +59,7 @@ def sums(fit: DataFrame, d: int) -> tuple[int, np.ndarray]:
             high, low = (x >> 32).sum(0), (x & 0xFFFFFFFF).sum(0)
             total = [t + (int(h) << 32) + int(v) for t, h, v in zip(total, high, low)]
         yield pa.RecordBatch.from_pydict({"n": [n] * d, "k": list(range(d)), "total": [str(t) for t in total]})
-    got = fit.select("x").mapInArrow(run, "n long, k int, total string").groupBy("k").agg(
+    got = fit.select("x").mapInArrow(run, "n long, k long, total string").groupBy("k").agg(
         F.sum("n").alias("n"), F.sum(F.col("total").cast("decimal(38,0)")).alias("total")).orderBy("k").collect()  # one row a dimension
     return (got[0]["n"], np.array([int(r["total"]) for r in got], dtype=object)) if got else (0, np.zeros(0, object))
 
@@ -146,7 +146,7 @@ def identity_error(fit: DataFrame, model: Model) -> float:
             w = model.project(centred(matrix(batch.column("x"), d), model.n, model.total))
             square, once = square + w.T @ w, once + w.sum(0)
         yield pa.RecordBatch.from_pydict({"place": list(range(k * k + k)), "part": [*square.ravel(), *once]})
-    got = fit.select("x").mapInArrow(run, "place int, part double").groupBy("place").agg(F.sum("part").alias("part")).collect()  # k * (k + 1) rows
+    got = fit.select("x").mapInArrow(run, "place long, part double").groupBy("place").agg(F.sum("part").alias("part")).collect()  # k * (k + 1) rows
     flat = np.zeros(k * k + k)
     for row in got:
         flat[row["place"]] = row["part"]
