@@ -84,3 +84,16 @@ def enrich_with_products(events: DataFrame, products: DataFrame, guard_col: str
     right = right.withColumnRenamed("product_id", "_catalogue_id")
     return (keyed.join(right, F.col("_join_key") == F.col("_catalogue_id"), "inner")
             .drop("_join_key", "_catalogue_id"))
+
+
+def unknown_products(purchases: DataFrame, products: DataFrame) -> DataFrame:
+    """What :func:`enrich_with_products` drops: ``product_id, num_purchases,
+    num_users, first_seen, last_seen`` of purchases whose product is null or
+    isn't in the catalogue. Purchases are summed by product before the
+    anti-join, so a hot product is one row by then."""
+    users = purchases.groupBy("product_id", "user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("time_generated").alias("first"), F.max("time_generated").alias("last"))
+    sold = users.groupBy("product_id").agg(
+        F.sum("n").alias("num_purchases"), F.count("user_id").alias("num_users"),
+        F.min("first").alias("first_seen"), F.max("last").alias("last_seen"))
+    return sold.join(products.select("product_id"), "product_id", "left_anti")

@@ -1,4 +1,5 @@
-"""Storage upkeep (X4 compaction and layout, X5 schema evolution)."""
+"""Storage upkeep (X4 compaction and layout, X5 schema evolution) and a look
+into checkpoints (K12)."""
 
 from __future__ import annotations
 
@@ -51,3 +52,21 @@ def widen(schema: StructType, *fields) -> StructType:
     for f in fields:
         out = out.add(f.name, f.dataType, True)
     return out
+
+
+def open_gold_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The windows that a gold job (:func:`~cartwheel.operators.gold.gold_averages`)
+    holds in the state of its last batch: those that the watermark hasn't
+    closed, with their sums so far. The checkpoint is read as a table; the job
+    needn't run."""
+    state = spark.read.format("statestore").load(checkpoint)
+    # the value has the aggregates' buffers in their order, partly under one name
+    sums = F.col("value").cast("struct<amount:double,seconds:bigint,sessions:bigint>")
+    return state.select(F.col("key.window.start").alias("window_start"), sums.alias("v")).select(
+        "window_start", F.round("v.amount", 2).alias("amount_so_far"), F.col("v.seconds").alias("seconds_so_far"),
+        F.col("v.sessions").alias("sessions_so_far"))
+
+
+def state_operators(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Operators, partitions and batches that a checkpoint's state has."""
+    return spark.read.format("state-metadata").load(checkpoint)

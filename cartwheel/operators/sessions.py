@@ -56,6 +56,17 @@ class SessionAgg:
             return F.collect_set(self.expr).alias(self.name)
         return self.single()
 
+    def combine(self) -> Column:
+        """Session value from the partial values of its slices."""
+        c = F.col(self.name)
+        return {
+            "sum": lambda: F.sum(c),
+            "count": lambda: F.sum(c),
+            "min": lambda: F.min(c),
+            "max": lambda: F.max(c),
+            "set": lambda: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))),
+        }[self.how]().alias(self.name)
+
     def merge(self, first_row: Column) -> Column:
         """Combine slice partials into the session value. Slice rows are
         repeated once per item of an exploded set (see ``_batch_sessions``);
@@ -123,6 +134,34 @@ def _batch_sessions(df: DataFrame, key: str, time_col: str, gap_us: int,
     )
 
 
+def stream_slices(df: DataFrame, key: str, time_col: str, gap_s: float, aggs: list[SessionAgg]) -> DataFrame:
+    """First hop of streaming sessions without a hot task: ``key,
+    slice_start, first, last, <partial aggs>`` per slice of the gap's width.
+
+    A tumbling-window aggregate, so the rows of a user combine in each input
+    partition, and the state of a user and slice is one row however many
+    events it has. A slice is emitted once the watermark passes its end."""
+    t = F.col(time_col)
+    return (df.where(F.col(key).isNotNull()).groupBy(F.col(key), F.window(t, interval(gap_s)))
+            .agg(F.min(t).alias("first"), F.max(t).alias("last"), *[a.partial() for a in aggs])
+            .select(key, F.col("window.start").alias("slice_start"), "first", "last", *[a.name for a in aggs]))
+
+
+def sessions_of_slices(slices: DataFrame, key: str, gap_s: float, aggs: list[SessionAgg]) -> DataFrame:
+    """Second hop: sessions over the slice rows. A slice lasts from its first
+    event to ``gap`` after its last, as a session window with a gap of its own;
+    windows that meet are one session, as their events would be.
+
+    Rows of a slice arrive at most a slice behind the latest, so a watermark of
+    the gap on ``first`` loses none of them."""
+    held = (F.unix_micros("last") - F.unix_micros("first") + F.lit(int(gap_s * _US))).cast("string")
+    return (slices.withWatermark("first", interval(gap_s))
+            .groupBy(F.col(key), F.session_window("first", F.concat(held, F.lit(" microseconds"))))
+            .agg(*[a.combine() for a in aggs])
+            .select(key, F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"),
+                    *[a.name for a in aggs]))
+
+
 def session_carts(events: DataFrame, gap_s: float, time_col: str = "time_generated",
                   slice_s: float | None = None) -> DataFrame:
     """A1: per user session, the set of added-to-cart products (sorted) and
@@ -152,5 +191,8 @@ def cart_messages(abandoned: DataFrame) -> DataFrame:
 def purchase_sessions(enriched: DataFrame, gap_s: float, time_col: str = "time_generated",
                       slice_s: float | None = None) -> DataFrame:
     """A3: per user purchase session, the summed product cost."""
-    return sessionize(enriched, "user_id", time_col, gap_s,
-                      [SessionAgg("total_amount", F.col("cost"), "sum")], slice_s)
+    return sessionize(enriched, "user_id", time_col, gap_s, purchase_aggs(), slice_s)
+
+
+def purchase_aggs() -> list[SessionAgg]:
+    return [SessionAgg("total_amount", F.col("cost"), "sum")]

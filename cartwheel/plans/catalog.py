@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwheel import schemas
-from cartwheel.operators import decode, events, funnel, gold, maintenance, serving, sessions, summaries
+from cartwheel.operators import decode, events, funnel, gold, maintenance, serving, sessions, snapshots, summaries
 from cartwheel.params import HARNESS, Params
 from cartwheel.plans import faults
 from cartwheel.session import run_root
@@ -262,6 +262,27 @@ def _compacted_events(c: Chain) -> DataFrame:
     return whole.select(*schemas.EVENT_FIELDS, F.col("event_date").cast("date"))
 
 
+def _upserted_carts(c: Chain) -> DataFrame:
+    """The latest cart of each user in a table that four upserts, a
+    stretch of time each, have made."""
+    carts = c.abandoned().select("user_id", "product_ids", "ts").persist()
+    try:
+        low, high = carts.agg(F.min("ts"), F.max("ts")).first()
+        schema = T.StructType([f for f in schemas.CART_MESSAGE.fields])
+        latest = snapshots.UpsertTable(c.spark, c.written("upserted"), schema, "user_id", "ts", buckets=16)
+        for k in range(4 if low is not None else 0):
+            share = F.floor((F.unix_micros("ts") - F.unix_micros(F.lit(low))) * 4 / (F.unix_micros(F.lit(high)) - F.unix_micros(F.lit(low)) + 1))
+            latest.upsert(carts.where(share == 3 - k))  # the latest first: an older cart must not replace a newer one
+        return latest.read().select("user_id", "product_ids", "ts")
+    finally:
+        carts.unpersist()
+
+
+def _unknown_products(c: Chain) -> DataFrame:
+    """Purchases that the catalogue join leaves out, by product."""
+    return events.unknown_products(c.purchases(), c.products().where(F.col("product_id") % 7 != 0))
+
+
 def _products_csv(c: Chain) -> DataFrame:
     """The catalogue written as CSV, read from there into Parquet."""
     path = c.written("products")
@@ -302,4 +323,6 @@ QUERIES: dict[str, Builder] = {
     "evolved_events": _q(_evolved_events),
     "compacted_events": _q(_compacted_events),
     "products_csv": _q(_products_csv),
+    "upserted_carts": _q(_upserted_carts),
+    "unknown_products": _q(_unknown_products),
 }

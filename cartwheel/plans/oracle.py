@@ -240,8 +240,53 @@ FROM msg""")
     q["stream_abandoned_carts"] = q["abandoned_carts"] + f"\nWHERE ts <= {cart_wm}"
     q["stream_purchase_sessions"] = _with(c, ["ev", "pr", "enr", "ps"], f"""SELECT user_id, session_start,
   session_end, round(total_amount, 2) AS total_amount FROM ps WHERE session_end <= {pur_wm}""")
+    q["stream_restarted_sessions"] = q["stream_purchase_sessions"]
+    # Sliced sessions: slices come out once the watermark passes their end, and
+    # the second watermark is a slice behind the latest first event of these.
+    gap_us = int(p.session_gap_s) * 1_000_000
+    q["stream_sliced_sessions"] = _with(c, ["ev", "pr", "enr", "ps"], f""", sl AS (
+  SELECT user_id, epoch_us(time_generated) // {gap_us} AS slice, min(time_generated) AS first FROM enr
+  WHERE user_id IS NOT NULL AND time_generated IS NOT NULL GROUP BY 1, 2),
+closed AS (SELECT max(first) AS latest FROM sl WHERE make_timestamp((slice + 1) * {gap_us}) <= {pur_wm})
+SELECT user_id, session_start, session_end, round(total_amount, 2) AS total_amount FROM ps
+WHERE session_end <= (SELECT latest FROM closed) - INTERVAL {int(p.session_gap_s)} SECOND""")
+    # Batches of the replay: quarters of the events' time span.
+    c["bat"] = """bat AS (
+  SELECT ev.*, CAST((SELECT count(*) FROM (VALUES (1), (2), (3)) s(k)
+    WHERE epoch_us(time_generated) >= lo + k * round_even((hi - lo) / 4.0, 0)) AS BIGINT) AS batch_id
+  FROM ev, (SELECT epoch_us(min(time_generated)) AS lo, epoch_us(max(time_generated)) AS hi FROM ev) b)"""
+    q["stream_late_events"] = _with(c, ["ev", "bat"], f"""SELECT event_id, user_id, event_type, time_generated
+FROM bat WHERE event_id % 10 = 3 AND time_generated + INTERVAL {int(p.session_gap_s)} SECOND <=
+  (SELECT max(time_generated) FROM bat WHERE event_id % 10 <> 3 AND batch_id < 3) - INTERVAL {int(p.cart_watermark_s)} SECOND""")
+    stage = """CASE event_type WHEN 'search' THEN 1 WHEN 'page_view' THEN 1 WHEN 'product_view' THEN 2
+      WHEN 'add_to_cart' THEN 3 WHEN 'purchase' THEN 4 ELSE 0 END"""
+    q["stream_funnel_batch_metrics"] = _with(c, ["ev", "bat"], f""", seen AS (
+  SELECT DISTINCT batch_id, user_id FROM bat WHERE user_id IS NOT NULL),
+st AS (SELECT s.batch_id, s.user_id, max({stage}) AS stage
+  FROM seen s JOIN bat b ON b.user_id = s.user_id AND b.batch_id <= s.batch_id GROUP BY 1, 2)
+SELECT batch_id, funnel_stage, user_count, {rates}
+FROM (SELECT batch_id, CAST(f.funnel_stage AS BIGINT) AS funnel_stage,
+    count(*) FILTER (WHERE stage >= f.funnel_stage) AS user_count,
+    count(*) FILTER (WHERE stage > f.funnel_stage AND f.funnel_stage < 4) AS nxt
+  FROM st, (VALUES (1), (2), (3), (4)) f(funnel_stage) GROUP BY 1, 2) t""")
+    q["upserted_carts"] = _with(c, ["ev", "carts", "ab"], """SELECT user_id, arg_max(product_ids, ts) AS product_ids, max(ts) AS ts
+FROM ab GROUP BY user_id""")
+    q["unknown_products"] = _with(c, ["ev", "pr"], """SELECT product_id, count(*) AS num_purchases, count(DISTINCT user_id) AS num_users,
+  min(time_generated) AS first_seen, max(time_generated) AS last_seen
+FROM ev WHERE event_type = 'purchase' AND (product_id IS NULL OR product_id NOT IN (SELECT product_id FROM pr WHERE product_id % 7 <> 0))
+GROUP BY product_id""")
     win_s = int(p.gold_window_s)
     win_us = win_s * 1_000_000
+    q["stream_open_windows"] = _with(c, ["ev", "pr", "enr", "ps"], f""", s AS (
+  SELECT * FROM ps WHERE session_end <= {pur_wm}),
+g AS (
+  SELECT make_timestamp(CAST(floor(epoch_us(session_start) / {win_us}) * {win_us} AS BIGINT)) AS window_start,
+    round(sum(total_amount), 2) AS amount_so_far,
+    CAST(sum(epoch_us(session_end) // 1000000 - epoch_us(session_start) // 1000000) AS BIGINT) AS seconds_so_far,
+    count(*) AS sessions_so_far
+  FROM s GROUP BY 1)
+SELECT * FROM g WHERE window_start + INTERVAL {win_s} SECOND
+  > (SELECT max(session_start) FROM s) - INTERVAL {int(p.gold_watermark_s)} SECOND""")
     q["stream_gold_averages"] = _with(c, ["ev", "pr", "enr", "ps"], f""", s AS (
   SELECT * FROM ps WHERE session_end <= {pur_wm}),
 g AS (
@@ -274,6 +319,7 @@ SELECT * FROM g WHERE {closed}""")
     q["stream_dead_letters"] = _with(c, ["ev", "msg"], """SELECT r AS error_reason, raw_value, time_generated AS received_at
 FROM msg WHERE r IS NOT NULL""")
     q["stream_product_summary"] = q["product_summary"]
+    q["stream_snapshot_categories"] = q["category_summary"]
     q["stream_category_summary"] = q["category_summary"]
     q["stream_funnel_user_stage"] = q["funnel_user_stage"]
     q["stream_funnel_user_stage_native"] = q["stream_funnel_user_stage"]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel import schemas
-from cartwheel.operators import funnel, summaries
+from cartwheel.operators import funnel, maintenance, snapshots, summaries
 from cartwheel.params import HARNESS
 from cartwheel.plans import faults
 from cartwheel.plans.catalog import present
@@ -69,13 +69,20 @@ def _finish(*queries) -> None:
         q.awaitTermination()  # availableNow: ends by itself, and raises what ended it
 
 
-#: Replays already written, by application and table folder.
-_replays: dict[tuple[str, str], tuple[str, int]] = {}
+#: Replays already written, by application, table folder and the files in it.
+_replays: dict[tuple, tuple[str, int]] = {}
+
+
+def _files(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, size and time of the events table's files: a table that is written
+    anew in one session is replayed anew."""
+    meta = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    return tuple(sorted(map(tuple, meta.distinct().collect())))  # one row a file
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream in the order of event time."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, _files(spark, sf_dir))
     if key not in _replays:
         path = _run_dir(spark, "replay")
         _replays[key] = (path, harness.write_replay(spark, sf_dir, path, BATCHES))
@@ -110,6 +117,67 @@ def stream_purchase_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(df.withColumn("total_amount", F.round("total_amount", 2)))
 
 
+def stream_sliced_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 by slices: partial sums per user and slice, then sessions of the
+    slices, chained through storage. No task holds a user's events."""
+    run = _run_dir(spark, "sliced")
+    _finish(jobs.start_purchase_slices(spark, _clicks(spark, sf_dir), harness.products(spark, sf_dir), ParquetSink(f"{run}/slices"),
+                                       f"{run}/ckpt/slices", HARNESS, NOW, name=_qname(run, "slices")))
+    _finish(jobs.start_sliced_sessions(spark, f"{run}/slices", ParquetSink(f"{run}/silver"), f"{run}/ckpt/silver", HARNESS, NOW,
+                                       name=_qname(run, "sliced")))
+    df = spark.read.schema(schemas.PURCHASE_SESSION).parquet(f"{run}/silver")
+    return present(df.select("user_id", "session_start", "session_end", F.round("total_amount", 2).alias("total_amount")))
+
+
+def stream_restarted_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 stopped half-way and started again from its checkpoint (K12): half
+    of the events have come at the first start, all at the second."""
+    run = _run_dir(spark, "restarted")
+    for only in (range(BATCHES // 2), range(BATCHES // 2, BATCHES)):
+        files = harness.write_replay(spark, sf_dir, f"{run}/clicks", BATCHES, only)
+        clicks = harness.stream_clickstream(harness.stream_replay(spark, f"{run}/clicks", files))
+        _finish(jobs.start_purchase_sessions(spark, clicks, harness.products(spark, sf_dir), ParquetSink(f"{run}/silver"), f"{run}/ckpt",
+                                             HARNESS, NOW, name=_qname(run, "restarted")))
+    df = spark.read.schema(schemas.PURCHASE_SESSION).parquet(f"{run}/silver")
+    return present(df.select("user_id", "session_start", "session_end", F.round("total_amount", 2).alias("total_amount")))
+
+
+def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold windows that the job holds in its state when it ends,
+    read from the checkpoint by the state store's data source."""
+    run = _run_dir(spark, "open")
+    silver = _silver(spark, sf_dir, run)
+    _finish(*jobs.start_user_gold(spark, silver, ParquetSink(f"{run}/out"), None, f"{run}/ckpt/gold", HARNESS, NOW, name=_qname(run, "open")))
+    return present(maintenance.open_gold_windows(spark, f"{run}/ckpt/gold/averages"))
+
+
+def _late_rows(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
+    """A replay in which every tenth event comes with the last batch."""
+    files = harness.write_replay(spark, sf_dir, f"{run}/clicks", BATCHES, late=F.col("event_id") % 10 == 3)
+    return harness.stream_clickstream(harness.stream_replay(spark, f"{run}/clicks", files))
+
+
+def stream_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: the events that the cart job (P1) drops as too late."""
+    run = _run_dir(spark, "late")
+    _finish(jobs.start_late_events(spark, _late_rows(spark, sf_dir, run), f"{run}/late", f"{run}/clock", HARNESS.cart_watermark_s,
+                                   HARNESS.session_gap_s, f"{run}/ckpt", NOW, name=_qname(run, "late")))
+    return present(spark.read.parquet(f"{run}/late").select("event_id", "user_id", "event_type", "time_generated"))
+
+
+def stream_snapshot_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 with snapshots (X3): totals over the product and category tables of
+    all published batches."""
+    run = _run_dir(spark, "snapshots")
+    _finish(jobs.start_product_snapshots(spark, _clicks(spark, sf_dir), harness.products(spark, sf_dir), f"{run}/tables", f"{run}/ckpt",
+                                         HARNESS, NOW, name=_qname(run, "snapshots")))
+    product = snapshots.read_published(spark, f"{run}/tables", "product", schemas.PRODUCT_SUMMARY)
+    category = snapshots.read_published(spark, f"{run}/tables", "category", schemas.CATEGORY_SUMMARY)
+    counts = summaries.summary_totals(product)[1].select("category", "num_products")
+    sums = category.groupBy("category").agg(F.sum("num_purchases").alias("num_purchases"), F.round(F.sum("revenue"), 2).alias("revenue"))
+    return present(counts.join(sums, "category"))
+
+
 def _gold(spark: SparkSession, sf_dir: str, which: str, schema) -> DataFrame:
     run = _run_dir(spark, which)
     silver = _silver(spark, sf_dir, run)
@@ -154,14 +222,25 @@ def stream_category_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(totals.join(written, "category"))
 
 
-def _stages(spark: SparkSession, sf_dir: str, stateful: bool) -> DataFrame:
-    """The last state of each user, from the updates of all micro-batches: the
-    highest stage and the latest time."""
+def _funnel(spark: SparkSession, sf_dir: str, stateful: bool) -> str:
+    """The folder of a funnel run over the whole table. State isn't given up
+    within it, so a user's last update is about all of the user's events."""
     run = _run_dir(spark, "funnel")
-    _finish(jobs.start_funnel(spark, _clicks(spark, sf_dir), f"{run}/metrics", f"{run}/ckpt", HARNESS, NOW,
+    kept = HARNESS.with_(funnel_timeout_s=10 * 366 * 24 * 3600)
+    _finish(jobs.start_funnel(spark, _clicks(spark, sf_dir), f"{run}/metrics", f"{run}/ckpt", kept, NOW,
                               stages_root=f"{run}/stages", stateful=stateful, name=_qname(run, "funnel")))
-    return spark.read.parquet(f"{run}/stages").groupBy("user_id").agg(
-        F.max("highest_funnel_stage").alias("highest_funnel_stage"), F.max("event_time").alias("event_time"))
+    return run
+
+
+def last_updates(updates: DataFrame) -> DataFrame:
+    """The state of each user as its last micro-batch wrote it. Earlier updates
+    don't count, so a job that loses state between batches shows it."""
+    last = F.max_by(F.struct("highest_funnel_stage", "event_time"), "batch_id").alias("last")
+    return updates.groupBy("user_id").agg(last).select("user_id", "last.highest_funnel_stage", "last.event_time")
+
+
+def _stages(spark: SparkSession, sf_dir: str, stateful: bool) -> DataFrame:
+    return last_updates(spark.read.parquet(f"{_funnel(spark, sf_dir, stateful)}/stages"))
 
 
 def stream_funnel_user_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,6 +259,13 @@ def stream_funnel_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(funnel.funnel_metrics(funnel.stage_counts(_stages(spark, sf_dir, stateful=True))))
 
 
+def stream_funnel_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics that the job wrote with each micro-batch, of the users
+    that had events in it."""
+    written = spark.read.parquet(f"{_funnel(spark, sf_dir, stateful=True)}/metrics")
+    return present(written.select(F.col("batch_id").cast("bigint"), "funnel_stage", "user_count", "dropoff_rate_pct", "conversion_rate_pct"))
+
+
 def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X1 as a stream: damaged messages with reason, text and receive time."""
     run = _run_dir(spark, "dlq")
@@ -190,7 +276,8 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STREAM_QUERIES = {f.__name__: _sized(f) for f in (
-    stream_abandoned_carts, stream_purchase_sessions, stream_gold_averages, stream_gold_spend_distribution,
+    stream_abandoned_carts, stream_purchase_sessions, stream_sliced_sessions, stream_restarted_sessions, stream_open_windows,
+    stream_late_events, stream_snapshot_categories, stream_funnel_batch_metrics, stream_gold_averages, stream_gold_spend_distribution,
     stream_product_summary, stream_category_summary, stream_funnel_user_stage, stream_funnel_user_stage_native,
     stream_funnel_metrics, stream_dead_letters)}
 

@@ -32,6 +32,29 @@ PURCHASE_SESSION = T.StructType([
     T.StructField("total_amount", T.DoubleType()),
 ])
 
+PURCHASE_SLICE = T.StructType([
+    T.StructField("user_id", T.LongType()),
+    T.StructField("slice_start", T.TimestampType()),
+    T.StructField("first", T.TimestampType()),
+    T.StructField("last", T.TimestampType()),
+    T.StructField("total_amount", T.DoubleType()),
+])
+
+PRODUCT_SUMMARY = T.StructType([
+    T.StructField("product_id", T.LongType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("category", T.StringType()),
+    T.StructField("num_purchases", T.LongType()),
+    T.StructField("revenue", T.DoubleType()),
+])
+
+CATEGORY_SUMMARY = T.StructType([
+    T.StructField("category", T.StringType()),
+    T.StructField("num_products", T.LongType()),
+    T.StructField("num_purchases", T.LongType()),
+    T.StructField("revenue", T.DoubleType()),
+])
+
 GOLD_AVERAGES = T.StructType([
     T.StructField("window_start", T.TimestampType()),
     T.StructField("total_amount", T.LongType()),
@@ -58,6 +81,11 @@ FUNNEL_STATE = T.StructType([
     T.StructField("event_time", T.TimestampType()),
 ])
 
+BATCH_CLOCK = T.StructType([
+    T.StructField("latest", T.TimestampType()),
+    T.StructField("batch_id", T.LongType()),
+])
+
 CART_MESSAGE = T.StructType([
     T.StructField("user_id", T.LongType()),
     T.StructField("product_ids", T.ArrayType(T.LongType())),

@@ -93,21 +93,27 @@ def map_events(raw: DataFrame) -> DataFrame:
     return raw.select(*_event_columns())
 
 
-def write_replay(spark: SparkSession, sf_dir: str, path: str, batches: int) -> int:
+def write_replay(spark: SparkSession, sf_dir: str, path: str, batches: int, only: range | None = None, late: Column | None = None) -> int:
     """The events table as files in the order of event time, for a stream
     that reads them a batch at a time: ``batches`` stretches of time, written
     one after the other, each of as many files as are returned. Rows without
-    a time come with the first."""
+    a time come with the first, rows for which ``late`` holds with the last.
+    ``only`` writes some of the batches, the others as if they were still to come."""
     raw = _table(spark, sf_dir, "events")
     files = max(1, -(-len(raw.inputFiles()) // batches))
     lo, hi = raw.agg(F.min("ts"), F.max("ts")).first()
     step = (hi - lo) / batches if lo is not None else None
     for k in range(batches if lo is not None and hi > lo else 1):
+        if only is not None and k not in only:
+            continue
         part = raw
         if lo is not None and hi > lo:
             after = F.lit(True) if k == 0 else F.col("ts") >= F.lit(str(lo + k * step)).cast("timestamp_ntz")
             before = F.lit(True) if k == batches - 1 else F.col("ts") < F.lit(str(lo + (k + 1) * step)).cast("timestamp_ntz")
-            part = raw.where((after & before) | (F.col("ts").isNull() & F.lit(k == 0)))
+            now = (after & before) | (F.col("ts").isNull() & F.lit(k == 0))
+            if late is not None:
+                now = F.when(late, F.lit(k == batches - 1)).otherwise(now)
+            part = raw.where(now)
         part = part.coalesce(1) if files == 1 else part.repartition(files)
         part.write.mode("append").parquet(path)
     return files

@@ -17,10 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cartwheel import schemas
 from cartwheel.functions.columns import funnel_stage
-from cartwheel.operators import decode, events, funnel, gold, sessions, summaries
+from cartwheel.operators import decode, events, funnel, gold, sessions, snapshots, summaries
 from cartwheel.params import REFERENCE, Params, interval
 from cartwheel.session import checkpoint_path
-from cartwheel.sources.files import stream_parquet
+from cartwheel.sources.files import read_optional_parquet, stream_parquet
 from cartwheel.streaming.funnel_state import funnel_state
 from cartwheel.streaming.sinks import (
     ConsoleSink, KafkaSink, ParquetSink, Sink, Trigger, fan_out, start_foreach_batch, start_stream,
@@ -102,6 +102,68 @@ def start_purchase_sessions(spark: SparkSession, envelope: DataFrame, products:
     return start_stream(out, silver, _ckpt(spark, checkpoint, name), trigger, name=name)
 
 
+def start_purchase_slices(spark: SparkSession, envelope: DataFrame, products: DataFrame, slices: ParquetSink,
+                          checkpoint: str | None = None, params: Params = REFERENCE, trigger: Trigger = Trigger(),
+                          name: str = "purchase_slices") -> StreamingQuery:
+    """P2 without a hot task, first hop: purchase sums per user and slice of
+    the session gap, into a parquet file sink."""
+    enr = enriched_stream(envelope, products, params, params.purchase_watermark_s, name)
+    out = sessions.stream_slices(enr, "user_id", "time_generated", params.session_gap_s, sessions.purchase_aggs())
+    return start_stream(out, slices, _ckpt(spark, checkpoint, name), trigger, name=name)
+
+
+def start_sliced_sessions(spark: SparkSession, slices_path: str, silver: ParquetSink, checkpoint: str | None = None,
+                          params: Params = REFERENCE, trigger: Trigger = Trigger(), max_files_per_trigger: int | None = None,
+                          name: str = "sliced_sessions") -> StreamingQuery:
+    """P2 without a hot task, second hop: the same sessions as
+    :func:`start_purchase_sessions`, from the slices of the first."""
+    slices = stream_parquet(spark, schemas.PURCHASE_SLICE, slices_path, max_files_per_trigger)
+    out = sessions.sessions_of_slices(slices, "user_id", params.session_gap_s, sessions.purchase_aggs())
+    return start_stream(out.select(*schemas.PURCHASE_SESSION.fieldNames()), silver, _ckpt(spark, checkpoint, name), trigger, name=name)
+
+
+def start_late_events(spark: SparkSession, envelope: DataFrame, late_root: str, clock_root: str, watermark_s: float, held_s: float,
+                      checkpoint: str | None = None, trigger: Trigger = Trigger(), name: str = "late_events") -> StreamingQuery:
+    """T5: the events that a watermarked operator drops unseen, to
+    ``late_root/batch_id=N``.
+
+    Run it on the source of the job that it stands beside, with that job's
+    watermark. The watermark of a batch is the latest time of the batches
+    before it less ``watermark_s``; an event is late where the window that it
+    would open, ``held_s`` long, ends no later than that. Each batch's latest
+    time is written to ``clock_root``, and only earlier batches' are read, so a
+    replayed batch finds the same late events."""
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        own = batch_df.sparkSession
+        clock = read_optional_parquet(own, schemas.BATCH_CLOCK, clock_root)
+        before = None if clock is None else clock.where(F.col("batch_id") < batch_id).agg(F.max("latest").alias("t")).first()["t"]
+        batch_df.persist()
+        try:
+            if before is not None:
+                passed = F.lit(before) - F.expr(f"INTERVAL '{watermark_s}' SECOND") - F.expr(f"INTERVAL '{held_s}' SECOND")
+                write_batch(batch_df.where(F.col("time_generated") <= passed), late_root, batch_id)
+            write_batch(batch_df.agg(F.max("time_generated").alias("latest")), clock_root, batch_id)
+        finally:
+            batch_df.unpersist()
+
+    return start_foreach_batch(decoded(envelope, name), write, _ckpt(spark, checkpoint, name), trigger, name=name)
+
+
+def start_product_snapshots(spark: SparkSession, envelope: DataFrame, products: DataFrame, root: str,
+                            checkpoint: str | None = None, params: Params = REFERENCE, trigger: Trigger = Trigger(),
+                            name: str = "product_snapshots") -> StreamingQuery:
+    """P3 with both tables of a batch visible together or not at all (X3);
+    read them with :func:`~cartwheel.operators.snapshots.read_published`."""
+    wm = params.product_watermark_s if params.dedup else None
+    pur = purchase_stream(envelope, params, wm, name)
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        level = summaries.product_summary(batch_df, products)
+        snapshots.publish(level, root, batch_id, {"product": lambda p: p, "category": summaries.category_summary})
+
+    return start_foreach_batch(pur, write, _ckpt(spark, checkpoint, name), trigger, name=name)
+
+
 def start_product_summary(spark: SparkSession, envelope: DataFrame, products: DataFrame,
                           product_root: str, category_root: str,
                           checkpoint: str | None = None, params: Params = REFERENCE,
@@ -209,6 +271,7 @@ def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:
 
 __all__ = [
     "start_cart_abandonment", "start_purchase_sessions", "start_product_summary",
+    "start_purchase_slices", "start_sliced_sessions", "start_late_events", "start_product_snapshots",
     "start_funnel", "start_user_gold", "start_dead_letters", "await_any", "purchase_stream", "enriched_stream",
     "write_batch",
 ]
