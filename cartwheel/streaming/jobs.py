@@ -123,25 +123,33 @@ def start_sliced_sessions(spark: SparkSession, slices_path: str, silver: Parquet
 
 
 def start_late_events(spark: SparkSession, envelope: DataFrame, late_root: str, clock_root: str, watermark_s: float, held_s: float,
-                      checkpoint: str | None = None, trigger: Trigger = Trigger(), name: str = "late_events") -> StreamingQuery:
-    """T5: the events that a watermarked operator drops unseen, to
-    ``late_root/batch_id=N``.
-
-    Run it on the source of the job that it stands beside, with that job's
-    watermark. The watermark of a batch is the latest time of the batches
-    before it less ``watermark_s``; an event is late where the window that it
-    would open, ``held_s`` long, ends no later than that. Each batch's latest
-    time is written to ``clock_root``, and only earlier batches' are read, so a
-    replayed batch finds the same late events."""
+                      checkpoint: str | None = None, trigger: Trigger = Trigger(), on_time_root: str | None = None,
+                      name: str = "late_events") -> StreamingQuery:
+    """T5: late events to ``late_root/batch_id=N``, so that none is lost
+    unseen, and the others to ``on_time_root/batch_id=N`` if it is given.
+
+    The watermark of a batch is the latest time of the batches before it less
+    ``watermark_s``; an event is late where the window that it would open,
+    ``held_s`` long, ends no later than that. Each batch's latest time is
+    written to ``clock_root``, and only earlier batches' are read, so a replayed
+    batch finds the same late events. A stateful job that reads
+    ``on_time_root`` with the same delay drops nothing: its own watermark is
+    never ahead of the one used here. Beside a job on the same source this
+    holds every event that the job drops; Spark itself lets an event pass for
+    one more batch."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
         own = batch_df.sparkSession
         clock = read_optional_parquet(own, schemas.BATCH_CLOCK, clock_root)
         before = None if clock is None else clock.where(F.col("batch_id") < batch_id).agg(F.max("latest").alias("t")).first()["t"]
         batch_df.persist()
         try:
+            late = F.lit(False)
             if before is not None:
                 passed = F.lit(before) - F.expr(f"INTERVAL '{watermark_s}' SECOND") - F.expr(f"INTERVAL '{held_s}' SECOND")
-                write_batch(batch_df.where(F.col("time_generated") <= passed), late_root, batch_id)
+                late = F.coalesce(F.col("time_generated") <= passed, F.lit(False))  # without a time: no window at all
+            write_batch(batch_df.where(late), late_root, batch_id)
+            if on_time_root:
+                write_batch(batch_df.where(~late), on_time_root, batch_id)
             write_batch(batch_df.agg(F.max("time_generated").alias("latest")), clock_root, batch_id)
         finally:
             batch_df.unpersist()
