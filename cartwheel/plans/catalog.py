@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwheel import schemas
-from cartwheel.operators import decode, events, funnel, gold, maintenance, serving, sessions, snapshots, summaries
+from cartwheel.functions.codec import encode_json
+from cartwheel.operators import decode, events, funnel, gold, layout, maintenance, serving, sessions, snapshots, summaries, versions
 from cartwheel.params import HARNESS, Params
 from cartwheel.plans import faults
 from cartwheel.session import run_root
@@ -278,6 +279,36 @@ def _upserted_carts(c: Chain) -> DataFrame:
         carts.unpersist()
 
 
+def _clustered_events(c: Chain) -> DataFrame:
+    """A table that small appends fill and two compactions tidy up; the
+    second leaves the files of the first alone where they are large enough."""
+    table = layout.ClusteredTable(c.spark, c.written("clustered"), schemas.EVENT, ["user_id", "time_generated"], target_bytes=32 << 20)
+    share = F.pmod(F.xxhash64("event_id"), F.lit(4))
+    for k in range(4):
+        table.append(c.events().where(share == k))
+        if k % 2:
+            table.compact()
+    return table.read()
+
+
+def _versioned_events(c: Chain) -> DataFrame:
+    """Events written under three schema versions, told by their headers,
+    and some under one that isn't known, in the newest schema."""
+    first = T.StructType([f for f in schemas.EVENT.fields if f.name not in ("product_id", "time_received")])
+    second = T.StructType([*first.fields, schemas.EVENT["product_id"]])
+    third = T.StructType([*second.fields, T.StructField("channel", T.StringType(), True, {"default": "web"})])
+    log = versions.SchemaLog(c.spark, c.written("schemas"))
+    numbers = [log.register(s) for s in (first, second, third)]
+    ev = c.events().withColumn("channel", F.lit("app"))
+    texts = [encode_json(F.struct(*s.fieldNames())) for s in (first, second, third)]
+    kind = F.pmod("event_id", F.lit(10))  # 0 to 3: first, 4 to 6: second, 7 and 8: third, 9: one to come
+    number = F.when(kind < 4, numbers[0]).when(kind < 7, numbers[1]).when(kind < 9, numbers[2]).otherwise(max(numbers) + 1)
+    text = F.when(kind < 4, texts[0]).when(kind < 7, texts[1]).otherwise(texts[2])
+    sent = ev.select(versions.encode_version(number, text).alias("value"))
+    read = versions.decode_versions(sent, log.versions(), third)
+    return read.select(*third.fieldNames(), "schema_version", "error_reason")
+
+
 def _unknown_products(c: Chain) -> DataFrame:
     """Purchases that the catalogue join leaves out, by product."""
     return events.unknown_products(c.purchases(), c.products().where(F.col("product_id") % 7 != 0))
@@ -323,6 +354,8 @@ QUERIES: dict[str, Builder] = {
     "evolved_events": _q(_evolved_events),
     "compacted_events": _q(_compacted_events),
     "products_csv": _q(_products_csv),
+    "clustered_events": _q(_clustered_events),
+    "versioned_events": _q(_versioned_events),
     "upserted_carts": _q(_upserted_carts),
     "unknown_products": _q(_unknown_products),
 }

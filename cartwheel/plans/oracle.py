@@ -37,7 +37,7 @@ def _ctes(p: Params) -> dict[str, str]:
   FROM ev e JOIN pr p ON e.product_id = p.product_id
   WHERE e.event_type = 'purchase')"""
 
-    def sessions(name: str, src: str, aggs: str) -> str:
+    def sessions(name: str, src: str, aggs: str, gap: int = gap) -> str:
         return f"""{name} AS (
   SELECT user_id, min(time_generated) AS session_start,
     max(time_generated) + INTERVAL {gap} SECOND AS session_end, {aggs}
@@ -68,6 +68,9 @@ def _ctes(p: Params) -> dict[str, str]:
     c["sc"] = """sc AS (
   SELECT highest_funnel_stage, count(user_id) AS user_count FROM us
   GROUP BY highest_funnel_stage)"""
+    c["fw"] = sessions("fw", "ev", """max(CASE event_type WHEN 'search' THEN 1 WHEN 'page_view' THEN 1
+      WHEN 'product_view' THEN 2 WHEN 'add_to_cart' THEN 3 WHEN 'purchase' THEN 4 ELSE 0 END) AS highest_funnel_stage""",
+                       int(p.funnel_timeout_s))
     c["ga"] = f"""ga AS (
   SELECT make_timestamp(CAST(floor(epoch_us(session_start) / {win_us}) * {win_us} AS BIGINT))
       AS window_start,
@@ -231,6 +234,15 @@ FROM ab""")
 FROM msg""")
     q["evolved_events"] = _with(c, ["ev"], f"SELECT {EVENT_COLS} FROM ev")
     q["compacted_events"] = _with(c, ["ev"], f"SELECT {EVENT_COLS}, CAST(time_generated AS DATE) AS event_date FROM ev")
+    q["clustered_events"] = q["evolved_events"]
+    known = "event_id % 10 < 9"
+    q["versioned_events"] = _with(c, ["ev"], f"""SELECT
+  CASE WHEN {known} THEN event_id END AS event_id, CASE WHEN {known} THEN user_id END AS user_id,
+  CASE WHEN {known} THEN event_type END AS event_type, CASE WHEN {known} THEN time_generated END AS time_generated,
+  CASE WHEN event_id % 10 BETWEEN 4 AND 8 THEN product_id END AS product_id,
+  CASE WHEN event_id % 10 < 7 THEN 'web' WHEN {known} THEN 'app' END AS channel,
+  CAST(CASE WHEN event_id % 10 < 4 THEN 1 WHEN event_id % 10 < 7 THEN 2 WHEN {known} THEN 3 ELSE 4 END AS BIGINT) AS schema_version,
+  CASE WHEN {known} THEN NULL ELSE 'unknown_version' END AS error_reason FROM ev""")
     q["products_csv"] = _with(c, ["pr"], "SELECT * FROM pr")
     # Streamed keys: append-mode output = batch result cut at the final
     # watermark (max event time seen by the watermark node minus the delay).
@@ -258,6 +270,11 @@ WHERE session_end <= (SELECT latest FROM closed) - INTERVAL {int(p.session_gap_s
     q["stream_late_events"] = _with(c, ["ev", "bat"], f"""SELECT event_id, user_id, event_type, time_generated
 FROM bat WHERE event_id % 10 = 3 AND time_generated + INTERVAL {int(p.session_gap_s)} SECOND <=
   (SELECT max(time_generated) FROM bat WHERE event_id % 10 <> 3 AND batch_id < 3) - INTERVAL {int(p.cart_watermark_s)} SECOND""")
+    q["stream_exact_dedup"] = _with(c, ["ev", "bat"], """SELECT event_id, user_id, event_type, product_id, time_generated, batch_id
+FROM bat""")
+    fun_wm = f"(SELECT max(time_generated) FROM ev) - INTERVAL {int(p.funnel_watermark_s)} SECOND"
+    q["stream_funnel_windows"] = _with(c, ["ev", "fw"], f"""SELECT user_id, session_start, session_end, highest_funnel_stage
+FROM fw WHERE session_end <= {fun_wm}""")
     stage = """CASE event_type WHEN 'search' THEN 1 WHEN 'page_view' THEN 1 WHEN 'product_view' THEN 2
       WHEN 'add_to_cart' THEN 3 WHEN 'purchase' THEN 4 ELSE 0 END"""
     q["stream_funnel_batch_metrics"] = _with(c, ["ev", "bat"], f""", seen AS (

@@ -26,6 +26,7 @@ from cartwheel.plans.catalog import present
 from cartwheel.session import STREAMING_CONF, run_root
 from cartwheel.sources import harness
 from cartwheel.streaming import jobs
+from cartwheel.streaming.seen import SeenIds
 from cartwheel.streaming.sinks import ParquetSink, Trigger
 
 NOW = Trigger(available_now=True)
@@ -266,6 +267,30 @@ def stream_funnel_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(written.select(F.col("batch_id").cast("bigint"), "funnel_stage", "user_count", "dropoff_rate_pct", "conversion_rate_pct"))
 
 
+def stream_funnel_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 by windows of activity (T6 with expiry, natively)."""
+    run = _run_dir(spark, "windows")
+    _finish(jobs.start_funnel_windows(spark, _clicks(spark, sf_dir), ParquetSink(f"{run}/out"), f"{run}/ckpt", HARNESS, NOW, name=_qname(run, "windows")))
+    return present(spark.read.parquet(f"{run}/out").select("user_id", "session_start", "session_end", "highest_funnel_stage"))
+
+
+def stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 beyond the watermark: purchases and the events whose id ends in 7
+    are all sent once more after the end of the table; the batch that passed
+    each event on is the one of its first sending."""
+    run = _run_dir(spark, "seen")
+    files = harness.write_replay(spark, sf_dir, f"{run}/clicks", BATCHES)
+    again = spark.read.schema(harness.RAW_SCHEMAS["events"]).parquet(f"{run}/clicks")
+    again = again.where("event_type = 'purchase' or event_id % 10 = 7").persist()
+    again.count()  # the folder it is read from is written to next
+    (again.coalesce(1) if files == 1 else again.repartition(files)).write.mode("append").parquet(f"{run}/clicks")
+    again.unpersist()
+    clicks = harness.stream_clickstream(harness.stream_replay(spark, f"{run}/clicks", files))
+    _finish(jobs.start_exact_dedup(spark, clicks, f"{run}/out", SeenIds(f"{run}/seen"), f"{run}/ckpt", NOW, name=_qname(run, "seen")))
+    passed = spark.read.parquet(f"{run}/out")
+    return present(passed.select("event_id", "user_id", "event_type", "product_id", "time_generated", F.col("batch_id").cast("bigint")))
+
+
 def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X1 as a stream: damaged messages with reason, text and receive time."""
     run = _run_dir(spark, "dlq")
@@ -279,7 +304,7 @@ STREAM_QUERIES = {f.__name__: _sized(f) for f in (
     stream_abandoned_carts, stream_purchase_sessions, stream_sliced_sessions, stream_restarted_sessions, stream_open_windows,
     stream_late_events, stream_snapshot_categories, stream_funnel_batch_metrics, stream_gold_averages, stream_gold_spend_distribution,
     stream_product_summary, stream_category_summary, stream_funnel_user_stage, stream_funnel_user_stage_native,
-    stream_funnel_metrics, stream_dead_letters)}
+    stream_funnel_metrics, stream_funnel_windows, stream_exact_dedup, stream_dead_letters)}
 
 
 def _progress_summary(q) -> dict:

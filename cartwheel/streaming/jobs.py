@@ -22,6 +22,7 @@ from cartwheel.params import REFERENCE, Params, interval
 from cartwheel.session import checkpoint_path
 from cartwheel.sources.files import read_optional_parquet, stream_parquet
 from cartwheel.streaming.funnel_state import funnel_state
+from cartwheel.streaming.seen import SeenIds
 from cartwheel.streaming.sinks import (
     ConsoleSink, KafkaSink, ParquetSink, Sink, Trigger, fan_out, start_foreach_batch, start_stream,
     write_batch,
@@ -227,6 +228,26 @@ def start_funnel(spark: SparkSession, envelope: DataFrame, metrics_root: str,
                                mode="update", name=name)
 
 
+def start_funnel_windows(spark: SparkSession, envelope: DataFrame, sink: Sink, checkpoint: str | None = None,
+                         params: Params = REFERENCE, trigger: Trigger = Trigger(), name: str = "funnel_windows") -> StreamingQuery:
+    """P4 with expiry and without Python state (T6): the highest stage of each
+    user in each window of activity, which ends ``funnel_timeout_s`` after its
+    last event. A window comes out once, when the watermark passes its end,
+    and its state goes with it."""
+    ev = decoded(envelope, name).withWatermark("time_generated", interval(params.funnel_watermark_s)).where(F.col("user_id").isNotNull())
+    out = sessions.sessionize(ev, "user_id", "time_generated", params.funnel_timeout_s,
+                              [sessions.SessionAgg("highest_funnel_stage", funnel_stage("event_type"), "max")])
+    return start_stream(out, sink, _ckpt(spark, checkpoint, name), trigger, name=name)
+
+
+def start_exact_dedup(spark: SparkSession, envelope: DataFrame, out_root: str, seen: SeenIds, checkpoint: str | None = None,
+                      trigger: Trigger = Trigger(), name: str = "exact_dedup") -> StreamingQuery:
+    """T4 with no time limit: each event to ``out_root/batch_id=N`` of the
+    first batch that has its id, whenever copies come."""
+    return start_foreach_batch(decoded(envelope, name), lambda batch_df, batch_id: seen.write(batch_df, batch_id, out_root),
+                               _ckpt(spark, checkpoint, name), trigger, name=name)
+
+
 def start_user_gold(spark: SparkSession, silver_path: str, averages: ParquetSink | None,
                     spend: ParquetSink | None, checkpoint_root: str | None = None,
                     params: Params = REFERENCE, trigger: Trigger = Trigger("1 minute"),
@@ -280,6 +301,7 @@ def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:
 __all__ = [
     "start_cart_abandonment", "start_purchase_sessions", "start_product_summary",
     "start_purchase_slices", "start_sliced_sessions", "start_late_events", "start_product_snapshots",
+    "start_funnel_windows", "start_exact_dedup",
     "start_funnel", "start_user_gold", "start_dead_letters", "await_any", "purchase_stream", "enriched_stream",
     "write_batch",
 ]
