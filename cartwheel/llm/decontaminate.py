@@ -28,13 +28,15 @@ def norm_words(text: Column) -> Column:
     return words(ascii_lower(text), NOT_ALNUM)
 
 
-def window_hashes(w: Column, size: int) -> Column:
-    """Hash of each run of ``size`` of the words ``w``, by its place."""
-    def of(hashes: Column) -> Column:
-        count = F.size(hashes) - size + 1
-        places = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(places, lambda i: F.xxhash64(F.slice(hashes, i + 1, size)))
-    return bind(F.transform(w, lambda x: F.xxhash64(x)), of)
+def windows_of(probe: DataFrame, size: int, *carried: str) -> DataFrame:
+    """``carried`` columns with (at, hash) of each run of ``size`` words of the
+    column ``hashes`` (a hash a word); rows of null where a text has none. The
+    outer explode keeps a filter on its input away, for which words and hashes
+    would be computed again; slices are hashed behind it, in the generated loop."""
+    count = F.size("hashes") - size + 1
+    places = F.when(count > 0, F.sequence(F.lit(0), count - 1))
+    at = probe.select(*carried, "hashes", F.explode_outer(places).alias("at"))
+    return at.select(*carried, "at", F.xxhash64(F.slice("hashes", F.col("at") + 1, size)).alias("hash")).where(F.col("at").isNotNull())
 
 
 def benchmark_windows(benchmark: DataFrame, size: int = SIZE) -> DataFrame:
@@ -55,17 +57,18 @@ def hits(documents: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFr
     shape = windows.agg(F.count("*").alias("rows"), F.collect_set("n").alias("sizes")).first()  # at most `size` sizes
     w = of_columns(documents, "doc_id", "text").select(
         F.col("doc_id").alias("of"), F.xxhash64("text").alias("of_hash"), norm_words(F.col("text")).alias("w"))
+    probe = w.withColumn("hashes", F.transform("w", lambda x: F.xxhash64(x)))
     confirmed = []
     for n in sorted(shape["sizes"]):
-        # the hashes are a column of their own, so that explode, join and slice are one generated loop
-        probe = w.withColumn("hashes", window_hashes(F.col("w"), n))
         some = windows.where(F.col("n") == n).drop("n")
         if shape["rows"] <= BROADCAST_WINDOWS:
-            found = probe.select("of", "of_hash", "w", F.posexplode("hashes").alias("at", "hash")).join(
-                F.broadcast(some), "hash").where(F.slice("w", F.col("at") + 1, n) == F.col("window"))
+            # words are compared where hashes are equal only: a plain equality would become a second key, cut for every place
+            same = F.slice("w", F.col("at") + 1, n).between(F.col("window"), F.col("window"))
+            found = windows_of(probe, n, "of", "of_hash", "w").join(
+                F.broadcast(some), "hash").where(same)
         else:
             # too many to send to every task: shuffle the hashes, then the words of the documents that hit
-            at = probe.select("of", "of_hash", F.posexplode("hashes").alias("at", "hash")).join(
+            at = windows_of(probe, n, "of", "of_hash").join(
                 some.select("hash").distinct(), "hash").withColumnsRenamed({"of": "id", "of_hash": "id_hash"})
             found = w.join(at, w["of"].eqNullSafe(at["id"]) & (w["of_hash"] == at["id_hash"])).select(
                 "of", "of_hash", "at", F.slice("w", F.col("at") + 1, n).alias("window")).join(some.drop("hash"), "window")
