@@ -297,6 +297,49 @@ def test_phrases_match_brute_force(spark):
     assert licenses.scan(documents(spark, []), licenses.default_templates(spark)).count() == 0
 
 
+def longest_common(a, b):
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+    return table[-1][-1]
+
+
+def test_common_words_match_brute_force():
+    rng = random.Random(5)
+    for _ in range(200):
+        a, b = ([bytes([rng.randrange(97, 101)]) for _ in range(rng.randrange(90))] for _ in range(2))
+        assert licenses.common(a, b) == longest_common(a, b)
+
+
+@pytest.mark.parametrize("limit", [50_000, 0])
+def test_license_spans_are_verified_by_words(spark, monkeypatch, limit):
+    monkeypatch.setattr(licenses, "BROADCAST_TEXTS", limit)
+    monkeypatch.setattr(licenses, "K", 1)  # single words vote, so that the words' order is left to the check
+    notice = "one two three four five six seven eight nine ten"
+    templates = spark.createDataFrame([(notice, "some", False), ("alpha beta gamma", "phrase", True), (None, "none", False), ("", "empty", True)],
+                                      "text string, label string, phrase boolean")
+    docs = [(0, "Intro. " + notice.title() + " -- end"), (1, "two one four three six five eight seven ten nine"),
+            (2, "x one two THREE four y five six seven eight nine"), (3, "alpha beta gamma alpha, Beta gamma"), (4, "alpha gamma beta"),
+            (None, notice), (5, None), (5, ""), (6, notice), (6, notice), (6, "other text")]
+    got = licenses.scan(documents(spark, docs, clash=True), templates).collect()
+    spans = sorted(((r.doc_id, r.n_words, [tuple(x) for x in r.spans or []]) for r in got), key=str)
+    whole = [(0, 10, "some", False, 1.0)]
+    assert spans == sorted([
+        (0, 12, [(1, 11, "some", False, 1.0)]), (1, 10, []), (2, 11, [(1, 11, "some", False, 0.9)]),
+        (3, 6, [(0, 3, "phrase", True, 1.0), (3, 6, "phrase", True, 1.0)]), (4, 3, []), (None, 10, whole), (5, 0, []), (5, 0, []),
+        (6, 10, whole), (6, 10, whole), (6, 2, [])], key=str)
+
+
+def test_license_texts_and_titles(spark):
+    texts = {label: text for text, label in licenses.NOTICES}
+    docs = [(0, "Copyright 2020\n" + texts["isc"].replace("this software", "the program")), (1, "GNU General Public License, version 3."),
+            (2, "the GNU General Public License"), (3, "# " + texts["bsd-3"].replace(" ", "\n# ")), (4, "x " * 30_000 + texts["isc"]),
+            (5, texts["cc-by-sa"]), (6, texts["cc-by"]), (7, texts["cc-by"] + ". " + texts["cc-by-sa"]), (8, "Apache License\nVersion 2.0")]
+    by = {r.doc_id: r.labels for r in licenses.summary(licenses.scan(documents(spark, docs), licenses.default_templates(spark))).collect()}
+    assert by == {0: "isc", 1: "gpl-3", 2: "", 3: "bsd-3", 4: "isc", 5: "cc-by-sa", 6: "cc-by", 7: "cc-by,cc-by-sa", 8: "apache-2"}
+
+
 # quality rules
 
 def brute_counts(text):
