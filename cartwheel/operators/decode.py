@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -26,12 +26,14 @@ def decode_events(envelope: DataFrame, schema: StructType = schemas.EVENT) -> Da
 
 def route_events(envelope: DataFrame, schema: StructType = schemas.EVENT,
                  required: list[str] | None = None) -> DataFrame:
-    """Decode and classify each message; one pass, nothing dropped.
+    """Decode and classify each message; nothing dropped.
 
+    A message that fits the schema is parsed once, with the texts of damaged
+    ones kept beside; only these are parsed again, to tell what is wrong.
     Columns: the event fields, ``raw_value`` (original text), ``received_at``
     (envelope timestamp) and ``error_reason`` (null when valid). Reasons, in
-    precedence order: ``invalid_json``, ``missing_field:<name>``,
-    ``bad_timestamp``, ``schema_mismatch``.
+    precedence order: ``invalid_json``, ``missing_field:<name>`` (also JSON
+    null), ``bad_timestamp``, ``schema_mismatch``.
     """
     required = required or schemas.REQUIRED_EVENT_FIELDS
     with_corrupt = StructType(schema.fields + [StructField(CORRUPT, StringType())])
@@ -39,18 +41,26 @@ def route_events(envelope: DataFrame, schema: StructType = schemas.EVENT,
     df = envelope.select(
         text.alias("raw_value"),
         F.col("timestamp").alias("received_at"),
-        F.from_json(text, "map<string,string>").alias("_fields"),
         F.from_json(text, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT}).alias("_data"),
     )
-    checks = [F.when(F.col("_fields").isNull(), F.lit("invalid_json"))]
-    checks += [F.when(F.element_at("_fields", f).isNull(), F.lit(f"missing_field:{f}"))
-               for f in required]
+    # a list of objects would be read as its first one
+    is_object = F.coalesce(F.ltrim("raw_value", F.lit(" \t\r\n")).startswith("{"), F.lit(False))
+    damaged = F.col(f"_data.{CORRUPT}").isNotNull()
+    df = df.select("*", (~is_object).alias("_other"), damaged.alias("_damaged"),
+                   F.when(damaged, F.from_json("raw_value", "map<string,string>")).alias("_fields"))
+
+    def given(name: str) -> Column:
+        there = F.element_at("_fields", name).isNotNull()
+        read = F.col(f"_data.{name}").isNotNull() if name in schema.fieldNames() else F.get_json_object("raw_value", f"$['{name}']").isNotNull()
+        return F.when(F.col("_damaged"), there).otherwise(read)
+    checks = [F.when(F.col("_other") | (F.col("_damaged") & F.col("_fields").isNull()), F.lit("invalid_json"))]
+    checks += [F.when(~given(f), F.lit(f"missing_field:{f}")) for f in required]
     ts_fields = [f.name for f in schema.fields if f.dataType.typeName() == "timestamp"]
-    checks += [F.when(F.element_at("_fields", f).isNotNull() & F.col(f"_data.{f}").isNull(),
+    checks += [F.when(F.col("_damaged") & given(f) & F.col(f"_data.{f}").isNull(),
                       F.lit("bad_timestamp")) for f in ts_fields]
-    checks += [F.when(F.col(f"_data.{CORRUPT}").isNotNull(), F.lit("schema_mismatch"))]
+    checks += [F.when(F.col("_damaged"), F.lit("schema_mismatch"))]
     return df.select(
-        *[F.col(f"_data.{f.name}").alias(f.name) for f in schema.fields],
+        *[F.when(~F.col("_other"), F.col(f"_data.{f.name}")).alias(f.name) for f in schema.fields],
         "raw_value", "received_at",
         F.coalesce(*checks).alias("error_reason"),
     )

@@ -38,6 +38,36 @@ def test_dlq_reasons(spark):
     assert dlq.columns == ["raw_value", "error_reason", "received_at"]
 
 
+def test_dlq_keeps_kinds_of_json_apart(spark):
+    good = '"event_id":1,"user_id":2,"event_type":"x","time_generated":"2026-01-01T00:00:00Z"'
+    cases = {
+        "{" + good + "}": None,
+        "{" + good.replace(":1,", ':"1",') + "}": "schema_mismatch",
+        "{" + good.replace(":1,", ":1.5,") + "}": "schema_mismatch",
+        "{" + good.replace(":1,", ":true,") + "}": "schema_mismatch",
+        "{" + good.replace(":1,", ":99999999999999999999,") + "}": "schema_mismatch",
+        "{" + good.replace(":2,", ":null,") + "}": "missing_field:user_id",
+        "{" + good + ',"product_id":null}': None,
+        "{" + good + ',"product_id":"7"}': "schema_mismatch",
+        "{" + good + ',"other":{"a":[1]}}': None,
+        "{" + good + ',"time_received":1767225600}': None,
+        "{" + good.replace('"x"', "5") + "}": None,
+        "{" + good + "": "invalid_json",
+        '"text"': "invalid_json", "7": "invalid_json", "null": "invalid_json", "": "invalid_json", "[{" + good + "}]": "invalid_json", " \n{" + good + "}": None, "{}": "missing_field:event_id",
+    }
+    rows = {r["raw_value"]: r for r in decode.route_events(_env(spark, [*cases, None])).collect()}
+    assert {k: rows[k]["error_reason"] for k in cases} == cases
+    assert rows[None]["error_reason"] == "invalid_json"
+    by = list(cases)
+    assert rows[by[10]]["event_type"] == "5" and rows[by[9]]["time_received"] == rows[by[0]]["time_generated"]
+    assert rows[by[1]]["event_id"] is None and rows[by[1]]["user_id"] == 2
+
+
+def test_dlq_parses_a_good_message_once(spark):
+    plan = decode.route_events(_env(spark, ["{}"]))._jdf.queryExecution().executedPlan().toString().lower()
+    assert plan.count("from_json(") == 2 and plan.count("then from_json(map") == 1
+
+
 def test_topic_values_json_or_raw(spark):
     env = _env(spark, ['{"user_id":2,"product_ids":[4,5],"ts":"2026-01-01T00:00:08.000Z"}', "plain text"],
                keys=["2", None])
