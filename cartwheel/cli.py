@@ -146,8 +146,14 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> lis
                                        _trigger(a, None))]
 
 
+#: Buckets of a histogram that is read back to be printed.
+PRINTED_BUCKETS = 10_000
+
+
 def _kpis(spark: SparkSession, a: argparse.Namespace, p: Params) -> dict:
-    """KPIs and the dense histogram over the look-back, as one JSON object."""
+    """KPIs and the dense histogram over the look-back, as one JSON object.
+    With ``--out`` the histogram is written there as Parquet; without it, it
+    must have no more than PRINTED_BUCKETS buckets."""
     from cartwheel.operators import serving
 
     out: dict = {"average_order_value": 0.0, "average_session_duration": 0.0, "histogram": []}
@@ -159,10 +165,18 @@ def _kpis(spark: SparkSession, a: argparse.Namespace, p: Params) -> dict:
     spend = read_optional_parquet(spark, schemas.GOLD_SPEND, a.spend) if a.spend else None
     if spend is not None:
         recent = serving.recent(spend, p.look_back_s, p.as_of)
-        # the dense histogram is bounded by (max - min) / width buckets
-        out["histogram"] = [r.asDict() for r in serving.spend_histogram(recent, p.bucket_width).collect()]
         t = serving.spend_histogram_totals(recent).first()
         out.update(total_sessions=t["total_sessions"], active_buckets=t["active_buckets"])
+        histogram = serving.spend_histogram(recent, p.bucket_width)
+        # one outlying amount makes the dense histogram as long as it is large
+        buckets = 0 if t["max_bucket"] is None else (t["max_bucket"] - t["min_bucket"]) // int(p.bucket_width) + 1
+        if a.out:
+            histogram.write.mode("overwrite").parquet(a.out)
+            out["histogram"] = a.out
+        elif buckets <= PRINTED_BUCKETS:
+            out["histogram"] = [r.asDict() for r in histogram.collect()]
+        else:
+            raise SystemExit(f"kpis: {buckets} buckets are too many to print, give --out")
     return out
 
 

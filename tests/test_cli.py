@@ -37,6 +37,20 @@ def test_purchase_sessions_then_kpis(spark, scratch, fixture_events, fixture_pro
     assert out["total_sessions"] == 3 and out["active_buckets"] == 3
 
 
+def test_long_histogram_is_written_not_collected(spark, scratch):
+    import pytest
+    rows = [(at(0), b, b + 20, f"{b}-{b + 20}", n) for b, n in ((0, 2), (20 * 300_000, 1))]
+    spark.createDataFrame(rows, "window_start timestamp, bucket_start long, bucket_end long, bucket_label string, session_count long") \
+        .write.parquet(f"{scratch}/spend")
+    args = ["kpis", "--spend", f"{scratch}/spend", "--as-of", "2026-01-01T01:00:00"]
+    with pytest.raises(SystemExit, match="300001 buckets"):
+        cli.run(args, spark)
+    (out,) = cli.run([*args, "--out", f"{scratch}/histogram"], spark)
+    written = spark.read.parquet(out["histogram"])
+    assert (out["total_sessions"], out["active_buckets"]) == (3, 2)
+    assert written.count() == 300_001 and written.where("session_count > 0").count() == 2
+
+
 def test_kpis_without_gold_data(spark, scratch):
     (out,) = cli.run(["kpis", "--averages", f"{scratch}/none", "--spend", f"{scratch}/none2"], spark)
     assert out["average_order_value"] == 0.0 and out["histogram"] == []
