@@ -60,19 +60,19 @@ class SeenIds:
 
     def fresh(self, rows: DataFrame, batch_id: int) -> DataFrame:
         """The rows of a batch, one a key, whose key no batch before it had."""
-        spark = rows.sparkSession
-        known = self.filter_before(spark, batch_id)
-        if known is None:
-            return rows
-        marked = self.maybe_seen(rows, known)
+        known = self.filter_before(rows.sparkSession, batch_id)
+        return rows if known is None else self.unseen(self.maybe_seen(rows, known), batch_id)
+
+    def unseen(self, marked: DataFrame, batch_id: int) -> DataFrame:
+        """:meth:`fresh` of rows with ``_maybe``, which are read three times."""
         maybe = marked.where("_maybe").drop("_maybe")
         touched = [r["b"] for r in maybe.select(self.bucket().alias("b")).distinct().collect()]  # at most ``buckets``
-        schema = StructType([rows.schema[self.key]]).add("bucket", "integer").add("batch_id", "long")
-        past = read_optional_parquet(spark, schema, f"{self.root}/ids")
+        schema = StructType([marked.schema[self.key]]).add("bucket", "integer").add("batch_id", "long")
+        past = read_optional_parquet(marked.sparkSession, schema, f"{self.root}/ids")
         if past is None or not touched:
             return marked.drop("_maybe")
         past = past.where((F.col("batch_id") < batch_id) & F.col("bucket").isin(touched)).select(self.key)
-        return marked.where("not _maybe").drop("_maybe").unionByName(maybe.join(past, self.key, "left_anti").select(*rows.columns))
+        return marked.where("not _maybe").drop("_maybe").unionByName(maybe.join(past, self.key, "left_anti").select(*maybe.columns))
 
     def add(self, rows: DataFrame, batch_id: int) -> None:
         """Keep the ids of ``rows``, and the filter of all ids up to here."""
@@ -87,10 +87,15 @@ class SeenIds:
 
     def write(self, batch_df: DataFrame, batch_id: int, out_root: str) -> None:
         """One micro-batch: its fresh rows to ``out_root/batch_id=N``, their ids kept."""
-        rows = dedup_events(batch_df, self.key, self.time_col).persist()
-        try:
-            write_batch(self.fresh(rows, batch_id), out_root, batch_id)
-        finally:
-            rows.unpersist()
+        rows = dedup_events(batch_df, self.key, self.time_col)
+        known = self.filter_before(batch_df.sparkSession, batch_id)
+        if known is None:
+            write_batch(rows, out_root, batch_id)
+        else:
+            marked = self.maybe_seen(rows, known).persist()
+            try:
+                write_batch(self.unseen(marked, batch_id), out_root, batch_id)
+            finally:
+                marked.unpersist()
         written = batch_df.sparkSession.read.schema(batch_df.schema).parquet(batch_path(out_root, batch_id))
         self.add(written, batch_id)

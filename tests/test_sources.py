@@ -1,5 +1,7 @@
 """File sources S4 (CSV catalogue) and S5 (optional parquet)."""
 
+from pyspark.sql import functions as F
+
 from cartwheel import schemas
 from cartwheel.sources import read_optional_parquet, read_products_csv
 from conftest import PRODUCT_ROWS
@@ -57,6 +59,28 @@ def test_replay_is_whole_and_in_order(spark, scratch):
     assert len(batches) == 4 and sum(batches) == rows
 
 
+def test_replay_of_a_large_file_is_read_by_several_tasks(spark, scratch, monkeypatch):
+    """One input file; the third stretch of time has a single row."""
+    from cartwheel.sources import harness
+    monkeypatch.setattr(harness, "REPLAY_ROWS", 100, raising=False)
+    at = F.when(F.col("id") == 700, 550).when(F.col("id") < 500, F.col("id") % 400).otherwise(600 + F.col("id") % 200)
+    ts = F.when(F.col("id") != 3, F.timestamp_seconds(F.lit(1_700_000_000) + at)).cast("timestamp_ntz")
+    rows = spark.range(1000).select(F.col("id").alias("event_id"), ts.alias("ts"), (F.col("id") % 7).alias("user_id"),
+                                    F.lit("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit("{}").alias("props"))
+    rows.coalesce(1).write.parquet(f"{scratch}/t/events.parquet")
+    files = harness.write_replay(spark, f"{scratch}/t", f"{scratch}/replay", 4)
+    got = spark.read.parquet(f"{scratch}/replay")
+    assert files == 3 and len(got.inputFiles()) == 12
+    assert sorted(got.collect(), key=str) == sorted(rows.collect(), key=str)
+    q = (harness.stream_replay(spark, f"{scratch}/replay", files).writeStream.format("memory").queryName("replayed_large")
+         .trigger(availableNow=True).option("checkpointLocation", f"{scratch}/ck").start())
+    q.awaitTermination(120)
+    lo, step = 1_700_000_000, 799 / 4
+    seconds = [r["s"] for r in rows.select(F.unix_timestamp(F.col("ts").cast("timestamp")).alias("s")).collect()]
+    want = [sum(1 for s in seconds if k == (0 if s is None else min(3, int((s - lo) / step)))) for k in range(4)]
+    assert [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]] == want and want[2] == 1
+
+
 def test_session_takes_master_and_partitions_from_the_launcher(monkeypatch):
     from pyspark.sql import SparkSession
     from cartwheel import session
