@@ -76,10 +76,9 @@ FUNNEL_UPDATE = T.StructType([
     T.StructField("event_time", T.TimestampType()),
 ])
 
-FUNNEL_STATE = T.StructType([
-    T.StructField("highest_funnel_stage", T.IntegerType()),
-    T.StructField("event_time", T.TimestampType()),
-])
+# The users of a state bucket; times are wall-clock nanoseconds in the session's zone, deadlines epoch milliseconds.
+FUNNEL_STATE = T.StructType([T.StructField(name, T.ArrayType(T.LongType()))
+                             for name in ("user_id", "highest_funnel_stage", "event_time", "deadline")])
 
 BATCH_CLOCK = T.StructType([
     T.StructField("latest", T.TimestampType()),

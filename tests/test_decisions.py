@@ -50,6 +50,26 @@ def test_d1_funnel_state_expires_in_event_time(spark, scratch):
     assert user1[0][1] == 4 and user1[-1][1] == 1
 
 
+def test_users_of_one_state_bucket_expire_each_for_itself(spark, scratch, monkeypatch):
+    from cartwheel.streaming import funnel_state
+    monkeypatch.setattr(funnel_state, "BUCKETS", 1, raising=False)
+    src = f"{scratch}/src"
+    write_events(src, [(1, 1, "purchase", 3, at(0)), (2, 2, "add_to_cart", 3, at(4990)), (3, 3, "purchase", 3, at(0))])
+    write_events(src, [(4, 4, "page_view", None, at(5000)), (5, 1, "search", None, at(5000))])  # watermark far ahead
+    write_events(src, [(6, 4, "page_view", None, at(5001)), (7, 2, "page_view", None, at(5001))])
+    write_events(src, [(8, 3, "page_view", None, at(5002)), (9, 1, "page_view", None, at(5002))])
+    q = jobs.start_funnel(spark, stream_envelopes(spark, src, 1), f"{scratch}/m", f"{scratch}/ck", REFERENCE.with_(funnel_timeout_s=60),
+                          NOW, stages_root=f"{scratch}/stages")
+    q.awaitTermination(180)
+    assert q.exception() is None
+    got = [tuple(r) for r in spark.read.parquet(f"{scratch}/stages").select("batch_id", "user_id", "highest_funnel_stage", "event_time").collect()]
+    by_user = {u: [(s, t) for _, x, s, t in sorted(got) if x == u] for u in (1, 2, 3, 4)}
+    assert by_user == {1: [(4, at(0)), (4, at(5000)), (4, at(5002))],  # back in the batch of its timeout: kept
+                       2: [(3, at(4990)), (3, at(5001))], 3: [(4, at(0)), (1, at(5002))],  # 3 timed out meanwhile
+                       4: [(1, at(5000)), (1, at(5001))]}
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]) == 1
+
+
 def test_hot_user_sessions_match_session_window(spark):
     rnd = random.Random(7)
     rows, eid = [], 0
