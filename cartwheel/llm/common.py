@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Most tasks a core that write a table of short rows.
+WRITERS = 2
 #: Characters that separate words: white space, or all ASCII but letters and digits.
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -39,11 +41,14 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back (cuts lineage)."""
+def materialise(df: DataFrame, few: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back (cuts lineage).
+    ``few``: a table of short rows, whose partitions are written by WRITERS
+    tasks a core at most, one after the other. Each file costs its executor
+    a forked chmod or two on a local file system, whatever is in it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/cartwheel-llm/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.coalesce(WRITERS * spark.sparkContext.defaultParallelism) if few else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

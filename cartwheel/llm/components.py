@@ -21,7 +21,7 @@ def components(edges: DataFrame, by: str | None = None) -> DataFrame:
     def least_of(e: DataFrame) -> DataFrame:
         return e.groupBy(*on).agg(F.min("b").alias("m"))
     e = edges.where("a <> b").select(*keys, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    known, e = None, materialise(e.distinct())
+    known, e = None, materialise(e.distinct(), few=True)
     while True:
         both = e.unionByName(e.select(*keys, F.col("b").alias("a"), F.col("a").alias("b")))
         least = least_of(both).select(*on, F.least("a", "m").alias("m"))
@@ -31,7 +31,7 @@ def components(edges: DataFrame, by: str | None = None) -> DataFrame:
         step = small.unionByName(least.select(*on, F.col("m").alias("b"))).distinct()
         seen = Observation()
         # decimal: the sum of hashes must not overflow
-        e = materialise(step.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64(*on, "b").cast("decimal(38,0)")).alias("hashes")))
+        e = materialise(step.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64(*on, "b").cast("decimal(38,0)")).alias("hashes")), few=True)
         now = seen.get
         if now == known:
             return e.select(*keys, F.col("a").alias("node"), F.col("b").alias("component"))

@@ -53,7 +53,7 @@ def hits(documents: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFr
     """(of, of_hash, spans, items): for documents with any, by doc_id and hash
     of the text, the words [start, end) of confirmed windows and their items."""
     windows = materialise(benchmark_windows(benchmark, size).groupBy("n", "hash", "window").agg(
-        F.collect_set("item_id").alias("items")))
+        F.collect_set("item_id").alias("items")), few=True)
     shape = windows.agg(F.count("*").alias("rows"), F.collect_set("n").alias("sizes")).first()  # at most `size` sizes
     w = of_columns(documents, "doc_id", "text").select(
         F.col("doc_id").alias("of"), F.xxhash64("text").alias("of_hash"), norm_words(F.col("text")).alias("w"))

@@ -176,12 +176,12 @@ def score_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(pattern, kind, confidence) of the confident patterns."""
     edges = found.select(F.explode("patterns").alias("pattern"), "value", "kind").groupBy("pattern", "value").agg(F.max("kind").alias("kind"))
     support = edges.groupBy("pattern").agg(F.count("*").alias("total"), F.count("kind").alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
-    edges = materialise(edges.join(support.drop("seeds"), "pattern"))
+    edges = materialise(edges.join(support.drop("seeds"), "pattern"), few=True)
     seeds = edges.where("kind is not null").select("value", "kind", F.lit(1.0).alias("known")).distinct()
     known, scored = seeds, None
     for _ in range(rounds):
         share = F.sum("known") / (F.first("total") + 1)
-        scored = materialise(edges.select("pattern", "value", "total").join(known, "value").groupBy("pattern", "kind").agg(share.alias("confidence")))
+        scored = materialise(edges.select("pattern", "value", "total").join(known, "value").groupBy("pattern", "kind").agg(share.alias("confidence")), few=True)
         unlike = F.log1p(-F.least(F.col("confidence"), F.lit(0.999)))
         derived = (edges.where("kind is null").select("pattern", "value").join(scored.where("confidence >= 0.5"), "pattern")
                    .groupBy("value", "kind").agg((1 - F.exp(F.sum(unlike))).alias("known")))
@@ -192,7 +192,7 @@ def score_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 def discovered(found: DataFrame, patterns: DataFrame) -> DataFrame:
     """(of, of_hash, added): spans of unseen tokens in confident patterns, and
     the seeds that are not base spans."""
-    patterns = materialise(patterns)
+    patterns = materialise(patterns, few=True)
     n = patterns.count()
     side = F.broadcast(patterns) if n <= BROADCAST_PATTERNS else patterns
     unseen = found.where("kind is null").select("of", "of_hash", "start", "end", F.explode("patterns").alias("pattern"))
@@ -205,7 +205,7 @@ def discovered(found: DataFrame, patterns: DataFrame) -> DataFrame:
 def find(documents: DataFrame) -> DataFrame:
     """(of, of_hash, base, spans) of every row: base spans, and all spans."""
     base = rows_of(documents)
-    found = materialise(instances(documents))
+    found = materialise(instances(documents), few=True)
     added = discovered(found, score_patterns(found)).withColumnsRenamed({"of": "id", "of_hash": "id_hash"})
     plain = F.transform("base", lambda s: F.struct(s["kind"], s["start"], s["end"]).cast(SPAN))
     own = base.select("of", "of_hash", plain.alias("base"))

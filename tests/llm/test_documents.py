@@ -363,3 +363,16 @@ def test_counts_match_brute_force(spark):
             some = texts[k:k + size]
             got = stats.base_counts(vectors.Words([(t or "").encode() for t in some], lower=False))
             assert list(zip(*(got[c].tolist() for c in quality_rules.COUNTS))) == [brute_counts(t) for t in some]
+
+
+def test_steps_of_components_are_few_files(spark):
+    """However many partitions a shuffle has, short rows are no file for each."""
+    from cartwheel.llm.common import WRITERS
+    from cartwheel.llm.components import components
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", "60")
+    own.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    chains = own.range(400).selectExpr("id as a", "case when id % 10 = 0 then id else id - 1 end as b")
+    found = components(chains)
+    assert {(r.node, r.component) for r in found.collect()} == {(k, k - k % 10) for k in range(400) if k % 10}
+    assert len(found.inputFiles()) <= WRITERS * own.sparkContext.defaultParallelism
